@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.money import decimal_text
 
 
-def number_attr(c: Column, decimal_scale: int | None = None) -> Column:
-    text = c.cast("string") if decimal_scale is None else decimal_text(c, decimal_scale)
+def number_attr(c: Column, text: Column | None = None) -> Column:
+    """``{"N": text}``; ``text`` defaults to ``CAST(c AS STRING)``."""
+    text = c.cast("string") if text is None else text
     return F.when(c.isNotNull(), F.struct(text.alias("N")))
 
 
@@ -23,20 +23,22 @@ def string_attr(c: Column) -> Column:
     return F.when(c.isNotNull(), F.struct(c.cast("string").alias("S")))
 
 
-def encode_item(df: DataFrame, spec: dict[str, str], decimal_scale: int = 10) -> DataFrame:
+def encode_item(
+    df: DataFrame, spec: dict[str, str], number_text: dict[str, Column] | None = None
+) -> DataFrame:
     """One struct column per attribute.
 
-    ``spec`` maps column name to ``"N"`` (integral number), ``"D"`` (number
-    from a floating value, written as plain decimal text) or ``"S"``.
+    ``spec`` maps column name to ``"N"`` (number) or ``"S"`` (string).
+    ``number_text`` optionally gives the exact text of a number attribute
+    (e.g. money from integer cents, see ``strata.functions.money``).
     """
+    number_text = number_text or {}
     cols = []
     for name, kind in spec.items():
         if kind == "S":
             cols.append(string_attr(F.col(name)).alias(name))
         elif kind == "N":
-            cols.append(number_attr(F.col(name)).alias(name))
-        elif kind == "D":
-            cols.append(number_attr(F.col(name), decimal_scale).alias(name))
+            cols.append(number_attr(F.col(name), number_text.get(name)).alias(name))
         else:
             raise ValueError(f"unknown attribute kind {kind!r}")
     return df.select(*cols)

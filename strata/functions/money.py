@@ -39,11 +39,28 @@ def taxes_of(subtotal: Column) -> Column:
     return round2(subtotal * F.lit(TAX_RATE).cast("decimal(3,2)"))
 
 
-def decimal_text(x: Column, scale: int = 10) -> Column:
-    """Number as plain decimal text without exponent or trailing zeros.
+def strip_zeros(text: Column) -> Column:
+    """``"600.00"`` -> ``"600"``, ``"74.50"`` -> ``"74.5"``."""
+    return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+
 
-    Casting through ``DECIMAL(38, scale)`` bounds the digits (a key-value
-    store number takes at most 38); NULL stays NULL.
+def cents_text(cents: Column) -> Column:
+    """Exact decimal text of a cents amount, e.g. 7455 -> ``"74.55"``.
+
+    At most 38 digits (a key-value store number takes 38); NULL stays NULL.
     """
-    text = x.cast(f"decimal(38,{scale})").cast("string")
-    return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    return strip_zeros((cents.cast("decimal(38,0)") * F.lit(0.01).cast("decimal(2,2)")).cast("string"))
+
+
+def mean_text(cents: str, n: str, places: int = 6) -> Column:
+    """Decimal text of ``cents / 100 / n`` for columns named ``cents`` and
+    ``n``, rounded half up (away from zero) to ``places``.
+
+    Computed in integer arithmetic (``div``), so it is exact and the same on
+    every engine; no binary floating-point expansion reaches the text.
+    """
+    scale = 10 ** (places - 2)
+    units = F.expr(f"signum({cents}) * ((abs({cents}) * {2 * scale} + {n}) div (2 * {n}))")
+    unit = F.lit(f"{10 ** -places:.{places}f}").cast(f"decimal({places},{places})")
+    text = (units.cast("decimal(38,0)") * unit).cast("string")
+    return F.when(F.col(n) > 0, strip_zeros(text))

@@ -16,7 +16,7 @@ from strata.functions.money import cents_to_amount, to_cents
 LEVELS = ("line", "order")
 
 
-def _totals(df: DataFrame, key: str, amount: str) -> DataFrame:
+def _totals(df: DataFrame, key: str, amount: str, keep_parts: bool = False) -> DataFrame:
     agg = df.groupBy(key).agg(
         F.sum(to_cents(F.col(amount))).alias("_cents"),
         F.count(F.col(amount)).alias("_n"),
@@ -26,10 +26,11 @@ def _totals(df: DataFrame, key: str, amount: str) -> DataFrame:
         F.col(key),
         total.alias("total_purchase_amount"),
         F.when(F.col("_n") > 0, total / F.col("_n")).alias("average_purchase_amount"),
+        *([F.col("_cents"), F.col("_n")] if keep_parts else []),
     )
 
 
-def customer_totals(silver: DataFrame, level: str = "line") -> DataFrame:
+def customer_totals(silver: DataFrame, level: str = "line", keep_parts: bool = False) -> DataFrame:
     """Per-email ``total_purchase_amount`` and ``average_purchase_amount``.
 
     ``level="line"`` (default, as the original gold job): every silver line
@@ -40,12 +41,14 @@ def customer_totals(silver: DataFrame, level: str = "line") -> DataFrame:
     with no qualifying line stay out.  Two aggregates: the first collapses
     lines to orders (partial aggregation removes repeats map-side), the
     second is the per-email total.
+
+    ``keep_parts`` adds the exact ``_cents`` sum and ``_n`` count.
     """
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}")
     if level == "order":
         silver = silver.groupBy("email", "po_number").agg(F.max("total").alias("total"))
-    return _totals(silver, "email", "total")
+    return _totals(silver, "email", "total", keep_parts)
 
 
 def count_rows(df: DataFrame) -> int:

@@ -14,6 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from strata.functions.encode import encode_item, flatten_item
+from strata.functions.money import cents_text, mean_text
 from strata.functions.parse import parse_json, value_as_string
 from strata.operators.aggregates import customer_totals
 from strata.operators.transform import flatten_po, silver_lines, silver_lines_prefiltered
@@ -22,6 +26,7 @@ from strata.sources.documents import purchase_order_documents
 from strata.sources.tables import read_source_table
 from strata.sources.topic import message_frame
 
+GOLD_ITEM = {"email": "S", "total_purchase_amount": "N", "average_purchase_amount": "N"}
 WIRE_FIELDS = ["contact_info", "po_number", "items", "subtotal", "taxes", "total", "payment_due_date"]
 
 
@@ -49,9 +54,26 @@ def silver(bronze_df: DataFrame, prefilter: bool = False) -> DataFrame:
     return silver_lines_prefiltered(bronze_df) if prefilter else silver_lines(bronze_df)
 
 
-def gold(silver_df: DataFrame, level: str = "line") -> DataFrame:
+def gold(silver_df: DataFrame, level: str = "line", keep_parts: bool = False) -> DataFrame:
     """Per-email totals (A1-A3)."""
-    return customer_totals(silver_df, level)
+    return customer_totals(silver_df, level, keep_parts)
+
+
+def gold_items(totals: DataFrame) -> DataFrame:
+    """Key-store items ``email {S}, total {N}, average {N}``.
+
+    ``totals`` must carry ``_cents`` and ``_n`` (``gold(..., keep_parts=True)``):
+    number text is exact decimal, never a binary expansion.
+    """
+    text = {
+        "total_purchase_amount": cents_text(F.col("_cents")),
+        "average_purchase_amount": mean_text("_cents", "_n"),
+    }
+    return encode_item(totals, GOLD_ITEM, text)
+
+
+def gold_items_flat(totals: DataFrame) -> DataFrame:
+    return flatten_item(gold_items(totals), GOLD_ITEM)
 
 
 def bronze_from_tables(spark: SparkSession, data_dir: str) -> DataFrame:
