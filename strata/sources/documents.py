@@ -11,7 +11,8 @@ from the input tables, so every downstream result can be checked against SQL:
 
 Document assembly is the only place where rows are collected into a group.
 Group size is bounded: an order with more than ``max_items`` lines is split
-into ``ceil(n / max_items)`` documents by a hash of the line, all carrying
+into ``ceil(n / max_items)`` documents by a hash of the line (hash buckets,
+so about ``max_items`` lines each), all carrying
 the same order header (po_number, totals).  After the silver explode the
 line rows are the same either way.  Orders are checked for size with a
 one-column aggregate before the assembly; when no order is that large (the
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strata.functions.money import line_amount, round2, taxes_of
 from strata.functions.text import CONTACT_PHONE, due_date, email_from_name, sku
@@ -74,43 +76,57 @@ def order_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
-def order_headers(orders: DataFrame, customer: DataFrame, lines: DataFrame) -> DataFrame:
-    """Order header: contact, po number, exact totals, due date.
+def order_headers(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Order header: contact, po number, due date, keyed by ``order_key``.
 
-    ``subtotal`` is a partial+final aggregate of exact line amounts (skew
-    safe: a hot order is combined map-side).  Orders without lines drop.
+    The customer join is left to the planner (broadcast only under the
+    size-checked threshold, sort-merge join otherwise).
     """
-    stats = lines.groupBy("order_key").agg(F.sum("amount").alias("subtotal_d"))
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     c = customer.select("c_custkey", "c_name")
-    subtotal = round2(F.col("subtotal_d"))
-    taxes = taxes_of(subtotal)
-    return (
-        o.join(c, o.o_custkey == c.c_custkey)
-        .join(stats, o.o_orderkey == stats.order_key)
-        .select(
-            F.col("order_key"),
-            F.struct(
-                F.col("c_name").alias("name"),
-                email_from_name(F.col("c_name"), separators=" #").alias("email"),
-                F.lit(CONTACT_PHONE).alias("phone"),
-            ).alias("contact_info"),
-            F.col("o_orderkey").alias("po_number"),
-            subtotal.cast("double").alias("subtotal"),
-            taxes.cast("double").alias("taxes"),
-            round2(subtotal + taxes).cast("double").alias("total"),
-            due_date(F.col("o_orderdate"), F.pmod(F.col("o_orderkey"), F.lit(30)) + 1).alias(
-                "payment_due_date"
-            ),
-        )
+    return o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_orderkey").alias("order_key"),
+        F.struct(
+            F.col("c_name").alias("name"),
+            email_from_name(F.col("c_name"), separators=" #").alias("email"),
+            F.lit(CONTACT_PHONE).alias("phone"),
+        ).alias("contact_info"),
+        F.col("o_orderkey").alias("po_number"),
+        due_date(F.col("o_orderdate"), F.pmod(F.col("o_orderkey"), F.lit(30)) + 1).alias("payment_due_date"),
     )
 
 
+def order_totals(subtotal_d: Column) -> list[Column]:
+    """``subtotal, taxes, total`` from the exact sum of line amounts: each
+    rounded to cents in decimal arithmetic, then stored as DOUBLE."""
+    subtotal = round2(subtotal_d)
+    taxes = taxes_of(subtotal)
+    return [
+        subtotal.cast("double").alias("subtotal"),
+        taxes.cast("double").alias("taxes"),
+        round2(subtotal + taxes).cast("double").alias("total"),
+    ]
+
+
 def _chunk_of(n_chunks: Column) -> Column:
     h = F.xxhash64(F.col("pos"))
     return F.when(n_chunks.isNull() | (n_chunks <= 1), F.lit(0)).otherwise(F.pmod(h, n_chunks))
 
 
+def hot_orders(lineitem: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+    """Orders with more than ``max_items`` lines and their number of chunks.
+
+    One narrow column, partial + final count: the size check that keeps
+    document assembly from collecting an unbounded group.
+    """
+    return (
+        lineitem.groupBy(F.col("l_orderkey").alias("order_key"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > max_items)
+        .select("order_key", F.ceil(F.col("n") / F.lit(max_items)).cast("long").alias("n_chunks"))
+    )
+
+
 def purchase_order_documents(
     orders: DataFrame,
     customer: DataFrame,
@@ -122,41 +138,44 @@ def purchase_order_documents(
 
     Columns: ``contact_info, po_number, items, subtotal, taxes, total,
     payment_due_date`` plus ``order_key`` and ``chunk``.
+
+    Items and the exact order amount come out of the same aggregate, so the
+    line join runs once.  Without hot orders that aggregate is hash
+    partitioned by ``order_key`` and the header join reuses the partitioning
+    (no further exchange on that side).
     """
     lines = order_lines(lineitem, part)
-    headers = order_headers(orders, customer, lines)
-
-    # Size check of the largest groups: one narrow column, partial aggregate.
-    hot = (
-        lineitem.groupBy(F.col("l_orderkey").alias("order_key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > max_items)
-        .select("order_key", F.ceil(F.col("n") / F.lit(max_items)).cast("long").alias("n_chunks"))
-    )
+    hot = hot_orders(lineitem, max_items)
     n_hot = hot.count()
 
     collect_items = F.transform(
         F.sort_array(F.collect_list(F.struct("pos", "item"))), lambda x: x["item"]
     ).alias("items")
+    amount = F.sum("amount").alias("subtotal_d")
 
     if n_hot == 0:
-        grouped = lines.groupBy("order_key").agg(collect_items).withColumn("chunk", F.lit(0))
+        grouped = lines.groupBy("order_key").agg(collect_items, amount).withColumn("chunk", F.lit(0))
+        docs = grouped.join(order_headers(orders, customer), "order_key")
     else:
         hot_side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_ROWS else hot
         grouped = (
             lines.join(hot_side, "order_key", "left")
             .withColumn("chunk", _chunk_of(F.col("n_chunks")))
             .groupBy("order_key", "chunk")
-            .agg(collect_items)
+            .agg(collect_items, amount)
+        )
+        # Chunk sums to the order sum.  The header join partitions by
+        # order_key, so this window adds no exchange; a window partition
+        # holds the few chunks of one order.
+        docs = grouped.join(order_headers(orders, customer), "order_key").withColumn(
+            "subtotal_d", F.sum("subtotal_d").over(Window.partitionBy("order_key"))
         )
 
-    return grouped.join(headers, "order_key").select(
+    return docs.select(
         "contact_info",
         "po_number",
         "items",
-        "subtotal",
-        "taxes",
-        "total",
+        *order_totals(F.col("subtotal_d")),
         "payment_due_date",
         "order_key",
         "chunk",
