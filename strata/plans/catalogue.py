@@ -218,6 +218,43 @@ def po_gold_upsert(spark: SparkSession, data_dir: str) -> DataFrame:
     return spark.read.parquet(latest).select("email", "total_purchase_amount", "average_purchase_amount")
 
 
+def po_customer_totals_stream(spark: SparkSession, data_dir: str) -> DataFrame:
+    """T7 + A1-A3: stateful streaming aggregate (update mode) from bronze,
+    merged into the keyed current table."""
+    from strata.sinks.keyed import read_current
+    from strata.streaming.gold import stream_customer_totals
+
+    bronze = f"{_memo_bronze(spark, data_dir, 'po')}/data"
+    w = work_dir(spark, "gold-stream")
+    stream_customer_totals(spark, bronze, f"{w}/gold", f"{w}/_checkpoint")
+    return read_current(spark, f"{w}/gold").select("email", "total_purchase_amount", "average_purchase_amount")
+
+
+def catalog_tables(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Both silver tables created in one database, listed
+    with ``SHOW TABLES`` and counted by a scan of each table."""
+    from strata.sources.tables import list_tables
+
+    w = work_dir(spark, "catalog")
+    db = "strata_" + w.rsplit("-", 1)[-1]
+    jobs.plain_silver(
+        spark, f"{_memo_bronze(spark, data_dir, 'plain')}/data", f"{db}.plain_silver", "incremental",
+        f"{w}/plain_ckpt", location=f"{w}/plain_silver",
+    )
+    jobs.po_silver(
+        spark, f"{_memo_bronze(spark, data_dir, 'po')}/data", f"{db}.po_silver", "incremental",
+        f"{w}/po_ckpt", location=f"{w}/po_silver",
+    )
+    listed = list_tables(spark, db).select(F.col("tableName").alias("table_name"))
+    counts = spark.table(f"{db}.plain_silver").select(F.lit("plain_silver").alias("table_name")).unionByName(
+        spark.table(f"{db}.po_silver").select(F.lit("po_silver").alias("table_name"))
+    ).groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
+    # every listed table appears, also an empty one
+    return listed.join(counts, "table_name", "left").select(
+        "table_name", F.coalesce(F.col("row_count"), F.lit(0)).alias("row_count")
+    )
+
+
 def audit_counts(spark: SparkSession, data_dir: str) -> DataFrame:
     """K8, A4: audit records written next to each bronze batch, counted."""
     audit = spark.read.parquet(f"{_memo_bronze(spark, data_dir, 'po')}/audit")
@@ -249,6 +286,8 @@ QUERIES: dict[str, Query] = {
     "po_customer_totals_stored": po_customer_totals_stored,
     "po_gold_items": po_gold_items,
     "po_gold_upsert": po_gold_upsert,
+    "po_customer_totals_stream": po_customer_totals_stream,
+    "catalog_tables": catalog_tables,
     "audit_counts": audit_counts,
 }
 
@@ -385,6 +424,10 @@ ORACLE: dict[str, str] = {
     + _totals_sql("stored"),
     "po_gold_items": _GOLD_ITEMS,
     "po_gold_upsert": _with(_PO) + " " + _totals_sql("po_silver"),
+    "po_customer_totals_stream": _with(_PO) + " " + _totals_sql("po_silver"),
+    "catalog_tables": _with(_PLAIN, _PO)
+    + " SELECT 'plain_silver' AS table_name, count(*) AS row_count FROM plain_clean"
+    " UNION ALL SELECT 'po_silver' AS table_name, count(*) AS row_count FROM po_silver",
     "audit_counts": _with(_PO)
     + " SELECT 'bronze-job-po-stream' AS stream, count(*) AS records, count(DISTINCT po_number) AS orders"
     " FROM po_bronze",

@@ -36,6 +36,23 @@ def show_tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}")
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """Storage folder of a table (catalog metadata, read on the driver)."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    for r in rows:
+        if r.col_name == "Location":
+            return r.data_type
+    raise ValueError(f"table {name} has no location")
+
+
+def written_by_stream(spark: SparkSession, name: str) -> bool:
+    """True when the table's folder holds a streaming file-sink log."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table_location(spark, name) + "/_spark_metadata")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(path)
+
+
 def append(df: DataFrame, name: str, using: str = "parquet") -> None:
     """Append rows by column name (K4).
 
@@ -47,7 +64,13 @@ def append(df: DataFrame, name: str, using: str = "parquet") -> None:
     if using == "iceberg":
         df.writeTo(name).append()
         return
-    table_cols = df.sparkSession.table(name).columns
+    spark = df.sparkSession
+    if written_by_stream(spark, name):
+        raise ValueError(
+            f"table {name} is written by a stream (incremental mode); a batch insert would not be "
+            "visible to its readers"
+        )
+    table_cols = spark.table(name).columns
     df.select(*table_cols).write.insertInto(name)
 
 

@@ -1,10 +1,21 @@
-"""Incremental silver (Q6): bronze folder -> clean -> table append, once.
+"""Incremental silver (Q6): bronze folder -> clean -> table, each row once.
 
 The original silver job re-reads all of bronze and appends on every run, so
 a second run duplicates every row (``mode="full"`` in the plans).  Here the
 bronze folder is read as a file stream with its own checkpoint and the
-``availableNow`` trigger: each run appends only files not seen before, then
+``availableNow`` trigger: each run takes only files not seen before, then
 stops.
+
+The rows go through the parquet file sink straight into the table's
+location.  The sink commits each micro-batch to the ``_spark_metadata`` log
+in that folder, and table scans read through that log, so a batch replayed
+after a driver failure (written, but not yet committed) is never seen twice.
+Executor loss is handled below that by task retry and the output committer.
+Values are cast to the table's column types on the way (DOUBLE to FLOAT,
+DATE to STRING where the table says so), as a table insert would.
+
+A table written this way must not also take batch inserts: files written
+outside the log are invisible to readers.  ``append`` refuses such tables.
 """
 
 from __future__ import annotations
@@ -12,10 +23,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.sinks.tables import append
-from strata.streaming.sinks import foreach_batch_sink, run_to_end
+from strata.sinks.tables import table_location
+from strata.streaming.sinks import file_sink, run_to_end
+
+
+def cast_to_table(df: DataFrame, table_schema: T.StructType) -> DataFrame:
+    """Select the table's columns by name, cast to the table's types."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema.fields])
 
 
 def incremental_append(
@@ -27,9 +44,18 @@ def incremental_append(
     checkpoint: str,
     using: str = "parquet",
 ) -> None:
-    stream = spark.readStream.schema(bronze_schema).parquet(bronze_path)
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        append(transform(batch), table, using)
-
-    run_to_end(foreach_batch_sink(stream, handle, checkpoint, trigger="availableNow"))
+    stream = transform(spark.readStream.schema(bronze_schema).parquet(bronze_path))
+    if using == "iceberg":
+        # Iceberg commits each micro-batch atomically with the batch id.
+        query = (
+            stream.writeStream.option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .toTable(table)
+        )
+        run_to_end(query)
+        return
+    target = spark.table(table)
+    out = cast_to_table(stream, target.schema)
+    run_to_end(file_sink(out, table_location(spark, table), checkpoint, trigger="availableNow"))
+    # the session caches the table's file listing; new files need a refresh
+    spark.catalog.refreshTable(table)

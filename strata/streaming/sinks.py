@@ -53,9 +53,14 @@ def foreach_batch_sink(
     checkpoint: str,
     trigger: str | None = DEFAULT_INTERVAL,
     query_name: str | None = None,
+    output_mode: str = "append",
 ) -> StreamingQuery:
     """Micro-batch callback sink (K1, T5)."""
-    writer = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
+    writer = (
+        stream.writeStream.foreachBatch(handler)
+        .option("checkpointLocation", checkpoint)
+        .outputMode(output_mode)
+    )
     if query_name:
         writer = writer.queryName(query_name)
     return _with_trigger(writer, trigger).start()

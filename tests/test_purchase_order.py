@@ -11,29 +11,7 @@ from strata.operators.transform import explode_lines, heavy_lines
 from strata.plans import purchase_order as po
 from strata.schemas import PO_SILVER_COLUMNS, PURCHASE_ORDER
 
-DOCS = [
-    {
-        "contact_info": {"name": "John Doe", "email": "john@example.com", "phone": "555-1234"},
-        "po_number": "PO-001",
-        "items": [
-            {"sku": "SKU-001", "description": "Widget A", "weight_quantity": 10000, "price": 25.50},
-            {"sku": "SKU-002", "description": "Widget B", "weight_quantity": 8000, "price": 15.75},
-        ],
-        "subtotal": 41.25,
-        "taxes": 3.30,
-        "total": 44.55,
-        "payment_due_date": "2025-12-31",
-    },
-    {
-        "contact_info": {"name": "Jane Smith", "email": "jane@example.com", "phone": "555-5678"},
-        "po_number": "PO-002",
-        "items": [{"sku": "SKU-003", "description": "Gadget C", "weight_quantity": 12000, "price": 99.99}],
-        "subtotal": 99.99,
-        "taxes": 8.00,
-        "total": 107.99,
-        "payment_due_date": "2026-01-15",
-    },
-]
+from tests_data import PO_DOCS as DOCS
 
 
 def topic_of(spark, docs):
