@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from strata.functions.encode import encode_item, flatten_item
 from strata.functions.money import cents_text, mean_text
 from strata.functions.parse import parse_json, value_as_string
-from strata.operators.aggregates import customer_totals
+from strata.operators.aggregates import customer_totals, customer_totals_from_documents
 from strata.operators.transform import flatten_po, silver_lines, silver_lines_prefiltered
 from strata.schemas import PURCHASE_ORDER
 from strata.sources.documents import purchase_order_documents
@@ -59,6 +59,12 @@ def gold(silver_df: DataFrame, level: str = "line", keep_parts: bool = False) ->
     return customer_totals(silver_df, level, keep_parts)
 
 
+def gold_from_bronze(bronze_df: DataFrame, level: str = "line", keep_parts: bool = False) -> DataFrame:
+    """Per-email totals straight from bronze documents: the same rows as
+    ``gold(silver(bronze_df))`` without generating the silver lines."""
+    return customer_totals_from_documents(bronze_df, level, keep_parts)
+
+
 def gold_items(totals: DataFrame) -> DataFrame:
     """Key-store items ``email {S}, total {N}, average {N}``.
 
@@ -82,4 +88,4 @@ def bronze_from_tables(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def customer_totals_from_tables(spark: SparkSession, data_dir: str, level: str = "line") -> DataFrame:
     """The whole chain from the input tables to gold, as one plan."""
-    return gold(silver(bronze_from_tables(spark, data_dir), prefilter=True), level)
+    return gold_from_bronze(bronze_from_tables(spark, data_dir), level)

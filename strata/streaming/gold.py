@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.money import cents_to_amount, to_cents
-from strata.plans import purchase_order as po_plan
+from strata.functions.money import cents_to_amount
+from strata.operators.aggregates import line_total_parts, qualifying_lines
 from strata.sinks.keyed import upsert_current
 from strata.streaming.sinks import foreach_batch_sink, run_to_end
 
@@ -29,11 +29,11 @@ def stream_customer_totals(
 ) -> None:
     """Bronze folder -> silver lines -> per-email totals -> current table."""
     schema = spark.read.parquet(bronze_path).schema
-    lines = po_plan.silver(spark.readStream.schema(schema).parquet(bronze_path), prefilter=True)
-    state = lines.groupBy("email").agg(
-        F.sum(to_cents(F.col("total"))).alias("_cents"),
-        F.count(F.col("total")).alias("_n"),
-    )
+    docs = spark.readStream.schema(schema).parquet(bronze_path)
+    # line-level totals without generating the lines (see
+    # customer_totals_from_documents): two longs of state per email
+    k = qualifying_lines()
+    state = line_total_parts(docs.select("email", "total", k.alias("_k")).where(F.col("_k") > 0))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         total = cents_to_amount(F.col("_cents"))
