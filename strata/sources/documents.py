@@ -154,13 +154,20 @@ def purchase_order_documents(
     amount = F.sum("amount").alias("subtotal_d")
 
     if n_hot == 0:
-        grouped = lines.groupBy("order_key").agg(collect_items, amount).withColumn("chunk", F.lit(0))
+        # A partial collect_list shrinks nothing (the lists carry every
+        # line), so the lines are exchanged first and the lists are built
+        # once, after the exchange, in parallel over the shuffle partitions.
+        grouped = (
+            lines.repartition("order_key").groupBy("order_key").agg(collect_items, amount)
+            .withColumn("chunk", F.lit(0))
+        )
         docs = grouped.join(order_headers(orders, customer), "order_key")
     else:
         hot_side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_ROWS else hot
         grouped = (
             lines.join(hot_side, "order_key", "left")
             .withColumn("chunk", _chunk_of(F.col("n_chunks")))
+            .repartition("order_key", "chunk")
             .groupBy("order_key", "chunk")
             .agg(collect_items, amount)
         )
