@@ -81,14 +81,23 @@ def batch_folder_writer(
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():  # LIMIT 1 job, not a full count
             return
+        from strata.operators.aggregates import observed_count
+
         target = f"{base}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(target)
+        # the row count comes with the write (observe), not from a second job
+        counted, obs = observed_count(batch, f"bronze_batch_{batch_id}")
+        counted.write.mode("overwrite").parquet(target)
         if audit_base is not None:
-            from strata.sinks.audit import audit_records
-
-            written = batch.sparkSession.read.parquet(target)
-            audit_records(written, audit_stream or "audit").write.mode("overwrite").parquet(
-                f"{audit_base}/batch_id={batch_id}"
+            from strata.sinks.audit import audit_message, audit_records
+
+            spark = batch.sparkSession
+            stream = audit_stream or "audit"
+            written = spark.read.parquet(target)
+            audit_records(written, stream).write.mode("overwrite").parquet(f"{audit_base}/batch_id={batch_id}")
+            # one step record per batch; "_steps" is hidden from readers of the record folder
+            step = f"batch {batch_id}: wrote {obs.get['rows']} rows to {target}"
+            audit_message(spark, stream, step).write.mode("overwrite").parquet(
+                f"{audit_base}/_steps/batch_id={batch_id}"
             )
 
     return handle

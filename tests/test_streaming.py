@@ -59,6 +59,8 @@ def test_batch_folder_replay_is_idempotent(spark, tmp_dir):
     audit = spark.read.parquet(f"{tmp_dir}/audit")
     assert audit.count() == 2
     assert {r.stream for r in audit.collect()} == {"bronze-job-po-stream"}
+    steps = [r.message for r in spark.read.parquet(f"{tmp_dir}/audit/_steps").collect()]
+    assert len(steps) == 1 and steps[0].startswith("batch 0: wrote 2 rows")
 
 
 def test_po_bronze_stream_with_audit(spark, tmp_dir):
