@@ -156,3 +156,19 @@ def test_streaming_totals_complete_mode(spark, tmp_dir):
 
     got = {r.email: (r.total_purchase_amount, r.average_purchase_amount) for r in read_current(spark, out).collect()}
     assert got == {"john@example.com": (89.10, 44.55), "jane@example.com": (107.99, 107.99)}
+
+
+def test_job_launcher_end_to_end(spark, tmp_dir):
+    from strata.__main__ import main
+    from strata.sinks.keyed import read_current
+
+    topic = plain_topic(spark, tmp_dir, PLAIN_ROWS)
+    table = f"{_db(tmp_dir)}.plain_silver"
+    main(["plain_bronze", "--topic-path", topic.path, "--bronze", f"{tmp_dir}/b", "--checkpoint", f"{tmp_dir}/c1",
+          "--trigger", "availableNow"])
+    main(["plain_silver", "--bronze", f"{tmp_dir}/b", "--table", table, "--checkpoint", f"{tmp_dir}/c2",
+          "--location", f"{tmp_dir}/s"])
+    main(["plain_gold", "--table", table, "--gold", f"{tmp_dir}/g"])
+    got = {r.id: (r.name, r.amount) for r in read_current(spark, f"{tmp_dir}/g").collect()}
+    # id 1 twice: the later message (amount 10) wins; Charlie (120) is cleaned out
+    assert got == {1: ("Alice", 10), 2: ("Bob", 75)}
