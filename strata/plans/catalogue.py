@@ -29,16 +29,20 @@ _BRONZE: dict[tuple[str, str, str], str] = {}
 
 
 def _memo_bronze(spark: SparkSession, data_dir: str, kind: str) -> str:
-    """Bronze folder written once per session by the streaming bronze job."""
+    """Bronze folder written once per session by the streaming bronze job.
+
+    ``kind`` is ``plain`` or ``po``, with ``-mixed`` for the mixed-quality
+    feed of the same tables."""
     key = (spark.sparkContext.applicationId, data_dir.rstrip("/"), kind)
     if key not in _BRONZE:
         w = work_dir(spark, f"bronze-{kind}")
-        if kind == "plain":
-            jobs.plain_bronze(spark, plain_topic(spark, data_dir), f"{w}/data", f"{w}/_checkpoint", "availableNow")
+        mixed = kind.endswith("-mixed")
+        if kind.startswith("plain"):
+            topic = plain_topic(spark, data_dir, mixed=mixed)
+            jobs.plain_bronze(spark, topic, f"{w}/data", f"{w}/_checkpoint", "availableNow")
         else:
-            jobs.po_bronze(
-                spark, po_topic(spark, data_dir), f"{w}/data", f"{w}/_checkpoint", "availableNow", f"{w}/audit"
-            )
+            topic = po_topic(spark, data_dir, mixed=mixed)
+            jobs.po_bronze(spark, topic, f"{w}/data", f"{w}/_checkpoint", "availableNow", f"{w}/audit")
         _BRONZE[key] = w
     return _BRONZE[key]
 
@@ -244,6 +248,28 @@ def po_customer_totals_stream(spark: SparkSession, data_dir: str) -> DataFrame:
     return read_current(spark, f"{w}/gold").select("email", "total_purchase_amount", "average_purchase_amount")
 
 
+# --- mixed-quality feeds ---------------------------------------
+def plain_parse_mixed(spark: SparkSession, data_dir: str) -> DataFrame:
+    """P2 in permissive mode through the bronze job: every message is kept;
+    a string id leaves only ``id`` NULL, a non-JSON message a row of NULLs."""
+    return _bronze_folder(spark, data_dir, "plain-mixed").select("id", "name", "amount", "seq")
+
+
+def plain_current_mixed(spark: SparkSession, data_dir: str) -> DataFrame:
+    """F1 drops NULL amounts; A7 keeps a NULL id as its own group."""
+    return plain.gold(plain.silver(_bronze_folder(spark, data_dir, "plain-mixed")))
+
+
+def po_bronze_mixed(spark: SparkSession, data_dir: str) -> DataFrame:
+    """P4 over documents without a contact block: name, email, phone NULL."""
+    return _bronze_summary(_bronze_folder(spark, data_dir, "po-mixed"))
+
+
+def po_customer_totals_mixed(spark: SparkSession, data_dir: str) -> DataFrame:
+    """A1-A3 with a NULL email group (``groupBy`` keeps NULL keys)."""
+    return po.gold_from_bronze(_bronze_folder(spark, data_dir, "po-mixed"))
+
+
 def catalog_tables(spark: SparkSession, data_dir: str) -> DataFrame:
     """Both silver tables created in one database, listed
     with ``SHOW TABLES`` and counted by a scan of each table."""
@@ -303,6 +329,10 @@ QUERIES: dict[str, Query] = {
     "po_customer_totals_stream": po_customer_totals_stream,
     "catalog_tables": catalog_tables,
     "audit_counts": audit_counts,
+    "plain_parse_mixed": plain_parse_mixed,
+    "plain_current_mixed": plain_current_mixed,
+    "po_bronze_mixed": po_bronze_mixed,
+    "po_customer_totals_mixed": po_customer_totals_mixed,
 }
 
 
@@ -351,6 +381,29 @@ po_lines AS (
 po_silver AS (SELECT * FROM po_lines WHERE weight_quantity > 5000)"""
 
 
+# Fixed values of the mixed feed: 'signup' sends the id as text, 'error' is
+# not JSON, orders in status 'P' have no contact block.
+_PLAIN_MIXED = """
+plain_mixed AS (
+  SELECT CASE WHEN event_type IN ('signup', 'error') THEN NULL ELSE CAST(user_id AS INTEGER) END AS id,
+         CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS name,
+         CASE WHEN event_type = 'error' THEN NULL ELSE CAST(trunc(value) AS INTEGER) END AS amount,
+         event_id AS seq
+  FROM events)"""
+
+_PO_MIXED = """
+po_bronze_mixed AS (
+  SELECT CASE WHEN o.o_orderstatus = 'P' THEN NULL ELSE b.name END AS name,
+         CASE WHEN o.o_orderstatus = 'P' THEN NULL ELSE b.email END AS email,
+         CASE WHEN o.o_orderstatus = 'P' THEN NULL ELSE b.phone END AS phone,
+         b.po_number, b.n_items, b.items_weight, b.subtotal, b.taxes, b.total, b.payment_due_date, b.order_key
+  FROM po_bronze b JOIN orders o ON o.o_orderkey = b.order_key),
+po_silver_mixed AS (
+  SELECT b.email, b.total
+  FROM po_bronze_mixed b JOIN po_line_base l ON l.order_key = b.order_key
+  WHERE l.weight_quantity > 5000)"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
@@ -445,4 +498,10 @@ ORACLE: dict[str, str] = {
     "audit_counts": _with(_PO)
     + " SELECT 'bronze-job-po-stream' AS stream, count(*) AS records, count(DISTINCT po_number) AS orders"
     " FROM po_bronze",
+    "plain_parse_mixed": _with(_PLAIN_MIXED) + " SELECT id, name, amount, seq FROM plain_mixed",
+    "plain_current_mixed": _with(_PLAIN_MIXED)
+    + " SELECT id, arg_max_null(name, seq) AS name, arg_max_null(amount, seq) AS amount"
+    " FROM plain_mixed WHERE amount < 100 GROUP BY id",
+    "po_bronze_mixed": _with(_PO, _PO_MIXED) + f" SELECT {_BRONZE_COLS} FROM po_bronze_mixed",
+    "po_customer_totals_mixed": _with(_PO, _PO_MIXED) + " " + _totals_sql("po_silver_mixed"),
 }

@@ -24,6 +24,11 @@ from strata.sources.topic import message_frame
 PAYLOAD = ["id", "name", "amount"]
 GOLD_ITEM = {"id": "N", "name": "S", "amount": "N"}
 
+# The mixed-quality feed.  Events of these types
+# reach the topic in a faulty shape; every other event is well formed.
+ID_AS_TEXT_TYPE = "signup"  # {"id": "7", ...}: a string for the INT field
+NOT_JSON_TYPE = "error"  # "error 7": not JSON at all
+
 
 def events(spark: SparkSession, data_dir: str) -> DataFrame:
     """Plain events ``(id, name, amount, seq)`` from the input tables."""
@@ -35,6 +40,28 @@ def messages(events_df: DataFrame) -> DataFrame:
     return message_frame(events_df, payload=PAYLOAD, offset="seq")
 
 
+def mixed_messages(events_df: DataFrame) -> DataFrame:
+    """Topic frame of a producer that sometimes gets the shape wrong.
+
+    Same events, same offsets, one message each; only the wire text differs
+    by event type.  Parsing keeps every row: a string id gives a NULL id
+    with name and amount kept, a non-JSON message gives a row of NULLs.
+    """
+    good = F.to_json(F.struct(*[F.col(c) for c in PAYLOAD]))
+    id_as_text = F.to_json(F.struct(F.col("id").cast("string").alias("id"), "name", "amount"))
+    not_json = F.concat(F.lit(NOT_JSON_TYPE + " "), F.col("id").cast("string"))
+    value = (
+        F.when(F.col("name") == ID_AS_TEXT_TYPE, id_as_text)
+        .when(F.col("name") == NOT_JSON_TYPE, not_json)
+        .otherwise(good)
+    )
+    return events_df.select(
+        F.lit(None).cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
+        F.col("seq").cast("long").alias("offset"),
+    )
+
+
 def bronze(topic_frame: DataFrame, keep_offset: bool = True) -> DataFrame:
     """``CAST(value AS STRING)`` -> ``from_json`` -> ``data.*``."""
     keep = ["offset"] if keep_offset else []

@@ -28,6 +28,9 @@ from strata.sources.topic import message_frame
 
 GOLD_ITEM = {"email": "S", "total_purchase_amount": "N", "average_purchase_amount": "N"}
 WIRE_FIELDS = ["contact_info", "po_number", "items", "subtotal", "taxes", "total", "payment_due_date"]
+# Fixed value: in the mixed-quality feed, orders in this status are sent
+# before the customer is known, without ``contact_info``.
+NO_CONTACT_STATUS = "P"
 
 
 def documents(spark: SparkSession, data_dir: str, max_items: int | None = None) -> DataFrame:
@@ -42,6 +45,20 @@ def messages(docs: DataFrame) -> DataFrame:
     return message_frame(docs, payload=WIRE_FIELDS, key="po_number")
 
 
+def mixed_messages(docs: DataFrame) -> DataFrame:
+    """Topic frame where orders in ``NO_CONTACT_STATUS`` lack the contact
+    block: after parsing, their name, email and phone are NULL, and the
+    per-email totals carry a NULL group (as ``groupBy`` keeps NULL keys)."""
+    full = F.to_json(F.struct(*[F.col(c) for c in WIRE_FIELDS]))
+    no_contact = F.to_json(F.struct(*[F.col(c) for c in WIRE_FIELDS if c != "contact_info"]))
+    value = F.when(F.col("order_status") == NO_CONTACT_STATUS, no_contact).otherwise(full)
+    return docs.select(
+        F.col("po_number").cast("string").cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
+        F.lit(None).cast("long").alias("offset"),
+    )
+
+
 def bronze(topic_frame: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Cast, parse and flatten (P1, P2, P4): nine bronze columns."""
     keep = keep or []

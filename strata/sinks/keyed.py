@@ -92,14 +92,19 @@ def put_items(
     client_factory: Callable[[], object],
     table_name: str,
     batch_size: int = 25,
+    key: str | None = None,
 ) -> None:
     """Write encoded items (``strata.functions.encode.encode_item``) with
     ``client.batch_put(table_name, [item, ...])`` from each partition.
 
     ``client_factory`` is called once per partition on the executor.  NULL
-    attributes are left out of the item.
+    attributes are left out of the item.  With ``key`` (the key attribute),
+    an item without a key is not put: a store cannot take it.  Route such
+    rows to a side output with ``split_null_keys`` before encoding.
     """
     cols = items.columns
+    if key is not None:
+        items = items.filter(F.col(key).isNotNull())
     payload = items.select(F.to_json(F.struct(*[F.col(c) for c in cols])).alias("item"))
 
     def write_partition(rows: Iterable) -> None:

@@ -82,7 +82,7 @@ def order_headers(orders: DataFrame, customer: DataFrame) -> DataFrame:
     The customer join is left to the planner (broadcast only under the
     size-checked threshold, sort-merge join otherwise).
     """
-    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     c = customer.select("c_custkey", "c_name")
     return o.join(c, o.o_custkey == c.c_custkey).select(
         F.col("o_orderkey").alias("order_key"),
@@ -93,6 +93,7 @@ def order_headers(orders: DataFrame, customer: DataFrame) -> DataFrame:
         ).alias("contact_info"),
         F.col("o_orderkey").alias("po_number"),
         due_date(F.col("o_orderdate"), F.pmod(F.col("o_orderkey"), F.lit(30)) + 1).alias("payment_due_date"),
+        F.col("o_orderstatus").alias("order_status"),
     )
 
 
@@ -137,7 +138,7 @@ def purchase_order_documents(
     """Purchase-order documents in the wire shape.
 
     Columns: ``contact_info, po_number, items, subtotal, taxes, total,
-    payment_due_date`` plus ``order_key`` and ``chunk``.
+    payment_due_date`` plus ``order_key``, ``chunk`` and ``order_status``.
 
     Items and the exact order amount come out of the same aggregate, so the
     line join runs once.  Without hot orders that aggregate is hash
@@ -186,6 +187,7 @@ def purchase_order_documents(
         "payment_due_date",
         "order_key",
         "chunk",
+        "order_status",
     )
 
 

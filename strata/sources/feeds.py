@@ -24,23 +24,27 @@ def _memo(spark: SparkSession, data_dir: str, kind: str, build) -> Topic:
     return topic
 
 
-def plain_topic(spark: SparkSession, data_dir: str) -> Topic:
+def plain_topic(spark: SparkSession, data_dir: str, mixed: bool = False) -> Topic:
+    """Plain events topic; ``mixed`` gives the mixed-quality feed."""
     from strata.plans import plain
 
     def build() -> Topic:
         topic = Topic(PLAIN_TOPIC, path=work_dir(spark, "topic-plain"))
-        produce(plain.messages(plain.events(spark, data_dir)), topic)
+        to_messages = plain.mixed_messages if mixed else plain.messages
+        produce(to_messages(plain.events(spark, data_dir)), topic)
         return topic
 
-    return _memo(spark, data_dir, "plain", build)
+    return _memo(spark, data_dir, "plain-mixed" if mixed else "plain", build)
 
 
-def po_topic(spark: SparkSession, data_dir: str) -> Topic:
+def po_topic(spark: SparkSession, data_dir: str, mixed: bool = False) -> Topic:
+    """Purchase-order topic; ``mixed`` gives the mixed-quality feed."""
     from strata.plans import purchase_order
 
     def build() -> Topic:
         topic = Topic(PO_TOPIC, path=work_dir(spark, "topic-po"))
-        produce(purchase_order.messages(purchase_order.documents(spark, data_dir)), topic)
+        to_messages = purchase_order.mixed_messages if mixed else purchase_order.messages
+        produce(to_messages(purchase_order.documents(spark, data_dir)), topic)
         return topic
 
-    return _memo(spark, data_dir, "purchase_order", build)
+    return _memo(spark, data_dir, "purchase_order-mixed" if mixed else "purchase_order", build)

@@ -82,3 +82,22 @@ def test_null_keys_go_to_side_output(spark):
     df = spark.createDataFrame([("a@x", 1.0), (None, 2.0)], "email string, total double")
     ok, rejected = split_null_keys(df, "email")
     assert ok.count() == 1 and rejected.count() == 1
+
+
+def test_put_items_skips_items_without_key(spark, tmp_dir):
+    folder = tmp_dir[len("file:"):] if tmp_dir.startswith("file:") else tmp_dir
+    os.makedirs(folder, exist_ok=True)
+    df = spark.createDataFrame([(1, "a", 5), (None, "b", 6)], "id int, name string, amount int")
+
+    class FileStore:
+        def __init__(self, folder):
+            self.folder = folder
+
+        def batch_put(self, table, items):
+            with open(os.path.join(self.folder, f"{table}-{uuid.uuid4().hex}.jsonl"), "w") as fh:
+                for item in items:
+                    fh.write(json.dumps(item) + "\n")
+
+    put_items(plain.gold_items(df), lambda: FileStore(folder), "g", key="id")
+    items = [json.loads(line) for f in glob.glob(os.path.join(folder, "g-*.jsonl")) for line in open(f)]
+    assert items == [{"id": {"N": "1"}, "name": {"S": "a"}, "amount": {"N": "5"}}]

@@ -116,3 +116,18 @@ def test_message_frame_payload_only(spark):
     msg = message_frame(df, payload=["id", "name", "amount"], offset="seq").collect()[0]
     assert json.loads(bytes(msg.value)) == {"id": 1, "name": "a", "amount": 2}
     assert msg.offset == 99
+
+
+def test_mixed_feed_keeps_every_message(spark):
+    df = spark.createDataFrame(
+        [(1, "view", 50, 10), (2, "signup", 60, 11), (3, "error", 70, 12)], "id int, name string, amount int, seq long"
+    )
+    rows = plain.bronze(plain.mixed_messages(df)).orderBy("seq").collect()
+    assert [(r.id, r.name, r.amount, r.seq) for r in rows] == [
+        (1, "view", 50, 10),  # well formed
+        (None, "signup", 60, 11),  # id sent as text: only id is NULL
+        (None, None, None, 12),  # not JSON: a row of NULLs, kept
+    ]
+    # downstream: F1 drops the NULL amount, A7 keeps the NULL id as a group
+    got = {r.id: (r.name, r.amount) for r in plain.gold(plain.silver(plain.bronze(plain.mixed_messages(df)))).collect()}
+    assert got == {1: ("view", 50), None: ("signup", 60)}

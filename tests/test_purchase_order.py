@@ -148,3 +148,16 @@ def test_totals_from_documents_equal_totals_from_lines(spark):
         got = sorted(po.gold_from_bronze(b, level, keep_parts=True).collect(), key=key)
         assert got == want, level
     assert "light@x" not in {r.email for r in po.gold_from_bronze(b).collect()}
+
+
+def test_mixed_feed_null_contact_group(spark):
+    docs = topic_of(spark, DOCS).select(
+        F.from_json(F.col("value").cast("string"), PURCHASE_ORDER).alias("d"), "offset"
+    ).select("d.*", F.when(F.col("offset") == 0, "P").otherwise("F").alias("order_status"))
+    parsed = po.bronze(po.mixed_messages(docs))
+    rows = {r.po_number: (r.name, r.email, r.phone, r.total) for r in parsed.collect()}
+    # the order in status P arrives without contact block; the rest is intact
+    assert rows == {"PO-001": (None, None, None, 44.55), "PO-002": ("Jane Smith", "jane@example.com", "555-5678", 107.99)}
+    got = {r.email: (r.total_purchase_amount, r.average_purchase_amount) for r in po.gold_from_bronze(parsed).collect()}
+    # groupBy keeps the NULL email group (two qualifying lines of 44.55)
+    assert got == {None: (89.10, 44.55), "jane@example.com": (107.99, 107.99)}
