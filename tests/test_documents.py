@@ -55,3 +55,10 @@ def test_single_aggregate_and_join_in_plan(spark):
     # one assembly aggregate (partial + final), no Python in the plan
     assert plan.count("ObjectHashAggregate") == 2
     assert "Python" not in plan
+
+
+def test_capitalize_first_letters(spark):
+    from strata.functions.text import capitalize
+
+    df = spark.createDataFrame([("alice",), ("o'brien smith",), (None,)], "w string")
+    assert [r.c for r in df.select(capitalize(F.col("w")).alias("c")).collect()] == ["Alice", "O'brien Smith", None]

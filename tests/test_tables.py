@@ -74,3 +74,17 @@ def test_work_folders_under_the_session_checkpoint_dir(spark):
     assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     a, b = work_dir(spark, "x"), work_dir(spark, "x")
     assert a != b and a.startswith(root + "/strata/x-")
+
+
+def test_ad_hoc_scan_count_and_preview(spark, tmp_dir):
+    # A table read by name, counted, previewed with a bound
+    from strata.operators.aggregates import count_rows
+    from strata.sources.tables import preview, read_table
+
+    db = _db(tmp_dir)
+    create_database(spark, db)
+    create_table(spark, f"{db}.t", [("id", "INT")], location=f"{tmp_dir}/t")
+    spark.sql(f"INSERT INTO {db}.t SELECT CAST(id AS INT) FROM range(30)")
+    df = read_table(spark, f"{db}.t")
+    assert count_rows(df) == 30
+    assert preview(df).count() == 20
