@@ -237,15 +237,16 @@ def po_gold_upsert(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def po_customer_totals_stream(spark: SparkSession, data_dir: str) -> DataFrame:
-    """T7 + A1-A3: stateful streaming aggregate (update mode) from bronze,
-    merged into the keyed current table."""
-    from strata.sinks.keyed import read_current
+    """T7 + A1-A3: stateful streaming aggregate (update mode) from bronze;
+    changed keys land per micro-batch and are merged on read."""
+    from strata.sinks.keyed import read_merged
     from strata.streaming.gold import stream_customer_totals
 
     bronze = f"{_memo_bronze(spark, data_dir, 'po')}/data"
     w = work_dir(spark, "gold-stream")
     stream_customer_totals(spark, bronze, f"{w}/gold", f"{w}/_checkpoint")
-    return read_current(spark, f"{w}/gold").select("email", "total_purchase_amount", "average_purchase_amount")
+    current = read_merged(spark, f"{w}/gold", "email", "seq")
+    return current.select("email", "total_purchase_amount", "average_purchase_amount")
 
 
 # --- mixed-quality feeds ---------------------------------------

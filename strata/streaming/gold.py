@@ -4,9 +4,12 @@ The batch gold job recomputes the totals from the whole silver table on
 every run.  This is the incremental form: a stateful streaming aggregate
 (state per email in the checkpoint's state store, partitioned by the
 shuffle on ``email``) in ``update`` mode, so each micro-batch emits only the
-emails whose totals changed.  Those rows are merged into the keyed current
-table with the batch id as the sequence, so a replayed batch writes the same
-values again.
+emails whose totals changed.  Those rows land as one change folder per
+micro-batch (merge-on-read, ``sinks.keyed.write_changes``), with the batch
+id as the sequence, so a replayed batch writes the same values again.  A
+compaction every ``compact_every`` batches folds the changes into a
+snapshot; read the table with ``read_merged``.  A micro-batch costs
+O(changed emails), not O(all emails).
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.money import cents_to_amount
 from strata.operators.aggregates import line_total_parts, qualifying_lines
-from strata.sinks.keyed import upsert_current
+from strata.sinks.keyed import compact, write_changes
 from strata.streaming.sinks import foreach_batch_sink, run_to_end
 
 
@@ -26,6 +29,7 @@ def stream_customer_totals(
     gold_path: str,
     checkpoint: str,
     trigger: str | None = "availableNow",
+    compact_every: int = 20,
 ) -> None:
     """Bronze folder -> silver lines -> per-email totals -> current table."""
     schema = spark.read.parquet(bronze_path).schema
@@ -45,6 +49,8 @@ def stream_customer_totals(
             "_n",
             F.lit(batch_id).cast("long").alias("seq"),
         )
-        upsert_current(spark, gold_path, rows, "email", "seq")
+        write_changes(spark, gold_path, rows, batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            compact(spark, gold_path, "email", "seq", batch_id)
 
     run_to_end(foreach_batch_sink(state, merge, checkpoint, trigger, output_mode="update"))

@@ -101,3 +101,30 @@ def test_put_items_skips_items_without_key(spark, tmp_dir):
     put_items(plain.gold_items(df), lambda: FileStore(folder), "g", key="id")
     items = [json.loads(line) for f in glob.glob(os.path.join(folder, "g-*.jsonl")) for line in open(f)]
     assert items == [{"id": {"N": "1"}, "name": {"S": "a"}, "amount": {"N": "5"}}]
+
+
+def test_merge_on_read_changes_and_compaction(spark, tmp_dir):
+    from strata.sinks.keyed import compact, read_merged, write_changes
+
+    path = f"{tmp_dir}/gold"
+    schema = "email string, total double, seq long"
+
+    def batch(rows, batch_id):
+        write_changes(spark, path, spark.createDataFrame(rows, schema), batch_id)
+
+    def current(upto=None):
+        return {r.email: (r.total, r.seq) for r in read_merged(spark, path, "email", "seq", upto).collect()}
+
+    batch([("a", 1.0, 0), ("b", 2.0, 0)], 0)
+    batch([("a", 3.0, 1)], 1)
+    assert current() == {"a": (3.0, 1), "b": (2.0, 0)}
+    compact(spark, path, "email", "seq", 1)
+    assert committed_versions(spark, path) == [1]
+    batch([("b", 5.0, 2), ("c", 7.0, 2)], 2)
+    assert current() == {"a": (3.0, 1), "b": (5.0, 2), "c": (7.0, 2)}
+    # a replayed batch overwrites its own folder; the snapshot is not rewritten
+    batch([("a", 3.0, 1)], 1)
+    compact(spark, path, "email", "seq", 1)
+    assert current() == {"a": (3.0, 1), "b": (5.0, 2), "c": (7.0, 2)}
+    # a snapshot holds nothing after its batch
+    assert current(upto=1) == {"a": (3.0, 1), "b": (2.0, 0)}
