@@ -80,21 +80,29 @@ def customer_totals_from_documents(
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}")
     k = qualifying_lines(min_weight=min_weight)
-    docs = bronze.select("email", "po_number", "total", k.alias("_k")).where(F.col("_k") > 0)
+    docs = bronze.select("email", "po_number", "total", k.alias("_k"))
     if level == "order":
-        orders = docs.groupBy("email", "po_number").agg(F.max("total").alias("total"))
+        orders = docs.where(F.col("_k") > 0).groupBy("email", "po_number").agg(F.max("total").alias("total"))
         return _totals(orders, "email", "total", keep_parts)
-    return finish_totals(line_total_parts(docs), "email", keep_parts)
+    # A document without qualifying lines adds 0 to both sums, so the email
+    # filter can follow the aggregate (HAVING): ``_k`` is then evaluated once
+    # per document instead of once in a filter and again in the projection.
+    parts = line_total_parts(docs, with_lines=True).where(F.col("_lines") > 0).drop("_lines")
+    return finish_totals(parts, "email", keep_parts)
 
 
-def line_total_parts(docs: DataFrame) -> DataFrame:
+def line_total_parts(docs: DataFrame, with_lines: bool = False) -> DataFrame:
     """``email, _cents, _n`` from documents with their line count ``_k``.
-    Also the state of the streaming form (two longs per email)."""
+    Also the state of the streaming form (two longs per email).
+    ``with_lines`` adds ``_lines = Σ k``."""
     total = F.col("total")
-    return docs.groupBy("email").agg(
+    aggs = [
         F.sum(to_cents(total) * F.col("_k")).alias("_cents"),
         F.sum(F.when(total.isNotNull(), F.col("_k")).otherwise(F.lit(0))).alias("_n"),
-    )
+    ]
+    if with_lines:
+        aggs.append(F.sum("_k").alias("_lines"))
+    return docs.groupBy("email").agg(*aggs)
 
 
 def count_rows(df: DataFrame) -> int:
