@@ -84,9 +84,10 @@ def customer_totals_from_documents(
     if level == "order":
         orders = docs.where(F.col("_k") > 0).groupBy("email", "po_number").agg(F.max("total").alias("total"))
         return _totals(orders, "email", "total", keep_parts)
-    # A document without qualifying lines adds 0 to both sums, so the email
-    # filter can follow the aggregate (HAVING): ``_k`` is then evaluated once
-    # per document instead of once in a filter and again in the projection.
+    # A document without qualifying lines adds nothing to either sum, so the
+    # email filter can follow the aggregate (HAVING): ``_k`` is then evaluated
+    # once per document instead of once in a filter and again in the
+    # projection.
     parts = line_total_parts(docs, with_lines=True).where(F.col("_lines") > 0).drop("_lines")
     return finish_totals(parts, "email", keep_parts)
 
@@ -96,12 +97,15 @@ def line_total_parts(docs: DataFrame, with_lines: bool = False) -> DataFrame:
     Also the state of the streaming form (two longs per email).
     ``with_lines`` adds ``_lines = Σ k``."""
     total = F.col("total")
+    k = F.col("_k")
     aggs = [
-        F.sum(to_cents(total) * F.col("_k")).alias("_cents"),
-        F.sum(F.when(total.isNotNull(), F.col("_k")).otherwise(F.lit(0))).alias("_n"),
+        # a document without qualifying lines adds nothing, not 0: the sum
+        # stays NULL when every qualifying line has a NULL total
+        F.sum(F.when(k > 0, to_cents(total) * k)).alias("_cents"),
+        F.sum(F.when(total.isNotNull(), k).otherwise(F.lit(0))).alias("_n"),
     ]
     if with_lines:
-        aggs.append(F.sum("_k").alias("_lines"))
+        aggs.append(F.sum(k).alias("_lines"))
     return docs.groupBy("email").agg(*aggs)
 
 

@@ -140,6 +140,11 @@ def test_totals_from_documents_equal_totals_from_lines(spark):
         dict(DOCS[0], po_number="PO-N4", contact_info={"name": "x", "email": None, "phone": None}),
         dict(DOCS[0], po_number="PO-N5", contact_info={"name": "y", "email": "light@x", "phone": None},
              items=[{"sku": "l", "description": "d", "weight_quantity": 10, "price": 1.0}]),
+        # an email whose only qualifying line has a NULL total: its sum stays
+        # NULL, although another of its orders (no qualifying line) has a total
+        dict(DOCS[0], po_number="PO-N6", contact_info={"name": "z", "email": "nul@x", "phone": None},
+             items=[{"sku": "l", "description": "d", "weight_quantity": 10, "price": 1.0}], total=5.0),
+        dict(DOCS[0], po_number="PO-N7", contact_info={"name": "z", "email": "nul@x", "phone": None}, total=None),
     ]
     b = po.bronze(topic_of(spark, docs))
     for level in ("line", "order"):
@@ -148,6 +153,8 @@ def test_totals_from_documents_equal_totals_from_lines(spark):
         got = sorted(po.gold_from_bronze(b, level, keep_parts=True).collect(), key=key)
         assert got == want, level
     assert "light@x" not in {r.email for r in po.gold_from_bronze(b).collect()}
+    nul = [r for r in po.gold_from_bronze(b).collect() if r.email == "nul@x"]
+    assert [(r.total_purchase_amount, r.average_purchase_amount) for r in nul] == [(None, None)]
 
 
 def test_mixed_feed_null_contact_group(spark):
@@ -161,3 +168,46 @@ def test_mixed_feed_null_contact_group(spark):
     got = {r.email: (r.total_purchase_amount, r.average_purchase_amount) for r in po.gold_from_bronze(parsed).collect()}
     # groupBy keeps the NULL email group (two qualifying lines of 44.55)
     assert got == {None: (89.10, 44.55), "jane@example.com": (107.99, 107.99)}
+
+
+try:
+    from hypothesis import HealthCheck, Phase, given, settings
+    from hypothesis import strategies as st
+except ImportError:  # pragma: no cover
+    given = None
+
+if given is not None:
+    _item = st.one_of(
+        st.none(),
+        st.fixed_dictionaries({
+            "sku": st.just("s"),
+            "description": st.just("d"),
+            "weight_quantity": st.one_of(st.none(), st.sampled_from([0, 4999, 5000, 5001, 12000])),
+            "price": st.just(1.0),
+        }),
+    )
+    _doc = st.fixed_dictionaries({
+        "contact_info": st.fixed_dictionaries({
+            "name": st.just("n"), "email": st.sampled_from([None, "a@x", "b@x", "c@x"]), "phone": st.just("p"),
+        }),
+        "po_number": st.sampled_from(["PO-1", "PO-2", "PO-3", "PO-4", "PO-5"]),
+        "items": st.one_of(st.none(), st.lists(_item, max_size=4)),
+        "subtotal": st.just(1.0),
+        "taxes": st.just(0.1),
+        # cents values, so equality is exact either way
+        "total": st.one_of(st.none(), st.integers(0, 2_000_000).map(lambda c: c / 100)),
+        "payment_due_date": st.just("2025-01-01"),
+    })
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck), phases=[Phase.explicit, Phase.reuse, Phase.generate])
+    @given(docs=st.lists(_doc, min_size=1, max_size=12))
+    def test_totals_without_explode_property(spark, docs):
+        """Totals from documents equal explode -> filter -> aggregate, at
+        both levels, for any mix of NULL emails, NULL / empty item lists,
+        NULL items, boundary weights and NULL totals."""
+        b = po.bronze(topic_of(spark, docs))
+        for level in ("line", "order"):
+            key = lambda r: (r.email is not None, r.email or "")
+            want = sorted(po.gold(po.silver(b), level, keep_parts=True).collect(), key=key)
+            got = sorted(po.gold_from_bronze(b, level, keep_parts=True).collect(), key=key)
+            assert got == want, (level, docs)
