@@ -1,9 +1,10 @@
 """Customer totals and counts (A1-A4, Q1).
 
-Money is summed in integer cents: the partial aggregate on each map task and
-the final merge after the shuffle on ``email`` are exact, so the result does
-not depend on task layout, and a hot email (a third of all rows) is combined
-map-side before the shuffle.
+Money is summed in whole cents (DECIMAL(38,0), see ``sum_cents``): the
+partial aggregate on each map task and the final merge after the shuffle on
+``email`` are exact, so the result does not depend on task layout, and a hot
+email (a third of all rows) is combined map-side before the shuffle without
+overflowing.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.money import cents_to_amount, to_cents
+from strata.functions.money import cents_to_amount, sum_cents, to_cents
 from strata.operators.transform import PO_MIN_WEIGHT
 
 LEVELS = ("line", "order")
@@ -19,7 +20,7 @@ LEVELS = ("line", "order")
 
 def _totals(df: DataFrame, key: str, amount: str, keep_parts: bool = False) -> DataFrame:
     agg = df.groupBy(key).agg(
-        F.sum(to_cents(F.col(amount))).alias("_cents"),
+        sum_cents(to_cents(F.col(amount))).alias("_cents"),
         F.count(F.col(amount)).alias("_n"),
     )
     return finish_totals(agg, key, keep_parts)
@@ -101,7 +102,7 @@ def line_total_parts(docs: DataFrame, with_lines: bool = False) -> DataFrame:
     aggs = [
         # a document without qualifying lines adds nothing, not 0: the sum
         # stays NULL when every qualifying line has a NULL total
-        F.sum(F.when(k > 0, to_cents(total) * k)).alias("_cents"),
+        sum_cents(F.when(k > 0, to_cents(total) * k)).alias("_cents"),
         F.sum(F.when(total.isNotNull(), k).otherwise(F.lit(0))).alias("_n"),
     ]
     if with_lines:

@@ -128,3 +128,40 @@ def test_merge_on_read_changes_and_compaction(spark, tmp_dir):
     assert current() == {"a": (3.0, 1), "b": (5.0, 2), "c": (7.0, 2)}
     # a snapshot holds nothing after its batch
     assert current(upto=1) == {"a": (3.0, 1), "b": (2.0, 0)}
+
+
+def _text(d):
+    """Plain decimal text without trailing zeros, as a key-value store number."""
+    t = format(d.normalize() if d != 0 else d, "f")
+    t = t.rstrip("0").rstrip(".") if "." in t else t
+    return "0" if t == "-0" else t  # a negative mean that rounds to zero is "0"
+
+
+def test_number_text_exact_against_decimal(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal, localcontext
+
+    from pyspark.sql import functions as F
+
+    from strata.functions.money import cents_text, mean_text
+
+    rnd = random.Random(7)
+    rows = [(0, 1), (1, 3), (-1, 3), (5, 2), (-5, 2), (7455, 2), (10, 3), (2, 3), (-2, 3), (1, 2_000_000)]
+    for _ in range(300):
+        big = 10 ** rnd.randint(0, 24)  # far past the BIGINT range of cents
+        rows.append((rnd.randint(-big, big), rnd.randint(1, 10 ** rnd.randint(0, 9))))
+    rows.append((10 ** 24, 0))
+    df = spark.createDataFrame([(str(c), n) for c, n in rows], "c string, n long").select(
+        F.col("c").cast("decimal(38,0)").alias("c"), "n"
+    )
+    got = df.select("c", "n", cents_text(F.col("c")).alias("t"), mean_text("c", "n").alias("m")).collect()
+    for r in got:
+        c, n = int(r.c), r.n
+        assert r.t == _text(Decimal(c) / 100), (c, r.t)
+        if n == 0:
+            assert r.m is None
+            continue
+        with localcontext() as ctx:
+            ctx.prec = 80  # exact quotient, then half up (away from zero) to 6 places
+            exp = (Decimal(c) / 100 / Decimal(n)).quantize(Decimal("0.000001"), rounding=ROUND_HALF_UP)
+        assert r.m == _text(exp), (c, n, r.m, _text(exp))
