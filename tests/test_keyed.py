@@ -165,3 +165,22 @@ def test_number_text_exact_against_decimal(spark):
             ctx.prec = 80  # exact quotient, then half up (away from zero) to 6 places
             exp = (Decimal(c) / 100 / Decimal(n)).quantize(Decimal("0.000001"), rounding=ROUND_HALF_UP)
         assert r.m == _text(exp), (c, n, r.m, _text(exp))
+
+
+def test_latest_per_key_matches_model(spark):
+    """A7 against a plain Python model: NULL keys form one group, NULL
+    values are kept when their row is the latest, a hot key holds most rows."""
+    import random
+
+    rnd = random.Random(11)
+    keys = [None, 1, 2, 3] + [0] * 12  # key 0 is hot
+    rows = []
+    for seq in rnd.sample(range(10_000), 400):
+        rows.append((rnd.choice(keys), rnd.choice([None, "a", "b", "c"]), rnd.choice([None, -1, 0, 7, 99]), seq))
+    df = spark.createDataFrame(rows, "id int, name string, amount int, seq long").repartition(6)
+    want = {}
+    for k, name, amount, seq in rows:
+        if k not in want or seq > want[k][2]:
+            want[k] = (name, amount, seq)
+    got = {r.id: (r.name, r.amount, r.seq) for r in latest_per_key(df, "id", "seq", keep_seq=True).collect()}
+    assert got == want
