@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from strata.llm import bpe_count, chat_format, url_rules
+from strata.llm import bpe_count, chat_format, exact_dedup, url_rules
 
 QUERIES = {
+    "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op7_chat_format": chat_format.op7_chat_format,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_token_counts": bpe_count.op10_token_counts,
 }
 
 ORACLE = {
+    "op1_exact_dedup": exact_dedup.OP1_SQL,
     "op7_chat_format": chat_format.OP7_SQL,
     "op9_url_rules": url_rules.OP9_SQL,
 }
