@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from strata.llm import bpe_count, chat_format, exact_dedup, url_rules
+from strata.llm import bpe_count, chat_format, exact_dedup, mix_sources, url_rules, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op4_mix_sources": mix_sources.op4_mix_sources,
+    "op6_warc": warc.op6_warc,
     "op7_chat_format": chat_format.op7_chat_format,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_token_counts": bpe_count.op10_token_counts,
@@ -13,6 +15,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
+    "op6_warc": warc.OP6_SQL,
     "op7_chat_format": chat_format.OP7_SQL,
     "op9_url_rules": url_rules.OP9_SQL,
 }
