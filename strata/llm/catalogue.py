@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from strata.llm import bpe_count, chat_format, exact_dedup, mix_sources, url_rules, warc
+from strata.llm import bpe_count, chat_format, decontaminate, exact_dedup, mix_sources, url_rules, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op4_mix_sources": mix_sources.op4_mix_sources,
     "op6_warc": warc.op6_warc,
     "op7_chat_format": chat_format.op7_chat_format,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_token_counts": bpe_count.op10_token_counts,
 }
