@@ -14,12 +14,14 @@ set that has not enough of them sends its empty blocks too, so no link is lost.
 A set goes to its own band and, if a partner may be larger than that band, to
 the next one.
 
-Sets with equal keys are candidates.  In the first round each meets only the
-smallest set of its key (the hub), a linear number of pairs; links verified by the
-exact intersection give provisional components.  In the second round only keys
-whose sets are still in different components bring the pairs across them.
-Links inside a component change nothing, so components are exact without all
-pairs of a group of near copies.  Equal sets are one set throughout.
+Sets with equal keys are candidates.  A pair whose small whole sketches differ
+in more bits than its sets may differ in shingles is out; the others are
+verified by the exact intersection.  In the first round a set meets the
+smallest sets of its keys (the hubs), a linear number of pairs, and is verified
+against one of them; the links give provisional components.  In the second
+round only keys whose sets are still in different components bring the pairs
+across them.  Links inside a component change nothing, so components are exact
+without all pairs of a group of near copies.  Equal sets are one set throughout.
 
 Edge cases: null and blank texts are empty sets, linked with nothing, their own
 component; a null ``doc_id`` takes part, and a component of such rows alone has
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import distinct_pairs, mix64, shingle_rows, steps, table, text_buffers, words_of, written
+from strata.llm.common import distinct_pairs, mix64, shingle_rows, shuffle_parts, steps, table, text_buffers, words_of, written
 from strata.llm.components import components
 
 SHINGLE = 5
@@ -45,6 +47,9 @@ PER_CENT = 80
 BAND_RATIO = 1.4
 # Cells of the sketch in one block.
 CELLS = 4096
+# Bytes of a shingle's hash that verification compares, and partners of a set in one part.
+BYTES = 5
+PART = 256
 # Nodes of rows without an id lie above all ids.
 NO_ID = 1 << 62
 
@@ -117,12 +122,33 @@ def _arrow(columns: list, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
 
 
+def whole_sketches(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A parity sketch per set, of two to four bits per shingle (256 at least)."""
+    width = np.maximum(256, 1 << np.ceil(np.log2(np.maximum(2 * sizes, 1))).astype(np.int64))
+    ends = np.cumsum(width)
+    bits = np.zeros(ends[-1] if len(ends) else 0, dtype=np.uint8)
+    cell = (h >> np.uint64(8)).astype(np.int64) & (width[owner] - 1)
+    np.bitwise_xor.at(bits, (ends - width)[owner] + cell, np.uint8(1))
+    offsets = np.concatenate([[0], ends // 8]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.packbits(bits, bitorder="little"))])
+
+
+def may_link(a: bytes, a_size: int, b: bytes, b_size: int) -> bool:
+    """Whether two sets can link, by their sizes and the Hamming distance of their sketches."""
+    if 4 * max(a_size, b_size) > 5 * min(a_size, b_size):
+        return False
+    x, y = sorted((np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)), key=len)
+    while len(y) > len(x):  # a sketch of half the cells is the XOR of the halves
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum()) <= (a_size + b_size) // 9
+
+
 def profiles(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, n_shingles, sid, check) of every row; (sid, check) names the set."""
+    """(doc_id, text_key, n_shingles, sid, check, sketch) of every row; (sid, check) names the set."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, _, _, sizes, sid, check in _sets(batch.column("text")):
+            for lo, hi, h, o, sizes, sid, check in _sets(batch.column("text")):
                 yield _arrow(
                     [
                         batch.column("doc_id").slice(lo, hi - lo),
@@ -130,12 +156,13 @@ def profiles(docs: DataFrame) -> DataFrame:
                         sizes,
                         sid.view(np.int64),
                         check.view(np.int64),
+                        whole_sketches(h, o, sizes),
                     ],
-                    ["doc_id", "text_key", "n_shingles", "sid", "check"],
+                    ["doc_id", "text_key", "n_shingles", "sid", "check", "sketch"],
                 )
 
     keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
-    return keyed.mapInArrow(rows, "doc_id long, text_key long, n_shingles long, sid long, check long")
+    return keyed.mapInArrow(rows, "doc_id long, text_key long, n_shingles long, sid long, check long, sketch binary")
 
 
 def sketch_keys(docs: DataFrame) -> DataFrame:
@@ -157,69 +184,109 @@ def sketch_keys(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(rows, "key long, sid long")
 
 
-def set_table(docs: DataFrame, known: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, shingles): the packed sorted hashes of the sets named in ``wanted`` (sid)."""
+def near_enough(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) of set numbers that pass ``may_link``."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            asked = batch.column("want").to_numpy(zero_copy_only=False)
-            for lo, hi, h, o, sizes, sid, _ in _sets(batch.column("text")):
-                ends = np.cumsum(sizes)
-                mine = np.flatnonzero((sid.view(np.int64) == asked[lo:hi]) & (sizes > 0))
-                packed = [h[ends[i] - sizes[i] : ends[i]].tobytes() for i in mine]
-                yield _arrow([sid[mine].view(np.int64), pa.array(packed, pa.binary())], ["sid", "shingles"])
+            columns = (batch.column(c) for c in ("a_sketch", "a_size", "b_sketch", "b_size"))
+            ok = [may_link(x.as_buffer(), n.as_py(), y.as_buffer(), m.as_py()) for x, n, y, m in zip(*columns, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    # One row per named set brings its text.
-    one = F.min(F.struct("doc_id", "text_key"))
-    rep = known.where("n_shingles > 0").join(wanted, "sid", "left_semi").groupBy("sid", "check").agg(one.alias("one"))
-    texts = docs.join(
-        rep.select("one", F.col("sid").alias("want")),
-        F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("one.text_key")),
-    )
-    return texts.select("text", "want").mapInArrow(rows, "sid long, shingles binary").distinct()
+    for side in ("b", "a"):
+        of_side = sketches.select(
+            F.col("sid").alias(side), F.col("size").alias(f"{side}_size"), F.col("sketch").alias(f"{side}_sketch")
+        )
+        pairs = pairs.join(of_side, side)
+    return pairs.mapInArrow(rows, "a long, b long").distinct()
 
 
-def _is_link(a: bytes, b: bytes) -> bool:
-    both = len(np.intersect1d(np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64), assume_unique=True))
-    return 100 * both >= PER_CENT * ((len(a) + len(b)) // 8 - both)
+def _packed(h: np.ndarray) -> bytes:
+    """The lowest five bytes of each hash."""
+    return h.view(np.uint8).reshape(-1, 8)[:, :BYTES].tobytes()
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set numbers whose sets are similar enough, by exact intersection."""
+def _unpacked(raw) -> np.ndarray:
+    out = np.zeros((len(raw) // BYTES, 8), dtype=np.uint8)
+    out[:, :BYTES] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, BYTES)
+    return out.view(np.uint64).ravel()
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column("left_set"), batch.column("right_set")
-            ok = pa.array([_is_link(x.as_buffer(), y.as_buffer()) for x, y in zip(left, right, strict=True)], pa.bool_())
-            yield batch.select(["a", "b"]).filter(ok)
-
-    # The smaller number is often a hub: its set is joined last, where the planner may split it.
-    with_b = pairs.join(sets.select(F.col("sid").alias("b"), F.col("shingles").alias("right_set")), "b")
-    return with_b.join(sets.select(F.col("sid").alias("a"), F.col("shingles").alias("left_set")), "a").mapInArrow(
-        rows, "a long, b long"
+
+def is_link(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
+    return 100 * both >= PER_CENT * (len(a) + len(b) - both)
+
+
+def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (a, b) of set numbers whose sets are similar enough, by exact intersection.
+
+    Pairs are grouped by a, in parts of about ``PART`` partners; a's set goes
+    to each of its parts ahead of the partners' sets, and a part is read as a
+    stream.  Sets are made from the one text that stands for them.
+    """
+    parts = F.ceil(F.col("n") / PART).cast("long")
+    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    dealt = written(pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), parts).alias("part")), "dealt")
+    asks = dealt.select(F.col("b").alias("sid"), "a", "part", F.lit(1).alias("role")).unionByName(
+        dealt.select(F.col("a").alias("sid"), "a", "part", F.lit(0).alias("role")).distinct()
     )
+    full = known.where("n_shingles > 0").select("sid", "check", F.struct("doc_id", "text_key").alias("one"))
+    rep = full.join(asks.select("sid").distinct(), "sid", "left_semi").groupBy("sid", "check").agg(F.min("one").alias("one"))
+    wanted = written(
+        rep.select("sid", F.col("one.doc_id").alias("of_id"), F.col("one.text_key").alias("of_text")).join(asks, "sid"), "wanted"
+    )
+    texts = docs.join(
+        wanted, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("of_text"))
+    ).select("text", "sid", "a", "part", "role")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asked = batch.column("sid").to_numpy(zero_copy_only=False)
+            rest = batch.drop_columns(["text"])
+            for lo, hi, h, _, sizes, sid, _ in _sets(batch.column("text")):
+                ends = np.cumsum(sizes)
+                mine = np.flatnonzero(sid.view(np.int64) == asked[lo:hi])
+                raw = pa.array([_packed(h[ends[i] - sizes[i] : ends[i]]) for i in mine], pa.binary())
+                yield rest.slice(lo, hi - lo).take(pa.array(mine)).append_column("hashes", raw)
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, heads = None, []
+        for batch in batches:
+            out = []
+            columns = (batch.column(c).to_pylist() for c in ("a", "part", "role", "sid"))
+            for a, part, role, sid, raw in zip(*columns, batch.column("hashes"), strict=True):
+                if (a, part) != group:
+                    group, heads = (a, part), []
+                h = _unpacked(raw.as_buffer())
+                if role == 0:
+                    heads.append(h)
+                elif any(is_link(x, h) for x in heads):
+                    out.append((a, sid))
+            yield _arrow([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
+
+    made = texts.mapInArrow(sets, "sid long, a long, part long, role int, hashes binary")
+    dealt_out = made.repartition(shuffle_parts(docs.sparkSession), "a", "part").sortWithinPartitions("a", "part", "role")
+    return dealt_out.mapInArrow(compared, "a long, b long").distinct()
 
 
 def similar_sets(docs: DataFrame, known: DataFrame) -> DataFrame:
     """(node, root) over set numbers: components of the links, sets with a link only."""
+    sketches = known.where("n_shingles > 0").select("sid", "check", F.col("n_shingles").alias("size"), "sketch")
+    sketches = sketches.dropDuplicates(["sid", "check"])
     # Rows of a key in order: the running minimum is the hub, nothing is held in memory.
     ordered = Window.partitionBy("key").orderBy("sid")
-    members = written(
-        sketch_keys(docs).withColumn("hub", F.min("sid").over(ordered)).where("sid != hub"), "members"
-    )
-    stars = members.select(F.col("hub").alias("a"), F.col("sid").alias("b")).distinct()
-    named = stars.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    sets = written(set_table(docs, known, named), "sets")
-    links = written(verified(stars, sets), "links")
+    members = written(sketch_keys(docs).withColumn("hub", F.min("sid").over(ordered)).where("sid != hub"), "members")
+    stars = near_enough(members.select(F.col("hub").alias("a"), F.col("sid").alias("b")).distinct(), sketches)
+    first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = written(verified(first, docs, known), "links")
     labels = components(links)
 
-    # Keys whose sets (hub included) still lie in different components.
+    # Keys whose sets (hub included) still lie in different components bring the pairs across them.
     label = F.coalesce("root", "sid")
     whole = Window.partitionBy("key")
+    everyone = members.select("key", "sid").unionByName(members.select("key", F.col("hub").alias("sid"))).distinct()
     mixed = written(
-        members.select("key", "sid")
-        .distinct()
-        .join(labels.withColumnRenamed("node", "sid"), "sid", "left")
+        everyone.join(labels.withColumnRenamed("node", "sid"), "sid", "left")
         .select("key", "sid", label.alias("label"))
         .withColumn("lo", F.min("label").over(whole))
         .withColumn("hi", F.max("label").over(whole))
@@ -229,7 +296,7 @@ def similar_sets(docs: DataFrame, known: DataFrame) -> DataFrame:
     )
     left, right = (mixed.select("key", F.col("sid").alias(s), F.col("label").alias(f"{s}_label")) for s in ("a", "b"))
     rest = left.join(right, "key").where("a < b and a_label != b_label").select("a", "b").distinct()
-    return components(links.unionByName(verified(rest, sets)))
+    return components(links.unionByName(verified(near_enough(rest, sketches), docs, known)))
 
 
 def linked(docs: DataFrame) -> DataFrame:
