@@ -50,6 +50,9 @@ CELLS = 4096
 # Bytes of a shingle's hash that verification compares, and partners of a set in one part.
 BYTES = 5
 PART = 256
+# Numbers (64 cells each) of the short sketch that rows of the second round carry.
+FOLD = 8
+SHORT = [f"f{k}" for k in range(FOLD)]
 # Nodes of rows without an id lie above all ids.
 NO_ID = 1 << 62
 
@@ -123,8 +126,8 @@ def _arrow(columns: list, names: list[str]) -> pa.RecordBatch:
 
 
 def whole_sketches(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """A parity sketch per set, of two to four bits per shingle (256 at least)."""
-    width = np.maximum(256, 1 << np.ceil(np.log2(np.maximum(2 * sizes, 1))).astype(np.int64))
+    """A parity sketch per set, of two to four bits per shingle (64 * FOLD at least)."""
+    width = np.maximum(64 * FOLD, 1 << np.ceil(np.log2(np.maximum(2 * sizes, 1))).astype(np.int64))
     ends = np.cumsum(width)
     bits = np.zeros(ends[-1] if len(ends) else 0, dtype=np.uint8)
     cell = (h >> np.uint64(8)).astype(np.int64) & (width[owner] - 1)
@@ -133,6 +136,17 @@ def whole_sketches(h: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> pa.Ar
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.packbits(bits, bitorder="little"))])
 
 
+def folded(sketches: pa.Array) -> np.ndarray:
+    """(sets, FOLD) numbers: each sketch folded by XOR to 64 * FOLD cells, none has fewer."""
+    out = np.zeros((len(sketches), FOLD), dtype=np.uint64)
+    for i, raw in enumerate(sketches):
+        x = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
+        while len(x) > FOLD:
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        out[i] = x
+    return out
+
+
 def may_link(a: bytes, a_size: int, b: bytes, b_size: int) -> bool:
     """Whether two sets can link, by their sizes and the Hamming distance of their sketches."""
     if 4 * max(a_size, b_size) > 5 * min(a_size, b_size):
@@ -144,11 +158,13 @@ def may_link(a: bytes, a_size: int, b: bytes, b_size: int) -> bool:
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, n_shingles, sid, check, sketch) of every row; (sid, check) names the set."""
+    """(doc_id, text_key, n_shingles, sid, check, sketch, short sketch) of every row; (sid, check) names the set."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, h, o, sizes, sid, check in _sets(batch.column("text")):
+                sketches = whole_sketches(h, o, sizes)
+                short = folded(sketches).view(np.int64)
                 yield _arrow(
                     [
                         batch.column("doc_id").slice(lo, hi - lo),
@@ -156,13 +172,14 @@ def profiles(docs: DataFrame) -> DataFrame:
                         sizes,
                         sid.view(np.int64),
                         check.view(np.int64),
-                        whole_sketches(h, o, sizes),
+                        sketches,
+                        *(np.ascontiguousarray(short[:, k]) for k in range(FOLD)),
                     ],
-                    ["doc_id", "text_key", "n_shingles", "sid", "check", "sketch"],
+                    ["doc_id", "text_key", "n_shingles", "sid", "check", "sketch", *SHORT],
                 )
 
     keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
-    return keyed.mapInArrow(rows, "doc_id long, text_key long, n_shingles long, sid long, check long, sketch binary")
+    return keyed.mapInArrow(rows, "doc_id long, text_key long, n_shingles long, sid long, check long, sketch binary, " + ", ".join(f"{c} long" for c in SHORT))
 
 
 def sketch_keys(docs: DataFrame) -> DataFrame:
@@ -271,7 +288,7 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
 
 def similar_sets(docs: DataFrame, known: DataFrame) -> DataFrame:
     """(node, root) over set numbers: components of the links, sets with a link only."""
-    sketches = known.where("n_shingles > 0").select("sid", "check", F.col("n_shingles").alias("size"), "sketch")
+    sketches = known.where("n_shingles > 0").select("sid", "check", F.col("n_shingles").alias("size"), "sketch", *SHORT)
     sketches = sketches.dropDuplicates(["sid", "check"])
     # Rows of a key in order: the running minimum is the hub, nothing is held in memory.
     ordered = Window.partitionBy("key").orderBy("sid")
@@ -294,8 +311,19 @@ def similar_sets(docs: DataFrame, known: DataFrame) -> DataFrame:
         .select("key", "sid", "label"),
         "mixed",
     )
-    left, right = (mixed.select("key", F.col("sid").alias(s), F.col("label").alias(f"{s}_label")) for s in ("a", "b"))
-    rest = left.join(right, "key").where("a < b and a_label != b_label").select("a", "b").distinct()
+    # The short sketches travel with the rows, so most pairs end inside the join.
+    rows = written(mixed.join(sketches.select("sid", "size", *SHORT), "sid"), "mixed-sketches")
+    left, right = (
+        rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("sid", "label", "size", *SHORT))) for side in ("a", "b")
+    )
+    distance = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SHORT), F.lit(0))
+    passes = (
+        (F.col("a_sid") < F.col("b_sid"))
+        & (F.col("a_label") != F.col("b_label"))
+        & (F.greatest("a_size", "b_size") * 4 <= F.least("a_size", "b_size") * 5)
+        & (distance * 9 <= F.col("a_size") + F.col("b_size"))
+    )
+    rest = left.join(right, "key").where(passes).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
     return components(links.unionByName(verified(near_enough(rest, sketches), docs, known)))
 
 
