@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from strata.llm import bpe_count, chat_format, decontaminate, exact_dedup, jaccard_join, mix_sources, toxicity, url_rules, warc
+from strata.llm import bpe_count, chat_format, decontaminate, exact_dedup, jaccard_join, mix_sources, suffix_dedup, toxicity, url_rules, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_mix_sources": mix_sources.op4_mix_sources,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_warc": warc.op6_warc,
