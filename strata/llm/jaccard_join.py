@@ -287,7 +287,7 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def similar_sets(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """(node, root) over set numbers: components of the links, sets with a link only."""
+    """(a, b) over set numbers: verified links that join every component, not all of its pairs."""
     sketches = known.where("n_shingles > 0").select("sid", "check", F.col("n_shingles").alias("size"), "sketch", *SHORT)
     sketches = sketches.dropDuplicates(["sid", "check"])
     # Rows of a key in order: the running minimum is the hub, nothing is held in memory.
@@ -324,7 +324,7 @@ def similar_sets(docs: DataFrame, known: DataFrame) -> DataFrame:
         & (distance * 9 <= F.col("a_size") + F.col("b_size"))
     )
     rest = left.join(right, "key").where(passes).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
-    return components(links.unionByName(verified(near_enough(rest, sketches), docs, known)))
+    return links.unionByName(verified(near_enough(rest, sketches), docs, known))
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -336,9 +336,11 @@ def linked(docs: DataFrame) -> DataFrame:
     # A set is named by the smallest node that has it.
     classes = written(full.groupBy("sid", "check").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("rows")), "classes")
     copies = full.join(classes.where("rows > 1"), ["sid", "check"]).where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    rooted = similar_sets(docs, known).withColumnRenamed("node", "sid").join(classes.select("sid", "first"), "sid")
-    hung = rooted.join(rooted.groupBy("root").agg(F.min("first").alias("a")), "root").select("a", F.col("first").alias("b"))
-    roots = components(copies.unionByName(hung))
+    links = similar_sets(docs, known)
+    for side in ("a", "b"):
+        of_side = classes.select(F.col("sid").alias(side), F.col("first").alias(f"{side}_node"))
+        links = links.join(of_side, side)
+    roots = components(copies.unionByName(links.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))))
     return known.join(roots, "node", "left").select(
         "doc_id",
         "n_shingles",
