@@ -12,10 +12,10 @@ test / laptop case.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale.  AQE re-plans joins and aggregates from
@@ -43,17 +43,16 @@ def build_session(
 ) -> SparkSession:
     """Return a session with the scale settings applied.
 
-    ``master`` defaults to ``local[$STRATA_CPUS or *]`` only when no master is
-    configured by the launcher.
+    The master and every setting that the launcher gave stay as they are; the
+    scale settings fill in what it left out.  ``master`` and ``extra_conf``
+    are for scripts and tests.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and "SPARK_MASTER" not in os.environ:
-        cpus = os.environ.get("STRATA_CPUS", "*")
-        master = f"local[{cpus}]"
     if master:
         builder = builder.master(master)
-    conf = dict(SCALE_CONF)
-    conf["spark.ui.enabled"] = "false"
+    active = SparkSession.getActiveSession()
+    given = dict(active.conf.getAll) if active else dict(SparkConf().getAll())
+    conf = {k: v for k, v in {**SCALE_CONF, "spark.ui.enabled": "false"}.items() if k not in given}
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
@@ -66,17 +65,19 @@ def build_session(
 
 
 def apply_scale_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable scale settings to an existing session."""
+    """Fill in the scale settings that an existing session was not given."""
+    given = spark.conf.getAll
     for key, value in SCALE_CONF.items():
-        spark.conf.set(key, value)
+        if key not in given:
+            spark.conf.set(key, value)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written work tables.
 
     Read from ``spark.checkpoint.dir`` (session conf, then SparkContext
-    conf).  If unset, a local folder is created and registered; that only
-    happens in tests and on a single machine.
+    conf).  If unset, a local folder is created and registered on a local
+    master; on any other master this raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -85,6 +86,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and context_dir.isDefined():
         root = context_dir.get()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not context_dir.isDefined():
