@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 def number_attr(c: Column, text: Column | None = None) -> Column:
     """``{"N": text}``; ``text`` defaults to ``CAST(c AS STRING)``."""
     text = c.cast("string") if text is None else text
-    return F.when(c.isNotNull(), F.struct(text.alias("N")))
+    return F.when(c.isNotNull() & text.isNotNull(), F.struct(text.alias("N")))
 
 
 def string_attr(c: Column) -> Column:
@@ -30,7 +30,7 @@ def encode_item(
 
     ``spec`` maps column name to ``"N"`` (number) or ``"S"`` (string).
     ``number_text`` optionally gives the exact text of a number attribute
-    (e.g. money from integer cents, see ``strata.functions.money``).
+    (see ``strata.functions.money``).
     """
     number_text = number_text or {}
     cols = []

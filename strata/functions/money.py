@@ -1,9 +1,10 @@
 """Money arithmetic.
 
-Sums of money are taken in integer cents (``BIGINT``): exact, independent of
-the order of addition (so every task layout gives the same answer), and
-cheap inside whole-stage codegen.  Results are turned back into ``DOUBLE``
-with one division, the same expression in Spark and in SQL oracles.
+Amounts are summed as DECIMAL at nine decimals: exact, and independent of the
+order of addition, so every task layout gives the same answer.  An amount that
+DECIMAL(24,9) does not hold exactly (NaN, infinities, very large numbers, more
+than nine decimals) is summed as DOUBLE beside it, so it reaches the result of
+its own key and stops no job.
 """
 
 from __future__ import annotations
@@ -14,23 +15,28 @@ from pyspark.sql import functions as F
 # Fixed value: sales tax rate applied to the subtotal.
 TAX_RATE = "0.10"
 
+EXACT = "decimal(24,9)"
+SUM = "decimal(38,9)"
+PLACES = 9
 
-def to_cents(amount: Column) -> Column:
-    """Money value (float, double or decimal) as whole cents."""
-    return F.round(amount.cast("double") * F.lit(100.0), 0).cast("long")
 
+def sum_parts(amount: Column, times: Column | None = None) -> list[Column]:
+    """Aggregates ``_sum`` (exact) and ``_rest`` (DOUBLE, of the amounts that
+    are not exact), each amount taken ``times`` times.  NULL where there is
+    nothing to add."""
+    times = F.lit(1) if times is None else times
+    exact = amount.try_cast(EXACT)
+    is_exact = F.coalesce(exact.cast("double") == amount.cast("double"), F.lit(False))
+    return [
+        F.sum(F.when(is_exact & (times > 0), exact * times.cast("decimal(10,0)"))).cast(SUM).alias("_sum"),
+        F.sum(F.when(~is_exact & (times > 0), amount.cast("double") * times)).alias("_rest"),
+    ]
 
-def sum_cents(cents: Column) -> Column:
-    """Exact sum of whole cents as DECIMAL(38,0).
 
-    A BIGINT sum holds 9.2e18 cents.  Line-level totals repeat an order's
-    total on each of its lines, so one hot email holding a third of all lines
-    at 100 TB passes that; DECIMAL(38,0) holds 1e38."""
-    return F.sum(cents.cast("decimal(38,0)"))
-
-
-def cents_to_amount(cents: Column) -> Column:
-    return cents.cast("double") / F.lit(100.0)
+def total_of(exact: Column, rest: Column) -> Column:
+    """The total as DOUBLE."""
+    value = exact.cast("double")
+    return F.when(rest.isNull(), value).otherwise(F.coalesce(value, F.lit(0.0)) + rest)
 
 
 def round2(x: Column) -> Column:
@@ -53,30 +59,41 @@ def strip_zeros(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
 
 
-def cents_text(cents: Column) -> Column:
-    """Exact decimal text of a cents amount, e.g. 7455 -> ``"74.55"``.
+def _units(amount: Column) -> Column:
+    """``|amount|`` of a DECIMAL(38,9) in whole units of the last place."""
+    return (F.abs(amount) * F.lit(10**PLACES).cast("decimal(10,0)")).cast("decimal(38,0)")
 
-    At most 38 digits (a key-value store number takes 38); NULL stays NULL.
-    """
-    return strip_zeros((cents.cast("decimal(38,0)") * F.lit(0.01).cast("decimal(2,2)")).cast("string"))
+
+def _placed(units: Column, places: int, negative: Column) -> Column:
+    """Decimal text of ``units`` of the given place, without trailing zeros."""
+    digits = units.cast("string")
+    digits = F.lpad(digits, F.greatest(F.length(digits), F.lit(places + 1)), F.lit("0"))
+    text = F.concat(F.left(digits, F.length(digits) - places), F.lit("."), F.right(digits, F.lit(places)))
+    sign = F.when(negative & (units > 0), F.lit("-")).otherwise(F.lit(""))
+    return F.concat(sign, strip_zeros(text))
+
+
+def sum_text(amount: Column) -> Column:
+    """Exact decimal text of a DECIMAL(38,9), e.g. ``"74.55"``."""
+    return _placed(_units(amount), PLACES, amount < 0)
+
+
+def _divided(a: Column, b: Column) -> tuple[Column, Column]:
+    """Whole quotient and remainder in DECIMAL(38,0)."""
+    rest = a % b
+    return ((a - rest) / b).cast("decimal(38,0)"), rest
 
 
-def mean_text(cents: str, n: str, places: int = 6) -> Column:
-    """Decimal text of ``cents / 100 / n`` for columns named ``cents`` and
-    ``n``, rounded half up (away from zero) to ``places``.
+def mean_text(amount: str, n: str) -> Column:
+    """Decimal text of ``amount / n`` to 18 places, rounded half away from zero.
 
-    Exact at any size: integer quotient and remainder in DECIMAL(38,0)
-    (no DOUBLE and no BIGINT on the way), so no binary floating-point
-    expansion reaches the text and a hot key's large sum does not overflow.
+    Two long-division steps of nine digits each, in whole numbers, so no
+    binary expansion reaches the text and a hot key's sum does not overflow.
     """
-    scale = 10 ** (places - 2)
-    c = F.col(cents).cast("decimal(38,0)")
-    d = F.col(n).cast("decimal(38,0)")
-    scaled = F.abs(c) * F.lit(scale).cast("decimal(38,0)")
-    rem = scaled % d
-    quot = ((scaled - rem) / d).cast("decimal(38,0)")  # exact: divisible
-    units = quot + F.when(rem * 2 >= d, F.lit(1)).otherwise(F.lit(0))
-    signed = F.when(c < 0, -units).otherwise(units)
-    unit = F.lit(f"{10 ** -places:.{places}f}").cast(f"decimal({places},{places})")
-    text = (signed.cast("decimal(38,0)") * unit).cast("string")
-    return F.when(F.col(n) > 0, strip_zeros(text))
+    ten9 = F.lit(10**PLACES).cast("decimal(10,0)")
+    count = F.col(n).cast("decimal(38,0)")
+    whole, rest = _divided(_units(F.col(amount)), count)
+    part, rest = _divided((rest * ten9).cast("decimal(38,0)"), count)
+    up = F.when(rest * 2 >= count, F.lit(1)).otherwise(F.lit(0))
+    units = (whole * ten9 + part + up).cast("decimal(38,0)")
+    return F.when(F.col(n) > 0, _placed(units, 2 * PLACES, F.col(amount) < 0))

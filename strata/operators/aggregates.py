@@ -1,10 +1,9 @@
 """Customer totals and counts (A1-A4, Q1).
 
-Money is summed in whole cents (DECIMAL(38,0), see ``sum_cents``): the
-partial aggregate on each map task and the final merge after the shuffle on
-``email`` are exact, so the result does not depend on task layout, and a hot
-email (a third of all rows) is combined map-side before the shuffle without
-overflowing.
+Money is summed as DECIMAL at nine decimals, with a DOUBLE sum beside it for
+amounts that are not exact there (``strata.functions.money.sum_parts``): the
+result does not depend on task layout, a hot email (a third of all rows) is
+combined map-side before the shuffle, and a NaN stays with its own email.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.money import cents_to_amount, sum_cents, to_cents
+from strata.functions.money import sum_parts, total_of
 from strata.operators.transform import PO_MIN_WEIGHT
 
 LEVELS = ("line", "order")
@@ -20,20 +19,20 @@ LEVELS = ("line", "order")
 
 def _totals(df: DataFrame, key: str, amount: str, keep_parts: bool = False) -> DataFrame:
     agg = df.groupBy(key).agg(
-        sum_cents(to_cents(F.col(amount))).alias("_cents"),
+        *sum_parts(F.col(amount)),
         F.count(F.col(amount)).alias("_n"),
     )
     return finish_totals(agg, key, keep_parts)
 
 
 def finish_totals(agg: DataFrame, key: str, keep_parts: bool = False) -> DataFrame:
-    """Output columns from the exact parts ``_cents`` (sum) and ``_n`` (count)."""
-    total = cents_to_amount(F.col("_cents"))
+    """Output columns from the parts ``_sum``, ``_rest`` and ``_n`` (count)."""
+    total = total_of(F.col("_sum"), F.col("_rest"))
     return agg.select(
         F.col(key),
         total.alias("total_purchase_amount"),
         F.when(F.col("_n") > 0, total / F.col("_n")).alias("average_purchase_amount"),
-        *([F.col("_cents"), F.col("_n")] if keep_parts else []),
+        *([F.col("_sum"), F.col("_rest"), F.col("_n")] if keep_parts else []),
     )
 
 
@@ -49,7 +48,7 @@ def customer_totals(silver: DataFrame, level: str = "line", keep_parts: bool = F
     lines to orders (partial aggregation removes repeats map-side), the
     second is the per-email total.
 
-    ``keep_parts`` adds the exact ``_cents`` sum and ``_n`` count.
+    ``keep_parts`` adds the sums ``_sum`` and ``_rest`` and the count ``_n``.
     """
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}")
@@ -72,7 +71,7 @@ def customer_totals_from_documents(
     generating the lines.
 
     Every silver line of a document repeats the document's ``total``, so a
-    document with k qualifying lines adds ``k * cents(total)`` to the sum and
+    document with k qualifying lines adds ``k * total`` to the sum and
     ``k`` to the count.  The plan is a narrow projection plus one aggregate;
     the scan reads ``email``, ``total`` and ``items.weight_quantity`` only.
     Order level: documents with k > 0, one value per ``(email, po_number)``
@@ -94,15 +93,15 @@ def customer_totals_from_documents(
 
 
 def line_total_parts(docs: DataFrame, with_lines: bool = False) -> DataFrame:
-    """``email, _cents, _n`` from documents with their line count ``_k``.
-    Also the state of the streaming form (two longs per email).
+    """``email, _sum, _rest, _n`` from documents with their line count ``_k``.
+    Also the state of the streaming form.
     ``with_lines`` adds ``_lines = Σ k``."""
     total = F.col("total")
     k = F.col("_k")
     aggs = [
         # a document without qualifying lines adds nothing, not 0: the sum
         # stays NULL when every qualifying line has a NULL total
-        sum_cents(F.when(k > 0, to_cents(total) * k)).alias("_cents"),
+        *sum_parts(total, k),
         F.sum(F.when(total.isNotNull(), k).otherwise(F.lit(0))).alias("_n"),
     ]
     if with_lines:

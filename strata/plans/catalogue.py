@@ -216,10 +216,18 @@ def po_customer_totals_order(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def po_customer_totals_stored(spark: SparkSession, data_dir: str) -> DataFrame:
-    """C6 from the stored FLOAT silver table (cents lost above ~131,072)."""
+    """C6 from the stored FLOAT silver table: sum and average of the stored values."""
     return po.gold(po_silver_table(spark, data_dir))
 
 
+def po_customer_totals_nonfinite(spark: SparkSession, data_dir: str) -> DataFrame:
+    """A1-A3 where some orders carry NaN or a total beyond DECIMAL: they reach
+    the totals of their own emails, all other emails are as before."""
+    last = F.pmod(F.col("po_number").cast("long"), F.lit(50))
+    total = F.when(last == 0, F.lit(float("nan"))).when(last == 1, F.lit(2.0**997)).otherwise(F.col("total"))
+    return po.gold_from_bronze(_bronze_folder(spark, data_dir, "po").withColumn("total", total))
+
+
 def po_gold_items(spark: SparkSession, data_dir: str) -> DataFrame:
     """Items with exact decimal number text."""
     totals = po.gold_from_bronze(_bronze_folder(spark, data_dir, "po"), keep_parts=True)
@@ -328,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "po_gold_items": po_gold_items,
     "po_gold_upsert": po_gold_upsert,
     "po_customer_totals_stream": po_customer_totals_stream,
+    "po_customer_totals_nonfinite": po_customer_totals_nonfinite,
     "catalog_tables": catalog_tables,
     "audit_counts": audit_counts,
     "plain_parse_mixed": plain_parse_mixed,
@@ -409,11 +418,14 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts)
 
 
-def _totals_sql(source: str, amount: str = "total") -> str:
-    cents = f"sum(CAST(round(CAST({amount} AS DOUBLE) * 100.0) AS BIGINT))"
+# Wire totals have two decimals.
+_EXACT_TOTAL = "CAST(total AS DECIMAL(18,2))"
+
+
+def _totals_sql(source: str, amount: str = _EXACT_TOTAL) -> str:
     return (
-        f"SELECT email, CAST({cents} AS DOUBLE) / 100.0 AS total_purchase_amount, "
-        f"CASE WHEN count({amount}) > 0 THEN (CAST({cents} AS DOUBLE) / 100.0) / count({amount}) END "
+        f"SELECT email, CAST(sum({amount}) AS DOUBLE) AS total_purchase_amount, "
+        f"CASE WHEN count({amount}) > 0 THEN CAST(sum({amount}) AS DOUBLE) / count({amount}) END "
         f"AS average_purchase_amount FROM {source} GROUP BY email"
     )
 
@@ -446,12 +458,9 @@ SELECT email AS email_S, """
     + _strip("CAST(CAST(c AS DECIMAL(38,0)) * CAST(0.01 AS DECIMAL(2,2)) AS VARCHAR)")
     + """ AS total_purchase_amount_N,
        CASE WHEN n > 0 THEN """
-    + _strip(
-        "CAST(CAST(sign(c) * ((abs(c) * 20000 + n) // (2 * n)) AS DECIMAL(38,0)) "
-        "* CAST(0.000001 AS DECIMAL(6,6)) AS VARCHAR)"
-    )
+    + _strip("CAST(m // 1000000000000000000 AS VARCHAR) || '.' || lpad(CAST(m % 1000000000000000000 AS VARCHAR), 18, '0')")
     + """ END AS average_purchase_amount_N
-FROM t"""
+FROM (SELECT *, (CAST(c AS HUGEINT) * 20000000000000000 + n) // (2 * n) AS m FROM t)"""
 )
 
 ORACLE: dict[str, str] = {
@@ -489,7 +498,21 @@ ORACLE: dict[str, str] = {
         _PO, " stored AS (SELECT email, CAST(total AS FLOAT) AS total FROM po_silver)"
     )
     + " "
-    + _totals_sql("stored"),
+    + _totals_sql("stored", "CAST(total AS DOUBLE)"),
+    "po_customer_totals_nonfinite": _with(
+        _PO,
+        """ odd AS (
+  SELECT email, CAST(po_number AS BIGINT) % 50 AS last,
+         CASE WHEN CAST(po_number AS BIGINT) % 50 = 0 THEN CAST('NaN' AS DOUBLE)
+              WHEN CAST(po_number AS BIGINT) % 50 = 1 THEN pow(2.0, 997) ELSE total END AS value
+  FROM po_silver),
+sums AS (
+  SELECT email, count(*) AS n,
+         CASE WHEN bool_or(last < 2) THEN sum(value)
+              ELSE CAST(sum(CASE WHEN last >= 2 THEN CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) END AS s
+  FROM odd GROUP BY email)""",
+    )
+    + " SELECT email, s AS total_purchase_amount, s / n AS average_purchase_amount FROM sums",
     "po_gold_items": _GOLD_ITEMS,
     "po_gold_upsert": _with(_PO) + " " + _totals_sql("po_silver"),
     "po_customer_totals_stream": _with(_PO) + " " + _totals_sql("po_silver"),

@@ -12,12 +12,12 @@ the reads and writes.  Per layer:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
 from strata.functions.encode import encode_item, flatten_item
-from strata.functions.money import cents_text, mean_text
+from strata.functions.money import mean_text, sum_text
 from strata.functions.parse import parse_json, value_as_string
 from strata.operators.aggregates import customer_totals, customer_totals_from_documents
 from strata.operators.transform import flatten_po, silver_lines, silver_lines_prefiltered
@@ -85,12 +85,17 @@ def gold_from_bronze(bronze_df: DataFrame, level: str = "line", keep_parts: bool
 def gold_items(totals: DataFrame) -> DataFrame:
     """Key-store items ``email {S}, total {N}, average {N}``.
 
-    ``totals`` must carry ``_cents`` and ``_n`` (``gold(..., keep_parts=True)``):
-    number text is exact decimal, never a binary expansion.
+    ``totals`` must carry ``_sum``, ``_rest`` and ``_n`` (``gold(..., keep_parts=True)``):
+    number text is exact decimal, never a binary expansion.  A total that is
+    no exact decimal is written as its DOUBLE, and one that is not finite is left out.
     """
+    def text_of(name: str, exact: Column) -> Column:
+        finite = F.abs(F.col(name)) < F.lit(float("inf"))
+        return F.when(F.col("_rest").isNull(), exact).when(finite, F.col(name).cast("string"))
+
     text = {
-        "total_purchase_amount": cents_text(F.col("_cents")),
-        "average_purchase_amount": mean_text("_cents", "_n"),
+        "total_purchase_amount": text_of("total_purchase_amount", sum_text(F.col("_sum"))),
+        "average_purchase_amount": text_of("average_purchase_amount", mean_text("_sum", "_n")),
     }
     return encode_item(totals, GOLD_ITEM, text)
 

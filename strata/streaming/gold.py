@@ -17,8 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.money import cents_to_amount
-from strata.operators.aggregates import line_total_parts, qualifying_lines
+from strata.operators.aggregates import finish_totals, line_total_parts, qualifying_lines
 from strata.sinks.keyed import compact, write_changes
 from strata.streaming.sinks import foreach_batch_sink, run_to_end
 
@@ -35,20 +34,12 @@ def stream_customer_totals(
     schema = spark.read.parquet(bronze_path).schema
     docs = spark.readStream.schema(schema).parquet(bronze_path)
     # line-level totals without generating the lines (see
-    # customer_totals_from_documents): two longs of state per email
+    # customer_totals_from_documents): two sums and a count of state per email
     k = qualifying_lines()
     state = line_total_parts(docs.select("email", "total", k.alias("_k")).where(F.col("_k") > 0))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        total = cents_to_amount(F.col("_cents"))
-        rows = batch.select(
-            "email",
-            total.alias("total_purchase_amount"),
-            F.when(F.col("_n") > 0, total / F.col("_n")).alias("average_purchase_amount"),
-            "_cents",
-            "_n",
-            F.lit(batch_id).cast("long").alias("seq"),
-        )
+        rows = finish_totals(batch, "email", keep_parts=True).withColumn("seq", F.lit(batch_id).cast("long"))
         write_changes(spark, gold_path, rows, batch_id)
         if (batch_id + 1) % compact_every == 0:
             compact(spark, gold_path, "email", "seq", batch_id)

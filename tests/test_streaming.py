@@ -13,7 +13,7 @@ from strata.sources.topic import Topic, message_frame, produce
 from strata.streaming.bronze import plain_bronze_stream
 from strata.streaming.sinks import batch_folder_writer, run_to_end
 
-PLAIN_ROWS = [(1, "Alice", 50), (2, "Bob", 75), (3, "Charlie", 120), (1, "Alice", 10)]
+PLAIN_ROWS = [(1, "Ines", 41), (2, "Kofi", 99), (3, "Wen", 240), (1, "Ines", 7)]
 
 
 def plain_topic(spark, base, rows, start=0):
@@ -77,7 +77,7 @@ def test_po_bronze_stream_with_audit(spark, tmp_dir):
     audit = spark.read.parquet(f"{tmp_dir}/audit")
     msgs = [r.message for r in audit.collect()]
     # the audit message holds the date that made the original callback fail
-    assert any('"payment_due_date":"2025-12-31"' in m for m in msgs)
+    assert any('"payment_due_date":"2027-03-08"' in m for m in msgs)
 
 
 def _silver_run(spark, tmp_dir, mode, table):
@@ -136,10 +136,10 @@ def test_po_silver_float_money_and_string_date(spark, tmp_dir):
     assert t.count() == 5
     big_total = t.filter(F.col("po_number") == "PO-BIG").select("total").first()[0]
     assert big_total == 16499999.0  # FLOAT keeps no cents at this size
-    assert t.filter(F.col("po_number") == "PO-001").select("payment_due_date").first()[0] == "2025-12-31"
+    assert t.filter(F.col("po_number") == "A-71").select("payment_due_date").first()[0] == "2027-03-08"
 
 
-def test_streaming_totals_complete_mode(spark, tmp_dir):
+def test_streaming_totals_update_mode(spark, tmp_dir):
     from strata.streaming.gold import stream_customer_totals
 
     import json
@@ -156,7 +156,7 @@ def test_streaming_totals_complete_mode(spark, tmp_dir):
 
     got = {r.email: (r.total_purchase_amount, r.average_purchase_amount)
            for r in read_merged(spark, out, "email", "seq").collect()}
-    assert got == {"john@example.com": (89.10, 44.55), "jane@example.com": (107.99, 107.99)}
+    assert got == {"mira@okafor.test": (34.44, 17.22), "tomas@lind.test": (233.64, 233.64)}
 
 
 def test_job_launcher_end_to_end(spark, tmp_dir):
@@ -171,8 +171,8 @@ def test_job_launcher_end_to_end(spark, tmp_dir):
           "--location", f"{tmp_dir}/s"])
     main(["plain_gold", "--table", table, "--gold", f"{tmp_dir}/g"])
     got = {r.id: (r.name, r.amount) for r in read_current(spark, f"{tmp_dir}/g").collect()}
-    # id 1 twice: the later message (amount 10) wins; Charlie (120) is cleaned out
-    assert got == {1: ("Alice", 10), 2: ("Bob", 75)}
+    # id 1 twice: the later message (amount 7) wins; Wen (240) is cleaned out
+    assert got == {1: ("Ines", 7), 2: ("Kofi", 99)}
 
 
 def test_streaming_totals_across_runs_with_compaction(spark, tmp_dir):
@@ -196,7 +196,7 @@ def test_streaming_totals_across_runs_with_compaction(spark, tmp_dir):
                 for r in read_merged(spark, f"{tmp_dir}/gold", "email", "seq").collect()}
 
     send(PO_DOCS[:1], 0)
-    assert current() == {"john@example.com": (89.10, 44.55)}
-    send(PO_DOCS[1:] + PO_DOCS[:1], 10)  # Jane's order, and John orders again
-    assert current() == {"john@example.com": (178.20, 44.55), "jane@example.com": (107.99, 107.99)}
+    assert current() == {"mira@okafor.test": (34.44, 17.22)}
+    send(PO_DOCS[1:] + PO_DOCS[:1], 10)  # Tomas' order, and Mira orders again
+    assert current() == {"mira@okafor.test": (68.88, 17.22), "tomas@lind.test": (233.64, 233.64)}
     assert committed_versions(spark, f"{tmp_dir}/gold") == [0, 1]
