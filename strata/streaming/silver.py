@@ -15,7 +15,8 @@ Values are cast to the table's column types on the way (DOUBLE to FLOAT,
 DATE to STRING where the table says so), as a table insert would.
 
 A table written this way must not also take batch inserts: files written
-outside the log are invisible to readers.  ``append`` refuses such tables.
+outside the log are invisible to readers.  ``append`` refuses such tables, and
+this module refuses a table that holds rows of batch inserts.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.sinks.tables import table_location
+from strata.sinks.tables import table_location, written_by_stream
 from strata.streaming.sinks import file_sink, run_to_end
 
 
@@ -55,6 +56,8 @@ def incremental_append(
         run_to_end(query)
         return
     target = spark.table(table)
+    if not written_by_stream(spark, table) and not target.isEmpty():
+        raise ValueError(f"table {table} holds rows of batch inserts; the stream's log would hide them from its readers")
     out = cast_to_table(stream, target.schema)
     run_to_end(file_sink(out, table_location(spark, table), checkpoint, trigger="availableNow"))
     # the session caches the table's file listing; new files need a refresh

@@ -115,6 +115,10 @@ def test_full_silver_twice_duplicates_as_the_original(spark, tmp_dir):
     _silver_run(spark, tmp_dir, "full", table)
     _silver_run(spark, tmp_dir, "full", table)
     assert spark.table(table).count() == 6
+    # the log of a stream would hide these rows
+    with pytest.raises(ValueError):
+        _silver_run(spark, tmp_dir, "incremental", table)
+    assert spark.table(table).count() == 6
 
 
 def test_po_silver_float_money_and_string_date(spark, tmp_dir):
