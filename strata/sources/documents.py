@@ -10,31 +10,28 @@ from the input tables, so every downstream result can be checked against SQL:
   ``part``: one document per order, one item per line.
 
 Document assembly is the only place where rows are collected into a group.
-Group size is bounded: an order with more than ``max_items`` lines is split
-into ``ceil(n / max_items)`` documents by a hash of the line (hash buckets,
-so about ``max_items`` lines each), all carrying
-the same order header (po_number, totals).  After the silver explode the
-line rows are the same either way.  Orders are checked for size with a
-one-column aggregate before the assembly; when no order is that large (the
-usual case), assembly groups by order key alone and the header join reuses
-that partitioning.
+Group size is bounded: an order of ``n`` lines is ``ceil(n / max_items)``
+documents, numbered by ``part`` from 0 (one document, for nearly all orders).
+A line's part is a hash of its place in the input files, so each part has
+about ``max_items`` lines, also when lines are equal.  Every part carries the
+same order header (po_number, totals).  After the silver explode the line rows
+are the same for any part size, and per-order results roll the parts up
+(``rolled_up``).  The plan is the same at every size: order sums come from a
+map-side-combined aggregate, and the parts of an order are joined to its
+header by ``(order_key, part)``, so a long order is no single task's work.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strata.functions.money import line_amount, round2, taxes_of
 from strata.functions.text import CONTACT_PHONE, due_date, email_from_name, sku
 
-# Maximum items in one document (a message size bound, not a row cap: larger
-# orders become several documents, no line is dropped).
+# About so many items in one document (a message size bound, not a row cap:
+# larger orders become several documents, no line is dropped).
 MAX_ITEMS = 1000
-# Split hot orders with a broadcast join only when the list of hot orders is
-# at most this many rows (two longs each); otherwise use a shuffle join.
-HOT_BROADCAST_ROWS = 200_000
 
 
 def plain_events(events: DataFrame) -> DataFrame:
@@ -47,14 +44,16 @@ def plain_events(events: DataFrame) -> DataFrame:
     )
 
 
-def order_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """One row per order line with its item struct and exact line amount.
+def order_lines(lineitem: DataFrame, part: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """One row per order line with its item struct and exact line amount, and
+    the columns ``keep`` of ``lineitem``.
 
     The part join is left to the planner: broadcast when ``part`` is under
     the (size-checked) broadcast threshold, sort-merge join otherwise, with
     AQE splitting a skewed part key.
     """
-    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    keep = keep or []
+    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", *keep)
     pt = part.select("p_partkey", "p_name", "p_retailprice")
     weight = (F.col("l_quantity") * F.lit(1000)).cast("int")
     return li.join(pt, li.l_partkey == pt.p_partkey).select(
@@ -73,6 +72,7 @@ def order_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
             F.col("p_retailprice").alias("price"),
         ).alias("item"),
         line_amount(weight, F.col("p_retailprice")).alias("amount"),
+        *keep,
     )
 
 
@@ -109,22 +109,31 @@ def order_totals(subtotal_d: Column) -> list[Column]:
     ]
 
 
-def _chunk_of(n_chunks: Column) -> Column:
-    h = F.xxhash64(F.col("pos"))
-    return F.when(n_chunks.isNull() | (n_chunks <= 1), F.lit(0)).otherwise(F.pmod(h, n_chunks))
+def order_sums(lineitem: DataFrame, part: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+    """``order_key, subtotal_d, n_parts``: exact amount and number of parts of
+    every order, one row per order out of a partial + final aggregate."""
+    return (
+        order_lines(lineitem, part)
+        .groupBy("order_key")
+        .agg(F.sum("amount").alias("subtotal_d"), F.count(F.lit(1)).alias("n"))
+        .select("order_key", "subtotal_d", F.ceil(F.col("n") / F.lit(max_items)).cast("long").alias("n_parts"))
+    )
 
 
-def hot_orders(lineitem: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
-    """Orders with more than ``max_items`` lines and their number of chunks.
+def numbered_lines(lineitem: DataFrame, sums: DataFrame) -> DataFrame:
+    """``lineitem`` with the number ``part`` of the document a line goes to.
 
-    One narrow column, partial + final count: the size check that keeps
-    document assembly from collecting an unbounded group.
+    Only orders of several parts are in the joined list; the planner
+    broadcasts it when it is measured small, and else AQE may split the lines
+    of a long order.  The hash is over the line's file and row, so it differs
+    for equal lines and is the same when a task is run again.
     """
-    return (
-        lineitem.groupBy(F.col("l_orderkey").alias("order_key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > max_items)
-        .select("order_key", F.ceil(F.col("n") / F.lit(max_items)).cast("long").alias("n_chunks"))
+    several = sums.where(F.col("n_parts") > 1).select(F.col("order_key").alias("l_orderkey"), "n_parts")
+    row = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("row")
+    lines = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", row)
+    part = F.coalesce(F.pmod(F.col("row"), F.col("n_parts")), F.lit(0)).alias("part")
+    return lines.join(several, "l_orderkey", "left").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", part
     )
 
 
@@ -138,59 +147,54 @@ def purchase_order_documents(
     """Purchase-order documents in the wire shape.
 
     Columns: ``contact_info, po_number, items, subtotal, taxes, total,
-    payment_due_date`` plus ``order_key``, ``chunk`` and ``order_status``.
+    payment_due_date`` plus ``order_key``, ``part``, ``positions`` (the
+    ordering keys of the items) and ``order_status``.  ``lineitem`` must be a
+    scan of files.
 
-    Items and the exact order amount come out of the same aggregate, so the
-    line join runs once.  Without hot orders that aggregate is hash
-    partitioned by ``order_key`` and the header join reuses the partitioning
-    (no further exchange on that side).
+    Part 0 of an order is always there; a part that no line hashed to has
+    empty ``items``.
     """
-    lines = order_lines(lineitem, part)
-    hot = hot_orders(lineitem, max_items)
-    n_hot = hot.count()
-
-    collect_items = F.transform(
-        F.sort_array(F.collect_list(F.struct("pos", "item"))), lambda x: x["item"]
-    ).alias("items")
-    amount = F.sum("amount").alias("subtotal_d")
-
-    if n_hot == 0:
-        # A partial collect_list shrinks nothing (the lists carry every
-        # line), so the lines are exchanged first and the lists are built
-        # once, after the exchange, in parallel over the shuffle partitions.
-        grouped = (
-            lines.repartition("order_key").groupBy("order_key").agg(collect_items, amount)
-            .withColumn("chunk", F.lit(0))
-        )
-        docs = grouped.join(order_headers(orders, customer), "order_key")
-    else:
-        hot_side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_ROWS else hot
-        grouped = (
-            lines.join(hot_side, "order_key", "left")
-            .withColumn("chunk", _chunk_of(F.col("n_chunks")))
-            .repartition("order_key", "chunk")
-            .groupBy("order_key", "chunk")
-            .agg(collect_items, amount)
-        )
-        # Chunk sums to the order sum.  The header join partitions by
-        # order_key, so this window adds no exchange; a window partition
-        # holds the few chunks of one order.
-        docs = grouped.join(order_headers(orders, customer), "order_key").withColumn(
-            "subtotal_d", F.sum("subtotal_d").over(Window.partitionBy("order_key"))
-        )
-
+    sums = order_sums(lineitem, part, max_items)
+    # A partial collect_list shrinks nothing (the lists carry every line), so
+    # the lines are exchanged first and the lists are built once, after the
+    # exchange, in parallel over the shuffle partitions.
+    grouped = (
+        order_lines(numbered_lines(lineitem, sums), part, ["part"])
+        .repartition("order_key", "part")
+        .groupBy("order_key", "part")
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "item"))).alias("lines"))
+    )
+    headers = (
+        order_headers(orders, customer)
+        .join(sums, "order_key")
+        .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_parts") - 1)))
+    )
+    # The join keeps the partitioning of the lists.
+    docs = headers.join(grouped, ["order_key", "part"], "left")
     return docs.select(
         "contact_info",
         "po_number",
-        "items",
+        F.coalesce(F.col("lines.item"), F.array()).alias("items"),
         *order_totals(F.col("subtotal_d")),
         "payment_due_date",
         "order_key",
-        "chunk",
+        "part",
+        F.coalesce(F.col("lines.pos"), F.array()).alias("positions"),
         "order_status",
     )
 
 
+def rolled_up(parts: DataFrame, header: list[str], *sums: Column) -> DataFrame:
+    """One row per order from documents that are its parts: the ``header``
+    columns, which all parts share, and the aggregates ``sums``.
+
+    A document without a ``po_number`` is no part of an order and stays a row
+    of its own.
+    """
+    alone = F.when(F.col("po_number").isNull(), F.monotonically_increasing_id())
+    return parts.withColumn("_alone", alone).groupBy(*header, "_alone").agg(*sums).drop("_alone")
+
+
 def items_amount(items: Column) -> Column:
     """Σ weight × price over a document's items, exact (A6 array fold)."""
     zero = F.lit(0).cast("decimal(38,2)")
