@@ -8,7 +8,9 @@ words after its gram and, reversed, the words before it, up to ``SIDE`` each;
 suffixes with equal words all around are one row.  The rows are sorted by range, so
 a frequent gram is split by what surrounds it; sorted neighbours from different
 documents are compared and the match is extended right and left.  A second sort
-by the words before the gram finds the neighbours on that side.  Matches of
+by the words before the gram finds the neighbours on that side.  The rows at the
+edges of the range partitions are compared across them in a second step, so the
+result does not depend on the number of partitions.  Matches of
 ``PASSAGE`` words and more, merged where they overlap in a document, are the
 repeated passages.
 
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -116,29 +119,89 @@ def _same(a: bytes, b: bytes) -> int:
     return next(k for k in range(n) if a[k * BYTES : (k + 1) * BYTES] != b[k * BYTES : (k + 1) * BYTES])
 
 
+def _matches(row: tuple, nears: tuple) -> list[tuple]:
+    """(ctx, back, ahead) of both sides of each long enough match of different documents."""
+    out = []
+    for near in nears:
+        if near is not None and near[0] == row[0] and not near[2] == near[3] == row[2] == row[3]:
+            right, left = _same(near[4], row[4]), _same(near[5], row[5])
+            if left + GRAM + right >= PASSAGE:
+                out += [(row[1], left, right), (near[1], left, right)]
+    return out
+
+
+ROW = ("gram", "ctx", "lo", "hi", "ahead", "behind")
+_ROW_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+SPAN = "ctx long, back int, ahead int"
+# Rows at the edges of a range partition: those that may match rows before it, then the two it hands on.
+HEAD, OTHER, LAST = 0, 1, 2
+
+
+def _spans(found: set[tuple]) -> list[pa.Array]:
+    columns = zip(*found, strict=True) if found else [[], [], []]
+    return [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(ctx, back, ahead) for sorted neighbours of different documents with a long enough match."""
-    last = other = None  # the previous row, and the latest one before it of another document
+    """Matches of sorted neighbours of different documents, and the partition's edge rows as ``edge``."""
+    part = TaskContext.get().partitionId()
+    first = last = other = None  # the first and the previous row, and the latest one before it of another document
+    edge_type = pa.struct([("part", pa.int32()), ("kind", pa.int32()), ("at", pa.int64()), *zip(ROW, _ROW_TYPES, strict=True)])
+
+    def made(found: set[tuple], edges: list[tuple]) -> pa.RecordBatch:
+        names = [f.name for f in edge_type]
+        spans = [pa.concat_arrays([c, pa.nulls(len(edges), c.type)]) for c in _spans(found)]
+        edge = pa.array([None] * len(found) + [dict(zip(names, e, strict=True)) for e in edges], edge_type)
+        return pa.RecordBatch.from_arrays([*spans, edge], names=["ctx", "back", "ahead", "edge"])
+
+    at = 0
     for batch in batches:
-        out = []
-        for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "ctx", "lo", "hi", "ahead", "behind")), strict=True):
-            for near in (last, other):
-                if near is not None and near[0] == row[0] and not near[2] == near[3] == row[2] == row[3]:
-                    right, left = _same(near[4], row[4]), _same(near[5], row[5])
-                    if left + GRAM + right >= PASSAGE:
-                        out += [(row[1], left, right), (near[1], left, right)]
+        found, edges = set(), []
+        for row in zip(*(batch.column(c).to_pylist() for c in ROW), strict=True):
+            first = first or row
+            found.update(_matches(row, (last, other)))
+            if other is None and row[0] == first[0]:
+                edges.append((part, HEAD, at, *row))
             if last is not None and (last[2], last[3]) != (row[2], row[3]):
                 other = last
             last = row
-        columns = zip(*out, strict=True) if out else [[], [], []]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["ctx", "back", "ahead"]
-        )
+            at += 1
+        yield made(found, edges)
+    yield made(set(), [(part, kind, at, *row) for kind, row in ((OTHER, other), (LAST, last)) if row is not None])
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Matches over the bounds of the partitions, from all edge rows in order."""
+    last = other = None
+    for batch in batches:
+        found = set()
+        for kind, at, *row in zip(*(batch.column(c).to_pylist() for c in ("kind", "at", *ROW)), strict=True):
+            if kind == OTHER:
+                other = row
+            elif kind == LAST:
+                last = row
+            else:
+                # The previous row of all but the first is in the partition.
+                found.update(_matches(row, (other,) if at else (last, other)))
+                if last is not None and (last[2], last[3]) != (row[2], row[3]):
+                    other = last
+                last = row
+        yield pa.RecordBatch.from_arrays(_spans(found), names=["ctx", "back", "ahead"])
+
+
+def neighbour_spans(distinct: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """(ctx, back, ahead) of the matches of neighbours in ``order``, the same for any number of partitions."""
+    ranged = distinct.repartitionByRange(shuffle_parts(distinct.sparkSession), *order).sortWithinPartitions(*order)
+    edge = f"edge struct<part int, kind int, at long, {', '.join(f'{c} {t}' for c, t in zip(ROW, ('long',) * 4 + ('binary',) * 2, strict=True))}>"
+    # Written, as the bounds are drawn anew when the rows are dealt out again.
+    seen = written(ranged.mapInArrow(_neighbours, f"{SPAN}, {edge}"), "neighbours")
+    # A few rows a partition.
+    edges = seen.where("edge is not null").select("edge.*").repartition(1).sortWithinPartitions("part", "kind", "at")
+    return seen.where("edge is null").select("ctx", "back", "ahead").unionByName(edges.mapInArrow(_across, SPAN))
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, first_word, n_words): passages of ``PASSAGE`` words or more that another document has too."""
-    spark = docs.sparkSession
     docs = _identified(docs)
     every = written(positions(docs), "positions")
     shared = every.groupBy("gram").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo != hi").select("gram")
@@ -153,8 +216,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         "ctx", (F.length("behind") / BYTES).cast("int").alias("back"), (F.length("ahead") / BYTES).cast("int").alias("ahead")
     ).where(F.col("back") + F.col("ahead") + GRAM >= PASSAGE)
     for order in (("gram", "ahead", "behind"), ("gram", "behind", "ahead")):
-        ranged = distinct.repartitionByRange(shuffle_parts(spark), *order).sortWithinPartitions(*order)
-        spans = spans.unionByName(ranged.mapInArrow(_neighbours, "ctx long, back int, ahead int"))
+        spans = spans.unionByName(neighbour_spans(distinct, order))
     best = spans.distinct()
     found = array.select("ctx", "doc", "at").join(best, "ctx").select(
         "doc", (F.col("at") - F.col("back")).alias("start"), (F.col("at") + GRAM + F.col("ahead")).alias("end")
