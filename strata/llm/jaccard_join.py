@@ -349,13 +349,37 @@ def linked(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, all columns as they were.
+    """One row of each component of similar texts, all columns as they were.
 
-    A row without an id stays unless its component has a row with one.
+    Components are those of the texts, whatever ids they have: rows that repeat
+    an id are decided each by its own text.  The row of the smallest id stays,
+    rows without an id come last, then the smallest text hash; of rows that
+    agree in id and text one stays.  Rows with null and blank texts all stay.
     """
-    gone = linked(docs).where("doc_id is null and component_id is not null or doc_id != component_id")
-    ids = gone.select(F.col("doc_id").alias("__gone")).where("__gone is not null").distinct()
-    return docs.join(ids, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    known = written(profiles(plain), "profiles")
+    roots = components(similar_sets(plain, known)).select(F.col("node").alias("sid"), "root")
+    rows = known.where("n_shingles > 0").groupBy("doc_id", "text_key", "sid").agg(F.count(F.lit(1)).alias("copies"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key").alias("row")
+    labelled = written(
+        rows.join(roots, "sid", "left").select(row, "copies", F.coalesce("root", "sid").alias("component")), "labelled"
+    )
+    least = labelled.groupBy("component").agg(F.min("row").alias("first"), F.sum("copies").alias("n")).where("n > 1")
+    # Rows to drop; of a row that stays and is there several times, one is picked.
+    marked = labelled.join(least, "component").where((F.col("row") != F.col("first")) | (F.col("copies") > 1)).select(
+        F.col("row.doc_id").alias("__id"), F.col("row.text_key").alias("__key"), (F.col("row") == F.col("first")).alias("__stays")
+    )
+    marked = written(marked, "marked")
+    text_key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (text_key == F.col("__key"))
+    columns = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    picked = (
+        docs.join(marked.where("__stays"), same)
+        .groupBy("__id", "__key")
+        .agg(F.min_by(columns, F.xxhash64(columns)).alias("__row"))
+        .select("__row.*")
+    )
+    return docs.join(marked.drop("__stays"), same, "left_anti").unionByName(picked)
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
