@@ -8,12 +8,13 @@ at no charge, and runs of single characters (``i d i o t``) are one word.  A
 word starts with a mark, so prefixes count.  Kernel values are divided
 by a length norm.
 
-The machine is trained on the sentences of labelled documents.  A sentence
-scores as its best word does, a document as its best sentence.  A clean
-document's sentences are all clean; of a toxic document only some sentences
-are toxic, so training alternates (as in multiple-instance learning): the best
-words of toxic documents under the current machine are the positive examples,
-the highest-scoring words of clean documents the negative ones.  Positive
+The machine is trained on the words of labelled documents; no sentence is
+formed, and a document scores as its best word.  An insult split into pieces of
+several characters (``stu pid``) or made of words that clean documents use too
+is not found.  A clean document's words are all clean; of a toxic document only
+some are toxic, so training alternates (as in multiple-instance learning): the
+best words of toxic documents under the current machine are the positive
+examples, the highest-scoring words of clean documents the negative ones.  Positive
 examples are also shown with characters inserted.  Words are mapped to their
 kernel values with ``LANDMARKS`` landmark words and whitened by the landmarks'
 own kernel matrix (Nyström); the machine is linear there, with squared hinge
