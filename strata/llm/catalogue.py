@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from strata.llm import bpe_count, chat_format, decontaminate, exact_dedup, jaccard_join, mix_sources, suffix_dedup, toxicity, url_rules, warc
+from strata.llm import (
+    align_tokens,
+    bpe_count,
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    importance,
+    jaccard_join,
+    mix_sources,
+    suffix_dedup,
+    token_files,
+    toxicity,
+    url_rules,
+    warc,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_token_counts": bpe_count.op10_token_counts,
+    "op11_align_tokens": align_tokens.op11_align_tokens,
+    "op12_importance": importance.op12_importance,
+    "op13_token_files": token_files.op13_token_files,
 }
 
 ORACLE = {
@@ -22,4 +39,5 @@ ORACLE = {
     "op6_warc": warc.OP6_SQL,
     "op7_chat_format": chat_format.OP7_SQL,
     "op9_url_rules": url_rules.OP9_SQL,
+    "op12_importance": importance.OP12_SQL,
 }
