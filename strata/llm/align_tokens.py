@@ -34,6 +34,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -41,22 +42,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.bpe_count import _byte_symbols
-from strata.llm.common import shuffle_parts, table, written
+from strata.llm.common import shuffle_parts, steps, table, text_buffers, written
+from strata.llm.token_files import MEMORY_CHARS, TAIL, TOGETHER, Memory, parted, spread
 
 # Distinct pairs of its texts, summed, that close a block, and texts that do.
 BLOCK_PAIRS = 1 << 19
 BLOCK_TEXTS = 4096
-# Words that a worker remembers, and their longest.
-MEMORY_WORDS = 1 << 17
-MEMORY_CHARS = 48
+# Bytes of texts whose words are looked up together.
+STRETCH_BYTES = 1 << 22
 # A pair of ids as one number.
 SHIFT = 32
 
 # A blank behind a character that is no white space.
 _CUT = re.compile(r" (?<=\S )")
+# A blank at the ends or behind white space.
+_RUN = re.compile(r"^ | $|\s ")
 
 
-@dataclass(frozen=True)
+@dataclass(slots=True)
 class Aligned:
     """Alignment of one stretch of text; ``pairs`` has a number per link."""
 
@@ -67,6 +70,13 @@ class Aligned:
     groups: str
 
 
+def _joined(a: Aligned | None, b: Aligned) -> Aligned | None:
+    return a and Aligned(a.n_a + b.n_a, a.n_b + b.n_b, a.n_groups + b.n_groups, a.pairs + b.pairs, a.groups + ";" + b.groups)
+
+
+_NOTHING = Aligned(0, 0, 0, [], "")
+
+
 def overlaps(a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[int]) -> Aligned:
     """Groups and links of two tokenisations of the same bytes, given where each token ends."""
     pairs, groups, i, j, first_a, first_b = [], [], 0, 0, 0, 0
@@ -76,7 +86,10 @@ def overlaps(a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list
         i += a_end <= b_end
         j += b_end <= a_end
         if a_end == b_end:
-            groups.append(",".join(map(str, a_ids[first_a:i])) + "|" + ",".join(map(str, b_ids[first_b:j])))
+            if i - first_a == 1 == j - first_b:
+                groups.append(f"{a_ids[first_a]}|{b_ids[first_b]}")
+            else:
+                groups.append(",".join(map(str, a_ids[first_a:i])) + "|" + ",".join(map(str, b_ids[first_b:j])))
             first_a, first_b = i, j
     return Aligned(len(a_ids), len(b_ids), len(groups), pairs, ";".join(groups))
 
@@ -111,7 +124,14 @@ class Aligner:
             else:
                 self.b_bytes.append(piece.replace("▁", " ").encode("utf-8"))
                 self.by_word &= "▁" not in piece.lstrip("▁")
-        self.seen: dict[str, Aligned | None] = {}
+        self.a_sizes = np.zeros(max(self.a_bytes) + 1, dtype=np.int64)
+        self.a_sizes[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
+        self.b_sizes = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
+        # Letters and digits that a piece of B holds together with punctuation behind them.
+        pieces = (self.b.id_to_piece(i) for i in range(self.b.get_piece_size()) if not self.b.is_byte(i))
+        self.glued = {x for p in pieces for x, y in pairwise(p) if y in TAIL}
+        self.tails: dict[str, Aligned | None] = {}
+        self.seen = Memory()
 
     def whole(self, spaced: str) -> Aligned | None:
         """Alignment of a stretch that begins with a space; None where the tokens do not spell it."""
@@ -122,30 +142,105 @@ class Aligner:
             return None
         return overlaps(a_ids, _ends(a), b_ids, _ends(b))
 
-    def _remembered(self, word: str) -> Aligned | None:
-        got = self.whole(word)
-        if len(word) <= MEMORY_CHARS:
-            if len(self.seen) >= MEMORY_WORDS:
-                self.seen = {}
-            self.seen[word] = got
-        return got
-
-    def words(self, spaced: str) -> list[Aligned] | None:
-        """Alignments of the words of a text with a space before it."""
-        parts = _CUT.split(spaced)
-        words = [parts[0], *(" " + p for p in parts[1:])]
-        if words[-1] == " " and len(words) > 1:  # B gives no token for an empty text
-            words[-2:] = [words[-2] + " "]
-        if not self.by_word:
-            words = [spaced]
-        seen, out = self.seen, []
-        for w in words:
-            got = seen[w] if w in seen else self._remembered(w)
-            if got is None:
-                return None
-            out.append(got)
+    def _learn(self, words: list[str]) -> dict[str, Aligned | None]:
+        """Alignments of words that begin with a blank: encoded together by A, whose tokens spell them, and cut apart."""
+        out: dict[str, Aligned | None] = {}
+        for lo in range(0, len(words), TOGETHER):
+            some = words[lo : lo + TOGETHER]
+            ends = np.cumsum([len(w.encode("utf-8")) for w in some])
+            a_ids = self.a.encode("".join(some), add_special_tokens=False).ids
+            a_ends = np.cumsum(self.a_sizes[a_ids])
+            spelled = np.isin(ends, a_ends).all() and a_ends[-1] == ends[-1]
+            b_of = self.b.encode([w[1:] for w in some], num_threads=1)
+            b_ids = list(chain.from_iterable(b_of))
+            b_ends = np.cumsum(self.b_sizes[b_ids])
+            b_last = np.cumsum([len(x) for x in b_of])
+            # Tokens whose sizes fit word by word may still spell another text.
+            if not spelled or (b_ends[b_last - 1] != ends).any() or b"".join([self.b_bytes[i] for i in b_ids]) != "".join(some).encode("utf-8"):
+                out.update((w, self.whole(w)) for w in some)
+                continue
+            # Between two neighbouring ends, of A or B, lies the overlap of one linked pair.
+            both = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+            twice = both[1:] == both[:-1]
+            cuts, common = both[np.append(~twice, True)], both[1:][twice]
+            pairs = (np.array(a_ids)[np.searchsorted(a_ends, cuts)] << SHIFT | np.array(b_ids)[np.searchsorted(b_ends, cuts)]).tolist()
+            a_at, b_at = np.searchsorted(a_ends, common) + 1, np.searchsorted(b_ends, common) + 1
+            groups, x, y = [], 0, 0
+            for i, j in zip(a_at.tolist(), b_at.tolist(), strict=True):
+                groups.append(f"{a_ids[x]}|{b_ids[y]}" if i - x == 1 == j - y else ",".join(map(str, a_ids[x:i])) + "|" + ",".join(map(str, b_ids[y:j])))
+                x, y = i, j
+            last = [(np.searchsorted(at, ends) + 1).tolist() for at in (a_ends, b_ends, cuts, common)]
+            x, y, c, g = 0, 0, 0, 0
+            for word, x2, y2, c2, g2 in zip(some, *last, strict=True):
+                out[word] = Aligned(x2 - x, y2 - y, g2 - g, pairs[c:c2], ";".join(groups[g:g2]))
+                x, y, c, g = x2, y2, c2, g2
         return out
 
+    def known(self, words: list[str]) -> list[Aligned | None]:
+        """Alignments of words, a blank before each; None where the tokens do not spell it."""
+        parts = [self._parted(w) for w in words]
+        known, new = self.seen.found({core for core, _ in parts})
+        learned = self._learn([w for w in new if len(w) <= MEMORY_CHARS])
+        self.seen.add(learned)
+        known.update(learned)
+        known.update((w, self.whole(w)) for w in new if len(w) > MEMORY_CHARS)
+        return [known[core] if tail is None else _joined(known[core], tail) for core, tail in parts]
+
+    def _parted(self, word: str) -> tuple[str, Aligned | None]:
+        """A word without the punctuation behind it, and that punctuation's alignment."""
+        core, tail = parted(word)
+        if not tail or core[-1] in self.glued or len(tail) > MEMORY_CHARS:
+            return word, None
+        if tail not in self.tails:
+            one, more = self.whole(" a"), self.whole(" a" + tail)
+            after = more is not None and more.groups.startswith(one.groups + ";")
+            if len(self.tails) >= 4096:
+                self.tails = {}
+            self.tails[tail] = Aligned(more.n_a - 1, more.n_b - 1, more.n_groups - 1, more.pairs[1:], more.groups[len(one.groups) + 1 :]) if after else None
+        got = self.tails[tail]
+        return (core, got) if got else (word, None)
+
+    def texts(self, texts: pa.Array) -> Iterator[tuple | None]:
+        """The measures of each text, a blank before it; None where the tokens do not spell it."""
+        cut = [_cut(t) if self.by_word else [" " + t] for t in texts.to_pylist()]
+        coded = pa.array(chain.from_iterable(cut), pa.string()).dictionary_encode()
+        found = self.known(coded.dictionary.to_pylist())
+        odd = np.array([x is None for x in found], dtype=bool)
+        found = [_NOTHING if x is None else x for x in found]
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        places, per_word = spread([len(x.pairs) for x in found], codes)
+        links = np.array(list(chain.from_iterable(x.pairs for x in found)), dtype=np.int64)[places]
+        figures = np.array([(x.n_a, x.n_b, x.n_groups) for x in found], dtype=np.int64)[codes]
+        groups, at, link = [x.groups for x in found], 0, 0
+        for words in cut:
+            mine = codes[at : at + len(words)]
+            n = int(per_word[at : at + len(words)].sum())
+            if odd[mine].any():
+                yield None
+            else:
+                keys, times = np.unique(links[link : link + n], return_counts=True)
+                digest = hashlib.sha256(";".join(map(groups.__getitem__, mine.tolist())).encode("ascii")).hexdigest()
+                yield (*figures[at : at + len(words)].sum(axis=0).tolist(), n, digest, keys, times)
+            at, link = at + len(words), link + n
+
+
+def _cut(text: str) -> list[str]:
+    """The words of a text, each with the blank before it."""
+    if not _RUN.search(text):
+        return [" " + w for w in text.split(" ")]
+    parts = _CUT.split(" " + text)
+    words = [parts[0], *(" " + p for p in parts[1:])]
+    if words[-1] == " " and len(words) > 1:  # B gives no token for an empty text
+        words[-2:] = [words[-2] + " "]
+    return words
+
+
+def _stretches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of the batch with texts of about ``STRETCH_BYTES`` bytes, one row at least."""
+    _, offsets = text_buffers(batch.column("text"))
+    for lo, hi in steps(offsets, STRETCH_BYTES):
+        yield batch.slice(lo, hi - lo)
+
 
 _aligners: dict[tuple[str, str], Aligner] = {}
 
@@ -195,16 +290,13 @@ def aligned_blocks(docs: DataFrame, a_path: str, b_path: str, block_pairs: int =
             cols = list(zip(*out, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _BLOCK_TYPES, strict=True)], names=_BLOCK_NAMES)
 
-        for batch in batches:
-            for h1, h2, copies, text in zip(*(batch.column(c) for c in ("h1", "h2", "copies", "text")), strict=True):
-                words = al.words(" " + text.as_py())
-                if words is None:
+        for batch in chain.from_iterable(map(_stretches, batches)):
+            found = al.texts(batch.column("text"))
+            for h1, h2, copies, measured in zip(*(batch.column(c).to_pylist() for c in ("h1", "h2", "copies")), found, strict=True):
+                if measured is None:
                     continue
-                links = [p for w in words for p in w.pairs]
-                keys, times = np.unique(np.array(links, dtype=np.int64), return_counts=True)
-                digest = hashlib.sha256(";".join([w.groups for w in words]).encode("ascii")).hexdigest()
-                sums = (sum(w.n_a for w in words), sum(w.n_b for w in words), sum(w.n_groups for w in words), len(links))
-                held.append((copies.as_py(), h1.as_py(), h2.as_py(), *sums, digest, keys, times))
+                *figures, keys, times = measured
+                held.append((copies, h1, h2, *figures, keys, times))
                 size += len(keys)
                 if size >= block_pairs or len(held) >= BLOCK_TEXTS:
                     yield closed()

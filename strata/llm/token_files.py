@@ -1,62 +1,67 @@
 """Token-id files: frequency-ranked ids in byte-aligned variable-length coding.
 
-Ids are counted over the whole corpus and renumbered by falling frequency, so the
-256 most frequent ones take one byte, the next ones two, and so on.  Lengths
-stand apart from the bytes: a control byte holds the lengths (two bits each)
-of four ids, and control bytes come before data bytes in every block.  A block
-is decoded without a loop over ids: a table gives the four lengths of each
-control byte, their running sum the place of each id's bytes, and a second table
-turns ranks back into ids.
-
-Files (numbers little endian).  ``ranks.bin``: the id of each rank, 32 bits.
-``part-NNNNN.ids``: blocks, then one index row per block (offset, first document,
-documents, ids before the block: 64 bits each), then the number of blocks (64 bits) and
-``MAGIC``.  A block: documents, control bytes, data bytes (64 bits each); per
-document its id (64 bits), whether it has one (8 bits) and its number of token ids
-(64 bits); control bytes (each document starts a new one); data bytes.
-
-Documents go to files by ranges of ``doc_id`` that hold about equally many, found
-by quantiles, and lie sorted in a file; a range of one single id is dealt out over
-its files by text hash.  The texts are read twice (count, encode), so only encoded
-ids are shuffled.  Files are written under a name of the task attempt and then
-moved, so a repeated task replaces its own file.  The driver sees the ranks (one
-number per vocabulary entry) and one row per file.
-
-Tokenizing: words between blanks are independent under the given tokenizer, so a
-worker remembers the ids of short words that it has already encoded; every id
-comes from the library.  ``encode`` checks that the tokenizer's file is of this kind
-(white space dropped, no prefix space) and encodes whole texts otherwise.
+A file is a sequence of segments of about ``SEGMENT_IDS`` ids.  A segment ranks its
+ids by falling frequency, so its 256 most frequent ones take one byte, the next
+ones two, and so on.  Lengths stand apart from the bytes: a control byte holds
+the lengths (two bits each) of four ids, and control bytes come before data bytes.
+A segment is decoded without a loop over ids: a table gives the four lengths of
+each control byte, their running sum the place of each id's bytes, and the segment's
+rank table turns ranks back into ids.
+
+Files (numbers little endian): ``part-NNNNN.ids`` holds its segments, then one
+index row per segment (offset, first document, documents, ids before the segment: 64
+bits each), then the number of segments (64 bits) and ``MAGIC``.  A segment:
+documents, ranks, control bytes, data bytes (64 bits each); per document its id (64
+bits), whether it has one (8 bits) and its number of token ids (64 bits); the id of
+each rank (32 bits); control bytes (each document starts a new one); data bytes.
+
+Documents are range-partitioned by ``doc_id`` and text hash, a partition is a file
+and lies sorted in it; texts are shuffled once and tokenised once.  Files are written
+under a name of the task attempt and then moved, so a repeated task replaces its own
+file.  The driver sees one row per file.
+
+Tokenizing: words between blanks are independent under the given tokenizer, so the
+different words of a stretch of texts are encoded once, a worker remembers short
+ones, and numpy spreads their ids over the texts; every id comes from the library.
+``Encoder`` checks that the tokenizer's file is of this kind (lower case, white space
+dropped, no prefix space) and encodes whole texts otherwise.
 
 Edge cases: null and empty texts have the end id alone; a null ``doc_id`` comes
 first; rows that repeat a ``doc_id`` are ordered by text hash, equal rows lie side by
-side; one long document is one block; an empty table gives no file and an empty
-result; extra columns are not read.
+side; one long document is one segment; an empty table gives an empty result;
+extra columns are not read.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import table
+from strata.llm.common import steps, table, text_buffers, written
 from strata.llm.warc import _opened
 from strata.session import work_dir
 
 END_ID = 2
-# Token ids of a file, about, and of a block.
-FILE_IDS = 1 << 23
-BLOCK_IDS = 1 << 20
+# Text bytes of a file, about, and token ids of a segment.
+FILE_BYTES = 1 << 25
+SEGMENT_IDS = 1 << 21
 MAGIC = b"RANKIDS1"
-NO_ID = -(1 << 63)
 # Words that a worker remembers, and their longest.
 MEMORY_WORDS = 1 << 18
 MEMORY_CHARS = 48
+# Bytes of texts whose words are looked up together, and words encoded together.
+STRETCH_BYTES = 1 << 22
+TOGETHER = 512
+# Punctuation that is encoded apart from the word before it.
+TAIL = ".,!?|"
 
 LENGTHS = np.stack([(np.arange(256) >> (2 * k) & 3) + 1 for k in range(4)], axis=1).astype(np.uint8)
 
@@ -74,41 +79,107 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.end = np.uint32(end_id).tobytes()
+        self.end_id = end_id
         self.by_word = _drops_blanks(path)
-        self.seen: dict[str, bytes] = {"": b""}
+        self.seen = Memory()
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _remembered(self, word: str) -> bytes:
-        got = self._ids(word)
-        if len(word) <= MEMORY_CHARS:
-            if len(self.seen) >= MEMORY_WORDS:
-                self.seen = {"": b""}
-            self.seen[word] = got
-        return got
-
-    def ids(self, text: str | None) -> bytes:
-        """Token ids and the end id, 32 bits each."""
-        if not text:
-            return self.end
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Encode words together, blanks between them, and cut the ids at the blanks."""
+        out: dict[str, bytes] = {}
+        for lo in range(0, len(words), TOGETHER):
+            some = words[lo : lo + TOGETHER]
+            got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            begins = np.cumsum([0, *(len(w) + 1 for w in some)])
+            owner = np.searchsorted(begins, np.array([at for at, _ in got.offsets], dtype=np.int64), side="right") - 1
+            if (np.diff(owner) < 0).any():
+                out.update((w, self._ids(w)) for w in some)
+                continue
+            raw = np.array(got.ids, dtype="<u4").tobytes()
+            ends = (np.cumsum(np.bincount(owner, minlength=len(some))) * 4).tolist()
+            out.update(zip(some, (raw[x:y] for x, y in zip([0, *ends], ends, strict=False)), strict=True))
+        return out
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        cores, tails = zip(*map(parted, words), strict=True)
+        known, new = self.seen.found({*cores, *tails})
+        learned = self._learn([w for w in new if 0 < len(w) <= MEMORY_CHARS])
+        self.seen.add(learned)
+        known.update(learned)
+        known.update((w, self._ids(w)) for w in new if len(w) > MEMORY_CHARS)
+        known[""] = b""
+        return [known[core] + known[tail] if tail else known[core] for core, tail in zip(cores, tails, strict=True)]
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(token ids of all texts, each with the end id; ids of each text)."""
         if not self.by_word:
-            return self._ids(text) + self.end
-        seen, remembered = self.seen.get, self._remembered
-        return b"".join([got if (got := seen(w)) is not None else remembered(w) for w in text.replace("\n", " ").split(" ")]) + self.end
+            found = [np.frombuffer(self._ids(t) if t else b"", dtype="<u4") for t in texts.to_pylist()]
+            sizes = np.array([len(x) + 1 for x in found], dtype=np.int64)
+            return np.concatenate([np.zeros(0, dtype="<u4"), *(np.append(x, np.uint32(self.end_id)) for x in found)]).astype("<u4"), sizes
+        low = texts if b"<|" in text_buffers(texts)[0].tobytes() else pc.ascii_lower(texts)
+        words = pc.split_pattern(pc.replace_substring(low, "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        found = [*self._known(coded.dictionary.to_pylist()), np.array([self.end_id], dtype="<u4").tobytes()]
+        # The end id is one more word at the end of each text.
+        ends = np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))
+        codes = np.insert(coded.indices.to_numpy(zero_copy_only=False), ends, len(found) - 1)
+        places, per_word = spread([len(x) // 4 for x in found], codes)
+        total = np.cumsum(per_word)[ends + np.arange(len(ends))]
+        return np.frombuffer(b"".join(found), dtype="<u4")[places], np.diff(total, prepend=0)
+
+
+def parted(word: str) -> tuple[str, str]:
+    """A word and the punctuation behind its last letter or digit, where the tokenizers cut anyway."""
+    core = word.rstrip(TAIL)
+    # Lower-casing gives some letters beyond Latin-1 a mark that would join the punctuation.
+    return (core, word[len(core) :]) if core and core[-1] < "Ā" and core[-1].isalnum() else (word, "")
+
+
+def spread(lengths: list[int], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in the joined lists, length at each code) for a sequence of codes that each stand for a list."""
+    length = np.array(lengths, dtype=np.int64)
+    n = length[codes]
+    begin = (np.cumsum(length) - length)[codes]
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum())), n
+
+
+class Memory:
+    """What is known of words: those met lately stay, others go when ``MEMORY_WORDS`` are there."""
+
+    def __init__(self) -> None:
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def found(self, words: Iterable[str]) -> tuple[dict, list[str]]:
+        """(words known and what of them, new words)."""
+        young, old, known, new = self.young, self.old, {}, []
+        for w in words:
+            if w in young:
+                known[w] = young[w]
+            elif w in old:
+                known[w] = young[w] = old[w]
+            else:
+                new.append(w)
+        return known, new
+
+    def add(self, learned: dict) -> None:
+        self.young.update(learned)
+        if len(self.young) > MEMORY_WORDS // 2:
+            self.old, self.young = self.young, {}
 
 
 def _drops_blanks(path: str) -> bool:
-    """Whether the tokenizer cuts at blanks and drops them, and added tokens hold none."""
+    """Whether the tokenizer lower-cases, cuts at white space and drops it, and added tokens hold none."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
     splits = [s for s in steps if s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert")]
     plain = [s for s in steps if s.get("type") == "ByteLevel" and not s.get("add_prefix_space") and not s.get("use_regex")]
-    normal = {s["type"] for s in (spec.get("normalizer") or {}).get("normalizers", [])} <= {"NFC", "Replace", "Lowercase"}
-    added = any(" " in t["content"] or "\n" in t["content"] or t["single_word"] for t in spec.get("added_tokens", []))
-    return len(steps) == 2 and len(splits) == 1 and len(plain) == 1 and r"[^\s" in splits[0]["pattern"]["Regex"] and normal and not added
+    normal = {s["type"] for s in (spec.get("normalizer") or {}).get("normalizers", [])} == {"NFC", "Replace", "Lowercase"}
+    added = any(not re.fullmatch(r"<\|\S+", t["content"]) or t["single_word"] for t in spec.get("added_tokens", []))
+    return len(steps) == 2 and len(splits) == 1 and len(plain) == 1 and r"[^\s\p" in splits[0]["pattern"]["Regex"] and normal and not added
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
@@ -121,38 +192,19 @@ def encoder(path: str, end_id: int) -> Encoder:
     return _encoders[path, end_id]
 
 
-def id_counts(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(id, n) over all texts and end ids; a task sends each id once."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, total = encoder(path, end_id), np.zeros(1, dtype=np.int64)
-        for batch in batches:
-            ids = np.frombuffer(b"".join(e.ids(t) for t in batch.column("text").to_pylist()), dtype="<u4")
-            got = np.bincount(ids)
-            if len(got) > len(total):
-                total = np.concatenate([total, np.zeros(len(got) - len(total), dtype=np.int64)])
-            total[: len(got)] += got
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
-
-    return docs.select("text").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-
-
 # ---------------------------------------------------------------------------
 # coding
 
 
-def packed(ranks: np.ndarray, sizes: np.ndarray) -> tuple[bytes, bytes, np.ndarray, np.ndarray]:
-    """(control bytes, data bytes, control bytes per document, data bytes per document)."""
+def packed(ranks: np.ndarray, sizes: np.ndarray) -> tuple[bytes, bytes]:
+    """(control bytes, data bytes) of a segment."""
     length = (1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)).astype(np.uint8)
     data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < length[:, None]]
     controls = -(-sizes // 4)
     lanes = np.zeros(int(controls.sum()) * 4, dtype=np.uint8)
-    ends = np.cumsum(sizes)
     lanes[_lanes(sizes, controls)] = length - 1
     control = (lanes.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
-    sums = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
-    return control.tobytes(), data.tobytes(), controls, sums[ends] - sums[ends - sizes]
+    return control.tobytes(), data.tobytes()
 
 
 def _lanes(sizes: np.ndarray, controls: np.ndarray) -> np.ndarray:
@@ -163,7 +215,7 @@ def _lanes(sizes: np.ndarray, controls: np.ndarray) -> np.ndarray:
 
 
 def unpacked(control: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Ranks of a block's documents, by table look-ups."""
+    """Ranks of a segment's documents, by table look-ups."""
     length = LENGTHS[control].ravel()[_lanes(sizes, -(-sizes // 4))].astype(np.int64)
     at = np.cumsum(length) - length
     out = data[at].astype(np.uint32)
@@ -178,130 +230,89 @@ def unpacked(control: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.nda
 # Spark
 
 
-def _bounds(docs: DataFrame, parts: int) -> np.ndarray:
-    """The last id of each file but the last, by approximate quantiles."""
-    if parts < 2:
-        return np.zeros(0, dtype=np.int64)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    cuts = F.array(*(F.lit((i + 1) / parts) for i in range(parts - 1)))
-    return np.array(docs.agg(F.percentile_approx(key, cuts, 10 * parts).alias("q")).first().q, dtype=np.int64)
-
+def segment_of(doc: np.ndarray, has: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> bytes:
+    """The bytes of one segment."""
+    count = np.bincount(ids)
+    id_of = np.argsort(-count, kind="stable")[: np.count_nonzero(count)].astype("<u4")
+    rank_of = np.zeros(len(count), dtype=np.uint32)
+    rank_of[id_of] = np.arange(len(id_of), dtype=np.uint32)
+    control, data = packed(rank_of[ids], sizes)
+    head = np.array([len(doc), len(id_of), len(control), len(data)], dtype="<i8")
+    parts = (head, doc.astype("<i8"), has.astype("u1"), sizes.astype("<i8"), id_of)
+    return b"".join([*(x.tobytes() for x in parts), control, data])
 
-def _parts_of(key: np.ndarray, tie: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The file of each row; an id that is several bounds at once has several files, taken by hash."""
-    low = np.searchsorted(bounds, key, side="left")
-    high = np.searchsorted(bounds, key, side="right")
-    spread = np.maximum(high - low, 1)
-    return (low + (tie.view(np.uint64) % spread.astype(np.uint64)).astype(np.int64)).astype(np.int32)
 
-
-def write_files(docs: DataFrame, path: str, folder: str, end_id: int = END_ID, file_ids: int = FILE_IDS) -> list[tuple[int, int, int]]:
+def write_files(docs: DataFrame, path: str, folder: str, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> list[tuple[int, int, int]]:
     """Encode all texts into ``folder``; (file number, documents, ids) of each file, in order."""
     spark = docs.sparkSession
-    counts = [(r.id, r.n) for r in id_counts(docs, path, end_id).orderBy(F.desc("n"), "id").collect()]  # one row per vocabulary entry
-    if not counts:
-        return []
-    ids = np.array([i for i, _ in counts], dtype="<u4")
-    store, base = _opened(folder)
-    store.create_dir(base, recursive=True)
-    with store.open_output_stream(f"{base}/ranks.bin") as out:
-        out.write(ids.tobytes())
-    rank_of = np.zeros(int(ids.max()) + 1, dtype=np.uint32)
-    rank_of[ids] = np.arange(len(ids), dtype=np.uint32)
-    parts = -(-sum(n for _, n in counts) // file_ids)
-    bounds = _bounds(docs, parts)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path, end_id)
-        for batch in batches:
-            raw = [e.ids(t) for t in batch.column("text").to_pylist()]
-            sizes = np.array([len(x) // 4 for x in raw], dtype=np.int64)
-            control, data, c, d = packed(rank_of[np.frombuffer(b"".join(raw), dtype="<u4")], sizes)
-            ends_c, ends_d = np.cumsum(c), np.cumsum(d)
-            tie = batch.column("tie").to_numpy(zero_copy_only=False)
-            key = batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(_parts_of(key, tie, bounds)),
-                    batch.column("doc_id"),
-                    batch.column("tie"),
-                    pa.array(sizes),
-                    pa.array([control[hi - n : hi] for hi, n in zip(ends_c.tolist(), c.tolist(), strict=True)], pa.binary()),
-                    pa.array([data[hi - n : hi] for hi, n in zip(ends_d.tolist(), d.tolist(), strict=True)], pa.binary()),
-                ],
-                names=["part", "doc_id", "tie", "n", "control", "data"],
-            )
+    parts = 1 + (docs.agg(F.sum(F.octet_length("text") + F.lit(1))).first()[0] or 0) // file_bytes
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        attempt, out, block, held, index = TaskContext.get().taskAttemptId(), None, [], 0, []
+        part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         store, base = _opened(folder)
-        part, draft, offset, documents, total = -1, "", 0, 0, 0
+        store.create_dir(base, recursive=True)
+        e, out, block, held, index = encoder(path, end_id), None, [], 0, []
+        draft, offset, documents, total = f"{base}/.part-{part:05d}.{attempt}", 0, 0, 0
 
         def flush() -> None:
-            nonlocal offset, documents, total, block, held
+            nonlocal out, offset, documents, total, block, held
             if not block:
                 return
-            doc, n, control, data = zip(*block, strict=True)
-            has = np.array([d is not None for d in doc], dtype=np.uint8)
-            control, data = b"".join(control), b"".join(data)
-            head = np.array([len(block), len(control), len(data)], dtype="<i8")
-            names = np.array([d or 0 for d in doc], dtype="<i8")
-            raw = b"".join([head.tobytes(), names.tobytes(), has.tobytes(), np.array(n, dtype="<i8").tobytes(), control, data])
+            out = out or store.open_output_stream(draft)
+            doc, has, sizes, ids = (np.concatenate(x) for x in zip(*block, strict=True))
+            raw = segment_of(doc, has, sizes, ids)
             out.write(raw)
-            index.append((offset, documents, len(block), total))
-            offset, documents, total, block, held = offset + len(raw), documents + len(block), total + sum(n), [], 0
+            index.append((offset, documents, len(doc), total))
+            offset, documents, total = offset + len(raw), documents + len(doc), total + held
+            block, held = [], 0
 
         for batch in batches:
-            if batch.num_rows and out is None:
-                part = batch.column("part")[0].as_py()
-                draft = f"{base}/.part-{part:05d}.{attempt}"
-                out = store.open_output_stream(draft)
-            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "control", "data")), strict=True):
-                block.append(row)
-                held += row[1]
-                if held >= BLOCK_IDS:
+            _, offsets = text_buffers(batch.column("text"))
+            for lo, hi in steps(offsets, STRETCH_BYTES):
+                doc = batch.column("doc_id").slice(lo, hi - lo)
+                ids, sizes = e.ids(batch.column("text").slice(lo, hi - lo))
+                block.append((doc.fill_null(0).to_numpy(zero_copy_only=False), np.asarray(doc.is_valid()), sizes, ids))
+                held += len(ids)
+                if held >= SEGMENT_IDS:
                     flush()
+        flush()
         if out is None:
             return
-        flush()
         out.write(np.array(index, dtype="<i8").tobytes() + np.array([len(index)], dtype="<i8").tobytes() + MAGIC)
         out.close()
         store.move(draft, f"{base}/part-{part:05d}.ids")
         yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (part, documents, total)], names=["part", "documents", "ids"])
 
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = keyed.withColumn("tie", F.xxhash64("text")).mapInArrow(
-        encode, "part int, doc_id long, tie long, n long, control binary, data binary"
-    )
-    # One partition per file.
-    dealt = rows.repartitionById(parts, F.col("part")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
-    dealt.mapInArrow(write, "part long, documents long, ids long").write.parquet(f"{folder}/_files")
-    files = spark.read.schema("part long, documents long, ids long").parquet(f"{folder}/_files")
-    return [(r.part, r.documents, r.ids) for r in files.orderBy("part").collect()]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
+    dealt = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    files = written(dealt.select("doc_id", "text").mapInArrow(write, "part long, documents long, ids long"), "token-file-list")
+    return [(r.part, r.documents, r.ids) for r in files.orderBy("part").collect()]  # one row per file
 
 
-def blocks_of(store, base: str, part: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
-    """(document ids, whether they have one, ids per document, ranks, ids before) of a file's blocks."""
+def segments_of(store, base: str, part: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(document ids, whether they have one, ids per document, ids, ids before) of a file's segments."""
     with store.open_input_file(f"{base}/part-{part:05d}.ids") as source:
+
+        def numbers(n: int, dtype: str) -> np.ndarray:
+            return np.frombuffer(source.read(n * np.dtype(dtype).itemsize), dtype=dtype)
+
         end = source.size()
         source.seek(end - 16)
-        tail = source.read(16)
-        if tail[8:] != MAGIC:
+        segments = int(numbers(1, "<i8")[0])
+        if source.read(8) != MAGIC:
             raise ValueError(f"part {part}: no file of ranked ids")
-        blocks = int(np.frombuffer(tail[:8], dtype="<i8")[0])
-        source.seek(end - 16 - 32 * blocks)
-        for offset, _, docs, before in np.frombuffer(source.read(32 * blocks), dtype="<i8").reshape(-1, 4).tolist():
+        source.seek(end - 16 - 32 * segments)
+        for offset, _, docs, before in numbers(4 * segments, "<i8").reshape(-1, 4).tolist():
             source.seek(offset)
-            n, control, data = np.frombuffer(source.read(24), dtype="<i8").tolist()
+            n, ranks, control, data = numbers(4, "<i8").tolist()
             if n != docs:
-                raise ValueError(f"part {part}: index and block at {offset} differ")
-            doc = np.frombuffer(source.read(8 * n), dtype="<i8")
-            has = np.frombuffer(source.read(n), dtype=np.uint8)
-            sizes = np.frombuffer(source.read(8 * n), dtype="<i8")
-            lanes = np.frombuffer(source.read(control), dtype=np.uint8)
-            yield doc, has, sizes, unpacked(lanes, np.frombuffer(source.read(data), dtype=np.uint8), sizes), before
+                raise ValueError(f"part {part}: index and segment at {offset} differ")
+            doc, has, sizes, id_of = numbers(n, "<i8"), numbers(n, "u1"), numbers(n, "<i8"), numbers(ranks, "<u4")
+            lanes = numbers(control, "u1")
+            yield doc, has, sizes, id_of[unpacked(lanes, numbers(data, "u1"), sizes)], before
 
 
 def read_files(spark: SparkSession, folder: str, files: list[tuple[int, int, int]]) -> DataFrame:
@@ -313,25 +324,14 @@ def read_files(spark: SparkSession, folder: str, files: list[tuple[int, int, int
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _opened(folder)
-        id_of = None
         for batch in batches:
             for part, first in zip(batch.column("part").to_pylist(), batch.column("first").to_pylist(), strict=True):
-                if id_of is None:
-                    with store.open_input_file(f"{base}/ranks.bin") as source:
-                        id_of = np.frombuffer(source.read(), dtype="<u4")
-                for doc, has, sizes, ranks, ahead in blocks_of(store, base, part):
-                    raw = id_of[ranks].astype("<u4").tobytes()
+                for doc, has, sizes, ids, ahead in segments_of(store, base, part):
                     ends = np.cumsum(sizes)
-                    spans = zip((ends - sizes).tolist(), ends.tolist(), strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(doc, mask=has == 0),
-                            pa.array(first + ahead + ends - sizes),
-                            pa.array(sizes),
-                            pa.array([raw[4 * lo : 4 * hi] for lo, hi in spans], pa.binary()),
-                        ],
-                        names=["doc_id", "start", "n_tokens", "ids"],
-                    )
+                    offsets = np.concatenate([[0], ends * 4]).astype(np.int64)
+                    raw = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u4"))])
+                    columns = [pa.array(doc, mask=has == 0), pa.array(first + ahead + ends - sizes), pa.array(sizes), raw.cast(pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids"])
 
     # One task per file.
     listed = spark.createDataFrame(starts, "place int, part int, first long").repartitionById(max(1, len(starts)), F.col("place"))

@@ -6,9 +6,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from strata.llm import align_tokens as at
+from strata.llm import token_files
 
 SMALL = "/root/testdata/sf0.001"
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -90,14 +92,20 @@ def test_empty_table(spark):
     assert at.alignment(spark.createDataFrame([], "doc_id long, text string"), A, B).collect() == []
 
 
-def test_words_apart_are_the_whole_text(al):
+def test_words_apart_are_the_whole_text(al, monkeypatch):
     rng = random.Random(1)
     assert al.by_word
-    bits = [*" \n\taBéΣß1２!가가ﬁ▁🙂", "́", "<|endoftext|>", "'s", " ", " ", "\x1c", "\x00", "　", "\u0085", "  ", "</s>", "the"]
-    for _ in range(3000):
-        text = "".join(rng.choices(bits, k=rng.randrange(1, 14)))
-        want, words = _brute(al, text), al.words(" " + text)
-        assert (want is None) == (words is None), repr(text)
-        if words:
-            assert ";".join(want[2]) == ";".join(w.groups for w in words), repr(text)
-            assert [a << at.SHIFT | b for a, b in want[3]] == [p for w in words for p in w.pairs], repr(text)
+    bits = [*" \n\taBéΣß1２!가가ﬁ▁🙂", "́", "<|endoftext|>", "'s", " ", " ", "\x1c", "\x00", "　", "\u0085", "  ", "</s>", "the", "y" * 60, "².", "a.", "b,", "!?", "..."]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(1, 14))) for _ in range(4000)]
+    want = [_brute(al, t) for t in texts]
+    for words, memory in ((True, token_files.MEMORY_WORDS), (True, 100), (False, 100)):
+        monkeypatch.setattr(token_files, "MEMORY_WORDS", memory)
+        monkeypatch.setattr(al, "by_word", words)
+        monkeypatch.setattr(al, "seen", token_files.Memory())
+        for text, v, got in zip(texts, want, al.texts(pa.array(texts)), strict=True):
+            assert (v is None) == (got is None), repr(text)
+            if got:
+                links = Counter(a << at.SHIFT | b for a, b in v[3])
+                digest = hashlib.sha256(";".join(v[2]).encode()).hexdigest()
+                assert got[:5] == (v[0], v[1], len(v[2]), len(v[3]), digest), repr(text)
+                assert dict(zip(got[5].tolist(), got[6].tolist(), strict=True)) == links, repr(text)

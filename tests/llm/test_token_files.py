@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -35,11 +36,12 @@ def test_query_equals_the_library(spark):
     assert got == _want(docs, Tokenizer.from_file(WORDS))
 
 
-def test_many_files_and_blocks_give_the_same_rows(spark, monkeypatch):
-    monkeypatch.setattr(tf, "BLOCK_IDS", 500)
+def test_many_files_and_segments_give_the_same_rows(spark, monkeypatch):
+    monkeypatch.setattr(tf, "SEGMENT_IDS", 500)
+    monkeypatch.setattr(tf, "STRETCH_BYTES", 1_000)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     folder = work_dir(spark, "token-files")
-    files = tf.write_files(docs, WORDS, folder, file_ids=7_000)
+    files = tf.write_files(docs, WORDS, folder, file_bytes=20_000)
     assert len(files) > 10 and sum(n for _, n, _ in files) == docs.count()
     rows = docs.select("doc_id", "text").orderBy("doc_id").collect()
     tokenizer = Tokenizer.from_file(WORDS)
@@ -53,7 +55,7 @@ def test_hostile_rows(spark):
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, "z"), (None, None), (-5, "minus"), (-(2**63), "least"), (3, "again"), (3, "again")]
     docs = spark.createDataFrame([(*r, 1, "n", 2, "c") for r in rows], DOCS)
     folder = work_dir(spark, "token-files")
-    files = tf.write_files(docs, WORDS, folder, file_ids=3_000)
+    files = tf.write_files(docs, WORDS, folder, file_bytes=9_000)
     got = tf.read_files(spark, folder, files).orderBy("start").collect()
     low = -(2**63)
     ids = [low if r.doc_id is None else r.doc_id for r in got]
@@ -68,8 +70,8 @@ def test_hostile_rows(spark):
 def test_one_id_of_a_third_of_all_rows_is_dealt_out(spark):
     rows = [(None, f"text {i} " * 20) for i in range(300)] + [(i, f"other {i} " * 20) for i in range(600)]
     folder = work_dir(spark, "token-files")
-    files = tf.write_files(spark.createDataFrame(rows, "doc_id long, text string"), WORDS, folder, file_ids=3_000)
-    assert max(n for _, n, _ in files) < 150 and sum(n for _, n, _ in files) == 900
+    files = tf.write_files(spark.createDataFrame(rows, "doc_id long, text string"), WORDS, folder, file_bytes=9_000)
+    assert max(n for _, n, _ in files) < 250 and sum(n for _, n, _ in files) == 900
     got = tf.read_files(spark, folder, files).orderBy("start").collect()
     assert [r.doc_id for r in got[:300]] == [None] * 300 and [r.doc_id for r in got[300:]] == list(range(600))
 
@@ -86,15 +88,28 @@ def test_coding_round_trip(top):
     rng = np.random.default_rng(top)
     sizes = np.array([1, 0, 3, 4, 5, 0, 1000, 2])
     ranks = rng.integers(0, top, sizes.sum()).astype(np.uint32)
-    control, data, c, d = tf.packed(ranks, sizes)
-    assert c.sum() == len(control) and d.sum() == len(data)
+    control, data = tf.packed(ranks, sizes)
+    assert len(control) == (-(-sizes // 4)).sum()
     assert (tf.unpacked(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), sizes) == ranks).all()
 
 
-def test_words_apart_are_the_whole_text():
+def _encoded(e, texts):
+    ids, sizes = e.ids(pa.array([t or "" for t in texts], pa.string()))
+    return [x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+
+
+def test_words_apart_are_the_whole_text(monkeypatch):
     rng, tokenizer, e = random.Random(1), Tokenizer.from_file(WORDS), tf.Encoder(WORDS, tf.END_ID)
     assert e.by_word and not tf._drops_blanks(public_tokenizers.path("byte_bpe_50k.json"))
-    bits = [*" \n\ta1!２éΣßﬁ가가İ🙂", "́", "<|endoftext|>", "'s", " ", "\x1c", "\x00", "\u0085", "  ", "</w>"]
-    for _ in range(3000):
-        text = "".join(rng.choices(bits, k=rng.randrange(1, 14)))
-        assert e.ids(text) == _ids(tokenizer, text).tobytes(), repr(text)
+    bits = [*" \n\taA1!２éÉΣßﬁ가가İ🙂", "́", "'s", "'LL", " ", "\x1c", "\x00", "\u0085", "  ", "</w>", "y" * 60, "².", "a.", "b,", "!?", "...", "́."]
+    for more in ([], ["<|endoftext|>", "<|ENDOFTEXT|>"]):
+        texts = ["".join(rng.choices(bits + more, k=rng.randrange(0, 14))) for _ in range(5000)] + [None, ""]
+        want = [_ids(tokenizer, t).tobytes() for t in texts]
+        assert _encoded(e, texts) == want
+    monkeypatch.setattr(tf, "MEMORY_WORDS", 500)
+    e = tf.Encoder(WORDS, tf.END_ID)
+    for lo in range(0, 2000, 50):
+        assert _encoded(e, texts[lo : lo + 50]) == want[lo : lo + 50]
+    assert len(e.seen.young) <= 500 and len(e.seen.old) < 1000
+    e.by_word = False
+    assert _encoded(e, texts[:500]) == want[:500]
