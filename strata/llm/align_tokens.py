@@ -18,8 +18,9 @@ hashes of 64 bits).
 Words are independent under both tokenizers where a blank follows a character that is
 no white space: A's pattern never matches across it, and no piece of B holds a
 blank behind another character (checked when the model is loaded; whole texts are
-encoded otherwise).  A worker remembers the alignments of short words; every id comes
-from the two libraries.
+encoded otherwise).  A worker remembers the alignments of short words.  Short words of
+A are merged by ``tiktoken`` over A's own vocabulary, which gives the ids of the
+``tokenizers`` library.
 
 Edge cases: null and empty texts, and texts whose tokens do not spell the text
 back, have no tokens: zeros and an empty digest; special strings in a text are plain
@@ -32,24 +33,27 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain, pairwise
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.bpe_count import _byte_symbols
+from strata.llm.bpe_count import PATTERN, _byte_symbols
 from strata.llm.common import shuffle_parts, steps, table, text_buffers, written
-from strata.llm.token_files import MEMORY_CHARS, TAIL, TOGETHER, Memory, parted, spread
 
 # Distinct pairs of its texts, summed, that close a block, and texts that do.
 BLOCK_PAIRS = 1 << 19
 BLOCK_TEXTS = 4096
+# Words that a worker remembers, their longest, and words encoded together.
+MEMORY_WORDS = 1 << 17
+MEMORY_CHARS = 48
+TOGETHER = 512
 # Bytes of texts whose words are looked up together.
-STRETCH_BYTES = 1 << 22
+STRETCH_BYTES = 1 << 23
 # A pair of ids as one number.
 SHIFT = 32
 
@@ -70,10 +74,6 @@ class Aligned:
     groups: str
 
 
-def _joined(a: Aligned | None, b: Aligned) -> Aligned | None:
-    return a and Aligned(a.n_a + b.n_a, a.n_b + b.n_b, a.n_groups + b.n_groups, a.pairs + b.pairs, a.groups + ";" + b.groups)
-
-
 _NOTHING = Aligned(0, 0, 0, [], "")
 
 
@@ -102,11 +102,49 @@ def _ends(pieces: list[bytes]) -> list[int]:
     return out
 
 
+class Memory:
+    """What is known of words: those met lately stay, others go when ``MEMORY_WORDS`` are there."""
+
+    def __init__(self) -> None:
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def found(self, words: Iterable[str]) -> tuple[dict, list[str]]:
+        """(words known and what of them, new words)."""
+        young, old, known, new = self.young, self.old, {}, []
+        for w in words:
+            if w in young:
+                known[w] = young[w]
+            elif w in old:
+                known[w] = young[w] = old[w]
+            else:
+                new.append(w)
+        return known, new
+
+    def add(self, learned: dict) -> None:
+        self.young.update(learned)
+        if len(self.young) > MEMORY_WORDS // 2:
+            self.old, self.young = self.young, {}
+
+
+def spread(lengths: list[int], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in the joined lists, length at each code) for a sequence of codes that each stand for a list."""
+    length = np.array(lengths, dtype=np.int64)
+    n = length[codes]
+    ends = np.cumsum(n)
+    small = np.int32 if max(int(n.sum()), int(length.sum())) < 1 << 31 else np.int64
+    begin = (np.cumsum(length) - length)[codes] - (ends - n)
+    places = np.repeat(begin.astype(small), n)
+    places += np.arange(len(places), dtype=small)
+    return places, n
+
+
 class Aligner:
     """The two tokenizers and the alignments of words seen."""
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(a_path)
@@ -127,10 +165,9 @@ class Aligner:
         self.a_sizes = np.zeros(max(self.a_bytes) + 1, dtype=np.int64)
         self.a_sizes[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
         self.b_sizes = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
-        # Letters and digits that a piece of B holds together with punctuation behind them.
-        pieces = (self.b.id_to_piece(i) for i in range(self.b.get_piece_size()) if not self.b.is_byte(i))
-        self.glued = {x for p in pieces for x, y in pairwise(p) if y in TAIL}
-        self.tails: dict[str, Aligned | None] = {}
+        ranks = {self.a_bytes[i]: i for i in self.a.get_vocab(with_added_tokens=False).values()}
+        self.a_words = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.single: dict[int, str] = {}
         self.seen = Memory()
 
     def whole(self, spaced: str) -> Aligned | None:
@@ -143,32 +180,38 @@ class Aligner:
         return overlaps(a_ids, _ends(a), b_ids, _ends(b))
 
     def _learn(self, words: list[str]) -> dict[str, Aligned | None]:
-        """Alignments of words that begin with a blank: encoded together by A, whose tokens spell them, and cut apart."""
+        """Alignments of words that begin with a blank: encoded together, and cut apart where both tokenizers cut."""
         out: dict[str, Aligned | None] = {}
+        if len(self.single) > MEMORY_WORDS:
+            self.single = {}
+        single = self.single
         for lo in range(0, len(words), TOGETHER):
             some = words[lo : lo + TOGETHER]
+            joined = "".join(some)
             ends = np.cumsum([len(w.encode("utf-8")) for w in some])
-            a_ids = self.a.encode("".join(some), add_special_tokens=False).ids
-            a_ends = np.cumsum(self.a_sizes[a_ids])
-            spelled = np.isin(ends, a_ends).all() and a_ends[-1] == ends[-1]
-            b_of = self.b.encode([w[1:] for w in some], num_threads=1)
-            b_ids = list(chain.from_iterable(b_of))
-            b_ends = np.cumsum(self.b_sizes[b_ids])
-            b_last = np.cumsum([len(x) for x in b_of])
-            # Tokens whose sizes fit word by word may still spell another text.
-            if not spelled or (b_ends[b_last - 1] != ends).any() or b"".join([self.b_bytes[i] for i in b_ids]) != "".join(some).encode("utf-8"):
-                out.update((w, self.whole(w)) for w in some)
-                continue
-            # Between two neighbouring ends, of A or B, lies the overlap of one linked pair.
+            a_ids, b_ids = self.a_words.encode_ordinary(joined), self.b.encode(joined[1:])
+            a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
             both = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
             twice = both[1:] == both[:-1]
             cuts, common = both[np.append(~twice, True)], both[1:][twice]
+            raw = joined.encode("utf-8")
+            if not np.isin(ends, common).all() or a_ends[-1] != ends[-1] or b_ends[-1] != ends[-1] or b"".join([self.b_bytes[i] for i in b_ids]) != raw:
+                out.update((w, self.whole(w)) for w in some)
+                continue
+            # Between two neighbouring ends, of A or B, lies the overlap of one linked pair.
+            c_at = np.searchsorted(cuts, common) + 1
             pairs = (np.array(a_ids)[np.searchsorted(a_ends, cuts)] << SHIFT | np.array(b_ids)[np.searchsorted(b_ends, cuts)]).tolist()
             a_at, b_at = np.searchsorted(a_ends, common) + 1, np.searchsorted(b_ends, common) + 1
-            groups, x, y = [], 0, 0
-            for i, j in zip(a_at.tolist(), b_at.tolist(), strict=True):
-                groups.append(f"{a_ids[x]}|{b_ids[y]}" if i - x == 1 == j - y else ",".join(map(str, a_ids[x:i])) + "|" + ",".join(map(str, b_ids[y:j])))
-                x, y = i, j
+            groups, x, y, c = [], 0, 0, 0
+            for i, j, k in zip(a_at.tolist(), b_at.tolist(), c_at.tolist(), strict=True):
+                if k - c == 1:
+                    name = single.get(pairs[c])
+                    if name is None:
+                        name = single[pairs[c]] = f"{a_ids[x]}|{b_ids[y]}"
+                    groups.append(name)
+                else:
+                    groups.append(",".join(map(str, a_ids[x:i])) + "|" + ",".join(map(str, b_ids[y:j])))
+                x, y, c = i, j, k
             last = [(np.searchsorted(at, ends) + 1).tolist() for at in (a_ends, b_ends, cuts, common)]
             x, y, c, g = 0, 0, 0, 0
             for word, x2, y2, c2, g2 in zip(some, *last, strict=True):
@@ -178,27 +221,12 @@ class Aligner:
 
     def known(self, words: list[str]) -> list[Aligned | None]:
         """Alignments of words, a blank before each; None where the tokens do not spell it."""
-        parts = [self._parted(w) for w in words]
-        known, new = self.seen.found({core for core, _ in parts})
+        known, new = self.seen.found(words)
         learned = self._learn([w for w in new if len(w) <= MEMORY_CHARS])
         self.seen.add(learned)
         known.update(learned)
         known.update((w, self.whole(w)) for w in new if len(w) > MEMORY_CHARS)
-        return [known[core] if tail is None else _joined(known[core], tail) for core, tail in parts]
-
-    def _parted(self, word: str) -> tuple[str, Aligned | None]:
-        """A word without the punctuation behind it, and that punctuation's alignment."""
-        core, tail = parted(word)
-        if not tail or core[-1] in self.glued or len(tail) > MEMORY_CHARS:
-            return word, None
-        if tail not in self.tails:
-            one, more = self.whole(" a"), self.whole(" a" + tail)
-            after = more is not None and more.groups.startswith(one.groups + ";")
-            if len(self.tails) >= 4096:
-                self.tails = {}
-            self.tails[tail] = Aligned(more.n_a - 1, more.n_b - 1, more.n_groups - 1, more.pairs[1:], more.groups[len(one.groups) + 1 :]) if after else None
-        got = self.tails[tail]
-        return (core, got) if got else (word, None)
+        return [known[w] for w in words]
 
     def texts(self, texts: pa.Array) -> Iterator[tuple | None]:
         """The measures of each text, a blank before it; None where the tokens do not spell it."""

@@ -20,11 +20,12 @@ and lies sorted in it; texts are shuffled once and tokenised once.  Files are wr
 under a name of the task attempt and then moved, so a repeated task replaces its own
 file.  The driver sees one row per file.
 
-Tokenizing: words between blanks are independent under the given tokenizer, so the
-different words of a stretch of texts are encoded once, a worker remembers short
-ones, and numpy spreads their ids over the texts; every id comes from the library.
+Tokenizing: a text of lower- and upper-case Latin letters, ASCII and common punctuation is cut
+by the tokenizer's own pattern, and its words are merged by ``tiktoken`` over the
+same vocabulary, in which a zero byte stands for the end of a word; every other
+text, and one with a very long word, goes through the ``tokenizers`` library whole.
 ``Encoder`` checks that the tokenizer's file is of this kind (lower case, white space
-dropped, no prefix space) and encodes whole texts otherwise.
+dropped, marked word ends) and gives all texts to the library otherwise.
 
 Edge cases: null and empty texts have the end id alone; a null ``doc_id`` comes
 first; rows that repeat a ``doc_id`` are ordered by text hash, equal rows lie side by
@@ -37,14 +38,14 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.bpe_count import _byte_symbols
 from strata.llm.common import steps, table, text_buffers, written
 from strata.llm.warc import _opened
 from strata.session import work_dir
@@ -54,14 +55,17 @@ END_ID = 2
 FILE_BYTES = 1 << 25
 SEGMENT_IDS = 1 << 21
 MAGIC = b"RANKIDS1"
-# Words that a worker remembers, and their longest.
-MEMORY_WORDS = 1 << 18
-MEMORY_CHARS = 48
-# Bytes of texts whose words are looked up together, and words encoded together.
-STRETCH_BYTES = 1 << 22
-TOGETHER = 512
-# Punctuation that is encoded apart from the word before it.
-TAIL = ".,!?|"
+# Bytes of texts encoded before a segment may be closed.
+STRETCH_BYTES = 1 << 21
+# Longer words are left to the library.
+WORD_CHARS = 1000
+# How the vocabulary marks the last token of a word.
+WORD_END = "</w>"
+# The split pattern of the word tokenizer (public; fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The same for lower-cased texts of letters up to U+017F that lower-casing and normalisation treat one by one.
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿĀ-ſ]+|[0-9]|[^\sa-zß-öø-ÿĀ-ſ0-9]+")
+_NOT_PLAIN = re.compile(r"[^\t\n\r -~À-ÖØ-öø-įĲ-ňŊ-ſ‐-‧]|<\|")
 
 LENGTHS = np.stack([(np.arange(256) >> (2 * k) & 3) + 1 for k in range(4)], axis=1).astype(np.uint8)
 
@@ -76,110 +80,55 @@ class Encoder:
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
         self.end_id = end_id
-        self.by_word = _drops_blanks(path)
-        self.seen = Memory()
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Encode words together, blanks between them, and cut the ids at the blanks."""
-        out: dict[str, bytes] = {}
-        for lo in range(0, len(words), TOGETHER):
-            some = words[lo : lo + TOGETHER]
-            got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            begins = np.cumsum([0, *(len(w) + 1 for w in some)])
-            owner = np.searchsorted(begins, np.array([at for at, _ in got.offsets], dtype=np.int64), side="right") - 1
-            if (np.diff(owner) < 0).any():
-                out.update((w, self._ids(w)) for w in some)
-                continue
-            raw = np.array(got.ids, dtype="<u4").tobytes()
-            ends = (np.cumsum(np.bincount(owner, minlength=len(some))) * 4).tolist()
-            out.update(zip(some, (raw[x:y] for x, y in zip([0, *ends], ends, strict=False)), strict=True))
-        return out
-
-    def _known(self, words: list[str]) -> list[bytes]:
-        cores, tails = zip(*map(parted, words), strict=True)
-        known, new = self.seen.found({*cores, *tails})
-        learned = self._learn([w for w in new if 0 < len(w) <= MEMORY_CHARS])
-        self.seen.add(learned)
-        known.update(learned)
-        known.update((w, self._ids(w)) for w in new if len(w) > MEMORY_CHARS)
-        known[""] = b""
-        return [known[core] + known[tail] if tail else known[core] for core, tail in zip(cores, tails, strict=True)]
+        self.words = word_encoding(self.library) if _cuts_words(path) else None
+
+    def _ids(self, text: str) -> list[int]:
+        if not text:
+            return []
+        if self.words is not None and not _NOT_PLAIN.search(text):
+            words = _WORDS.findall(text.lower())
+            if max(map(len, words), default=0) <= WORD_CHARS:
+                return self.words.encode_ordinary("\0".join(words) + "\0") if words else []
+        return self.library.encode(text, add_special_tokens=False).ids
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(token ids of all texts, each with the end id; ids of each text)."""
-        if not self.by_word:
-            found = [np.frombuffer(self._ids(t) if t else b"", dtype="<u4") for t in texts.to_pylist()]
-            sizes = np.array([len(x) + 1 for x in found], dtype=np.int64)
-            return np.concatenate([np.zeros(0, dtype="<u4"), *(np.append(x, np.uint32(self.end_id)) for x in found)]).astype("<u4"), sizes
-        low = texts if b"<|" in text_buffers(texts)[0].tobytes() else pc.ascii_lower(texts)
-        words = pc.split_pattern(pc.replace_substring(low, "\n", " "), " ")
-        coded = words.flatten().dictionary_encode()
-        found = [*self._known(coded.dictionary.to_pylist()), np.array([self.end_id], dtype="<u4").tobytes()]
-        # The end id is one more word at the end of each text.
-        ends = np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))
-        codes = np.insert(coded.indices.to_numpy(zero_copy_only=False), ends, len(found) - 1)
-        places, per_word = spread([len(x) // 4 for x in found], codes)
-        total = np.cumsum(per_word)[ends + np.arange(len(ends))]
-        return np.frombuffer(b"".join(found), dtype="<u4")[places], np.diff(total, prepend=0)
-
-
-def parted(word: str) -> tuple[str, str]:
-    """A word and the punctuation behind its last letter or digit, where the tokenizers cut anyway."""
-    core = word.rstrip(TAIL)
-    # Lower-casing gives some letters beyond Latin-1 a mark that would join the punctuation.
-    return (core, word[len(core) :]) if core and core[-1] < "Ā" and core[-1].isalnum() else (word, "")
-
-
-def spread(lengths: list[int], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places in the joined lists, length at each code) for a sequence of codes that each stand for a list."""
-    length = np.array(lengths, dtype=np.int64)
-    n = length[codes]
-    begin = (np.cumsum(length) - length)[codes]
-    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum())), n
-
-
-class Memory:
-    """What is known of words: those met lately stay, others go when ``MEMORY_WORDS`` are there."""
-
-    def __init__(self) -> None:
-        self.young: dict = {}
-        self.old: dict = {}
-
-    def found(self, words: Iterable[str]) -> tuple[dict, list[str]]:
-        """(words known and what of them, new words)."""
-        young, old, known, new = self.young, self.old, {}, []
-        for w in words:
-            if w in young:
-                known[w] = young[w]
-            elif w in old:
-                known[w] = young[w] = old[w]
-            else:
-                new.append(w)
-        return known, new
-
-    def add(self, learned: dict) -> None:
-        self.young.update(learned)
-        if len(self.young) > MEMORY_WORDS // 2:
-            self.old, self.young = self.young, {}
-
-
-def _drops_blanks(path: str) -> bool:
-    """Whether the tokenizer lower-cases, cuts at white space and drops it, and added tokens hold none."""
+        out, sizes = [], []
+        for text in texts.to_pylist():
+            found = self._ids(text)
+            out += found
+            out.append(self.end_id)
+            sizes.append(len(found) + 1)
+        return np.array(out, dtype="<u4"), np.array(sizes, dtype=np.int64)
+
+
+def word_encoding(library):
+    """The vocabulary as merge ranks over bytes, a zero byte behind the last letter of a word."""
+    import tiktoken
+
+    byte = {s: i for i, s in enumerate(_byte_symbols())}
+    ranks = {}
+    for token, i in library.get_vocab(with_added_tokens=False).items():
+        end = token.endswith(WORD_END)
+        ranks[bytes(byte[c] for c in token.removesuffix(WORD_END)) + b"\0" * end] = i
+    return tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+
+
+def _cuts_words(path: str) -> bool:
+    """Whether the tokenizer lower-cases, cuts by ``PATTERN`` and marks word ends, and added tokens are of the form ``<|..``."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
     splits = [s for s in steps if s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert")]
     plain = [s for s in steps if s.get("type") == "ByteLevel" and not s.get("add_prefix_space") and not s.get("use_regex")]
     normal = {s["type"] for s in (spec.get("normalizer") or {}).get("normalizers", [])} == {"NFC", "Replace", "Lowercase"}
-    added = any(not re.fullmatch(r"<\|\S+", t["content"]) or t["single_word"] for t in spec.get("added_tokens", []))
-    return len(steps) == 2 and len(splits) == 1 and len(plain) == 1 and r"[^\s\p" in splits[0]["pattern"]["Regex"] and normal and not added
+    added = all(t["content"].startswith("<|") for t in spec.get("added_tokens", []))
+    words = spec["model"]["type"] == "BPE" and spec["model"].get("end_of_word_suffix") == WORD_END
+    return len(steps) == 2 and len(splits) == 1 and len(plain) == 1 and splits[0]["pattern"]["Regex"] == PATTERN and normal and added and words
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
@@ -198,8 +147,15 @@ def encoder(path: str, end_id: int) -> Encoder:
 
 def packed(ranks: np.ndarray, sizes: np.ndarray) -> tuple[bytes, bytes]:
     """(control bytes, data bytes) of a segment."""
-    length = (1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)).astype(np.uint8)
-    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < length[:, None]]
+    length = np.ones(len(ranks), dtype=np.uint8)
+    for bound in (0xFF, 0xFFFF, 0xFFFFFF):
+        length += ranks > bound
+    at = np.cumsum(length, dtype=np.int64) - length
+    data = np.empty(int(length.sum(dtype=np.int64)), dtype=np.uint8)
+    data[at] = ranks & 0xFF
+    for k in range(1, int(length.max(initial=1))):
+        more = np.flatnonzero(length > k)
+        data[at[more] + k] = ranks[more] >> np.uint32(8 * k) & 0xFF
     controls = -(-sizes // 4)
     lanes = np.zeros(int(controls.sum()) * 4, dtype=np.uint8)
     lanes[_lanes(sizes, controls)] = length - 1
@@ -315,9 +271,10 @@ def segments_of(store, base: str, part: int) -> Iterator[tuple[np.ndarray, np.nd
             yield doc, has, sizes, id_of[unpacked(lanes, numbers(data, "u1"), sizes)], before
 
 
-def read_files(spark: SparkSession, folder: str, files: list[tuple[int, int, int]]) -> DataFrame:
-    """doc_id, start, n_tokens, ids (32 bits each) of every document of the files."""
+def read_files(spark: SparkSession, folder: str, files: list[tuple[int, int, int]], digest: bool = False) -> DataFrame:
+    """doc_id, start, n_tokens and ids (32 bits each) of every document of the files; ``digest``: ids_crc32 in place of ids."""
     starts, before = [], 0
+    names = ["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"]
     for i, (part, _, ids) in enumerate(files):
         starts.append((i, part, before))
         before += ids
@@ -328,14 +285,20 @@ def read_files(spark: SparkSession, folder: str, files: list[tuple[int, int, int
             for part, first in zip(batch.column("part").to_pylist(), batch.column("first").to_pylist(), strict=True):
                 for doc, has, sizes, ids, ahead in segments_of(store, base, part):
                     ends = np.cumsum(sizes)
-                    offsets = np.concatenate([[0], ends * 4]).astype(np.int64)
-                    raw = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u4"))])
-                    columns = [pa.array(doc, mask=has == 0), pa.array(first + ahead + ends - sizes), pa.array(sizes), raw.cast(pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids"])
+                    columns = [pa.array(doc, mask=has == 0), pa.array(first + ahead + ends - sizes), pa.array(sizes)]
+                    if digest:
+                        raw = memoryview(ids.astype("<u4").tobytes())
+                        spans = zip((ends - sizes).tolist(), ends.tolist(), strict=True)
+                        columns.append(pa.array([zlib.crc32(raw[4 * lo : 4 * hi]) for lo, hi in spans], pa.int64()))
+                    else:
+                        offsets = np.concatenate([[0], ends * 4]).astype(np.int64)
+                        lists = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u4"))])
+                        columns.append(lists.cast(pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
     # One task per file.
     listed = spark.createDataFrame(starts, "place int, part int, first long").repartitionById(max(1, len(starts)), F.col("place"))
-    return listed.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    return listed.mapInArrow(read, f"doc_id long, start long, n_tokens long, {'ids_crc32 long' if digest else 'ids binary'}")
 
 
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,10 +307,4 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     folder = work_dir(spark, "token-files")
     files = write_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = pa.array([zlib.crc32(x.as_buffer()) for x in batch.column("ids")], pa.int64())
-            yield batch.drop_columns(["ids"]).append_column("ids_crc32", crc)
-
-    return read_files(spark, folder, files).mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_files(spark, folder, files, digest=True)

@@ -10,7 +10,6 @@ import pyarrow as pa
 import pytest
 
 from strata.llm import align_tokens as at
-from strata.llm import token_files
 
 SMALL = "/root/testdata/sf0.001"
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -98,10 +97,10 @@ def test_words_apart_are_the_whole_text(al, monkeypatch):
     bits = [*" \n\taBéΣß1２!가가ﬁ▁🙂", "́", "<|endoftext|>", "'s", " ", " ", "\x1c", "\x00", "　", "\u0085", "  ", "</s>", "the", "y" * 60, "².", "a.", "b,", "!?", "..."]
     texts = ["".join(rng.choices(bits, k=rng.randrange(1, 14))) for _ in range(4000)]
     want = [_brute(al, t) for t in texts]
-    for words, memory in ((True, token_files.MEMORY_WORDS), (True, 100), (False, 100)):
-        monkeypatch.setattr(token_files, "MEMORY_WORDS", memory)
+    for words, memory in ((True, at.MEMORY_WORDS), (True, 100), (False, 100)):
+        monkeypatch.setattr(at, "MEMORY_WORDS", memory)
         monkeypatch.setattr(al, "by_word", words)
-        monkeypatch.setattr(al, "seen", token_files.Memory())
+        monkeypatch.setattr(al, "seen", at.Memory())
         for text, v, got in zip(texts, want, al.texts(pa.array(texts)), strict=True):
             assert (v is None) == (got is None), repr(text)
             if got:

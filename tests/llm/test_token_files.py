@@ -98,18 +98,17 @@ def _encoded(e, texts):
     return [x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])]
 
 
-def test_words_apart_are_the_whole_text(monkeypatch):
+def test_ids_are_those_of_the_library(monkeypatch):
     rng, tokenizer, e = random.Random(1), Tokenizer.from_file(WORDS), tf.Encoder(WORDS, tf.END_ID)
-    assert e.by_word and not tf._drops_blanks(public_tokenizers.path("byte_bpe_50k.json"))
-    bits = [*" \n\taA1!２éÉΣßﬁ가가İ🙂", "́", "'s", "'LL", " ", "\x1c", "\x00", "\u0085", "  ", "</w>", "y" * 60, "².", "a.", "b,", "!?", "...", "́."]
-    for more in ([], ["<|endoftext|>", "<|ENDOFTEXT|>"]):
-        texts = ["".join(rng.choices(bits + more, k=rng.randrange(0, 14))) for _ in range(5000)] + [None, ""]
-        want = [_ids(tokenizer, t).tobytes() for t in texts]
-        assert _encoded(e, texts) == want
-    monkeypatch.setattr(tf, "MEMORY_WORDS", 500)
-    e = tf.Encoder(WORDS, tf.END_ID)
-    for lo in range(0, 2000, 50):
-        assert _encoded(e, texts[lo : lo + 50]) == want[lo : lo + 50]
-    assert len(e.seen.young) <= 500 and len(e.seen.old) < 1000
-    e.by_word = False
-    assert _encoded(e, texts[:500]) == want[:500]
+    assert e.words is not None and not tf._cuts_words(public_tokenizers.path("byte_bpe_50k.json"))
+    hostile = [*" \n\taA1!２éÉΣßﬁ가가İŉ🙂", "́", "'s", "'LL", " ", "\x1c", "\x00", "\u0085", "  ", "</w>", "y" * 60, "²."]
+    plain = [*"abBÉéßöøØŒœŁžĳŸſ÷×0 '.!?<|", "’", "…", "ll", "  ", "\n", "Word", "'re", "</w>"]
+    for bits in (hostile, [*hostile, "<|endoftext|>", "<|ENDOFTEXT|>"], plain):
+        texts = ["".join(rng.choices(bits, k=rng.randrange(0, 14))) for _ in range(5000)] + [None, "", "w" * 3000]
+        assert _encoded(e, texts) == [_ids(tokenizer, t).tobytes() for t in texts]
+    # every letter that counts as plain
+    letters = [chr(c) for c in range(32, 0x2030) if not tf._NOT_PLAIN.search(chr(c))]
+    texts = [f"{x}a b{x}c {x} {x}{x}. 1{x}" for x in letters]
+    assert len(letters) > 300 and _encoded(e, texts) == [_ids(tokenizer, t).tobytes() for t in texts]
+    e.words = None
+    assert _encoded(e, texts) == [_ids(tokenizer, t).tobytes() for t in texts]
