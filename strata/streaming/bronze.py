@@ -6,8 +6,10 @@ Both are stateless projections of the stream (T7): no shuffle, no state.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from strata.functions.parse import parse_checked
 from strata.plans import plain as plain_plan
 from strata.plans import purchase_order as po_plan
 from strata.sinks.audit import STREAMS
@@ -17,6 +19,7 @@ from strata.streaming.sinks import (
     batch_folder_writer,
     file_sink,
     foreach_batch_sink,
+    quarantine_writer,
 )
 
 
@@ -51,3 +54,18 @@ def po_bronze_stream(
     parsed = po_plan.bronze(stream)
     handler = batch_folder_writer(bronze_path, audit_path, STREAMS["purchase_order"][0])
     return foreach_batch_sink(parsed, handler, checkpoint, trigger)
+
+
+def checked_bronze_stream(
+    spark: SparkSession,
+    topic: Topic,
+    schema: T.StructType,
+    bronze_path: str,
+    checkpoint: str,
+    trigger: str | None = DEFAULT_INTERVAL,
+    required: list[str] | None = None,
+) -> StreamingQuery:
+    """Topic to bronze with a quarantine: faulty messages go to a folder of their own,
+    as text with the reason; each message is parsed once."""
+    parsed = parse_checked(read_topic_stream(spark, topic), schema, ["offset"], required)
+    return foreach_batch_sink(parsed, quarantine_writer(bronze_path), checkpoint, trigger)

@@ -16,11 +16,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.aggregates import finish_totals, line_total_parts, qualifying_lines
+from strata.schemas import ORDER_ITEM
 from strata.sinks.keyed import compact, write_changes
+from strata.sources.batches import read_batches_stream
 from strata.streaming.sinks import foreach_batch_sink, run_to_end
 
+# The columns of bronze that the totals need.
+TOTALS_INPUT = T.StructType(
+    [T.StructField("email", T.StringType()), T.StructField("total", T.DoubleType()), T.StructField("items", T.ArrayType(ORDER_ITEM))]
+)
+
 
 def stream_customer_totals(
     spark: SparkSession,
@@ -31,8 +39,7 @@ def stream_customer_totals(
     compact_every: int = 20,
 ) -> None:
     """Bronze folder -> silver lines -> per-email totals -> current table."""
-    schema = spark.read.parquet(bronze_path).schema
-    docs = spark.readStream.schema(schema).parquet(bronze_path)
+    docs = read_batches_stream(spark, bronze_path, TOTALS_INPUT)
     # line-level totals without generating the lines (see
     # customer_totals_from_documents): two sums and a count of state per email
     k = qualifying_lines()

@@ -2,9 +2,11 @@
 
 The original silver job re-reads all of bronze and appends on every run, so
 a second run duplicates every row (``mode="full"`` in the plans).  Here the
-bronze folder is read as a file stream with its own checkpoint and the
-``availableNow`` trigger: each run takes only files not seen before, then
-stops.
+bronze folder is read as a stream with its own checkpoint and the
+``availableNow`` trigger: each run takes only what was not seen before, then
+stops.  Bronze of the file sink is a file stream, bronze of the callback sink the
+stream of its commit list (``sources.batches``), so a replayed bronze batch
+adds nothing.
 
 The rows go through the parquet file sink straight into the table's
 location.  The sink commits each micro-batch to the ``_spark_metadata`` log
@@ -27,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.parse import narrowed
+from strata.sources.batches import read_batches_stream
 from strata.sinks.tables import table_location, written_by_stream
 from strata.streaming.sinks import file_sink, run_to_end
 
@@ -44,8 +48,11 @@ def incremental_append(
     table: str,
     checkpoint: str,
     using: str = "parquet",
+    overflow: str | None = None,
 ) -> None:
-    stream = transform(spark.readStream.schema(bronze_schema).parquet(bronze_path))
+    """New bronze rows into the table.  With ``overflow``, rows with a value that the table's
+    type cannot hold go to that folder instead, by a stream of its own over the same bronze."""
+    stream = transform(read_batches_stream(spark, bronze_path, bronze_schema))
     if using == "iceberg":
         # Iceberg commits each micro-batch atomically with the batch id.
         query = (
@@ -58,7 +65,11 @@ def incremental_append(
     target = spark.table(table)
     if not written_by_stream(spark, table) and not target.isEmpty():
         raise ValueError(f"table {table} holds rows of batch inserts; the stream's log would hide them from its readers")
-    out = cast_to_table(stream, target.schema)
+    if overflow is None:
+        out = cast_to_table(stream, target.schema)
+    else:
+        out, fits = narrowed(stream, target.schema)
+        run_to_end(file_sink(stream.where(~fits), overflow, f"{checkpoint}-overflow", trigger="availableNow"))
     run_to_end(file_sink(out, table_location(spark, table), checkpoint, trigger="availableNow"))
     # the session caches the table's file listing; new files need a refresh
     spark.catalog.refreshTable(table)

@@ -4,9 +4,11 @@
   through the sink's ``_spark_metadata`` log, so a batch read of the folder
   sees each micro-batch exactly once, also after a restart.
 * ``foreach_batch_sink`` with ``batch_folder_writer``: a micro-batch callback
-  (K1) that writes each batch to ``<base>/batch_id=N`` with overwrite (K3).
-  A batch replayed after a failure replaces its own folder instead of adding
-  a second copy.  The checkpoint and the base folder belong together.
+  (K1) that writes each batch to ``<base>/batch_id=N`` (K3) and then lists its
+  files in ``<base>/_commits/N.json``.  A batch that is committed is left alone
+  when it is replayed; one that failed before its commit is written again, and
+  readers, who go by the commit list (``sources.batches``), never see the first
+  attempt.  The checkpoint and the base folder belong together.
 """
 
 from __future__ import annotations
@@ -71,7 +73,8 @@ def batch_folder_writer(
     audit_base: str | None = None,
     audit_stream: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Handler writing each non-empty batch to ``<base>/batch_id=N``.
+    """Handler writing each non-empty batch to ``<base>/batch_id=N`` (K3, F3),
+    committed by the list of its files once all of it is written.
 
     With ``audit_base`` each written row also gets an audit record (K8),
     built from the folder just written (no second parse of the source) and
@@ -79,18 +82,24 @@ def batch_folder_writer(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():  # LIMIT 1 job, not a full count
-            return
         from strata.operators.aggregates import observed_count
+        from strata.sources.batches import COMMITS
+        from strata.storage import CommitLog, data_files
 
-        target = f"{base}/batch_id={batch_id}"
+        spark = batch.sparkSession
+        log = CommitLog(spark, f"{base}/{COMMITS}")
+        if log.exists(batch_id):  # a replay
+            return
+        if batch.isEmpty():  # LIMIT 1 job, not a full count
+            return
+        folder = f"batch_id={batch_id}"
+        target = f"{base}/{folder}"
         # the row count comes with the write (observe), not from a second job
         counted, obs = observed_count(batch, f"bronze_batch_{batch_id}")
         counted.write.mode("overwrite").parquet(target)
         if audit_base is not None:
             from strata.sinks.audit import audit_message, audit_records
 
-            spark = batch.sparkSession
             stream = audit_stream or "audit"
             written = spark.read.parquet(target)
             audit_records(written, stream).write.mode("overwrite").parquet(f"{audit_base}/batch_id={batch_id}")
@@ -99,6 +108,37 @@ def batch_folder_writer(
             audit_message(spark, stream, step).write.mode("overwrite").parquet(
                 f"{audit_base}/_steps/batch_id={batch_id}"
             )
+        log.write(batch_id, {"batch": batch_id, "rows": obs.get["rows"], "folder": folder, "files": data_files(spark, target)})
+
+    return handle
+
+
+def quarantine_writer(base: str) -> Callable[[DataFrame, int], None]:
+    """Handler writing a checked batch (``functions.parse.parse_checked``) in one job:
+    good rows and faulty ones to folders of their own, listed in one commit record.
+
+    Read the good rows with ``sources.batches.read_batches(spark, base)`` and the faulty
+    ones with ``read_quarantine``.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        from strata.sources.batches import COMMITS
+        from strata.storage import CommitLog, data_files, exists
+
+        spark = batch.sparkSession
+        log = CommitLog(spark, f"{base}/{COMMITS}")
+        if log.exists(batch_id) or batch.isEmpty():
+            return
+        folder = f"batch_id={batch_id}"
+        # One parse, one write: the rows part by the flag.
+        flagged = batch.withColumn("faulty", batch["fault"].isNotNull())
+        flagged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("faulty").parquet(f"{base}/{folder}")
+        record = {"batch": batch_id, "folder": folder, "files": [], "faulty": []}
+        for name, flag in (("files", "false"), ("faulty", "true")):
+            part = f"faulty={flag}"
+            if exists(spark, f"{base}/{folder}/{part}"):
+                record[name] = [{**f, "name": f"{part}/{f['name']}"} for f in data_files(spark, f"{base}/{folder}/{part}")]
+        log.write(batch_id, record)
 
     return handle
 
