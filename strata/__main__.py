@@ -2,11 +2,13 @@
 
     python -m strata plain_bronze --topic-path T --bronze B --checkpoint C [--trigger "500 milliseconds"]
     python -m strata plain_silver --bronze B --table db.plain_silver [--mode incremental --checkpoint C]
-    python -m strata plain_gold   --table db.plain_silver --gold G
+    python -m strata plain_gold   --table db.plain_silver --gold G [--store K] [--location L]
     python -m strata po_bronze    --topic-path T --bronze B --checkpoint C [--audit A]
     python -m strata po_silver    --bronze B --table db.po_silver [--money float]
-    python -m strata po_gold      --table db.po_silver --gold G [--level order]
+    python -m strata po_gold      --table db.po_silver --gold G [--level order] [--store K] [--location L]
 
+Sessions need not share a metastore: ``--location`` of a silver job is where its
+table lies, the same ``--location`` lets a gold job of another session find it.
 ``--bootstrap-servers`` makes the topic a Kafka topic.  The session comes
 from the launcher; locations are arguments, nothing is tied to one machine.
 """
@@ -35,6 +37,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--money", default="double", choices=["float", "double", "decimal"])
     p.add_argument("--using", default="parquet")
     p.add_argument("--gold")
+    p.add_argument("--store", help="folder of the key-value store that gold items are put into")
     p.add_argument("--level", default="line", choices=["line", "order"])
     a = p.parse_args(argv)
 
@@ -50,9 +53,9 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "po_silver":
         jobs.po_silver(spark, a.bronze, a.table, a.mode, a.checkpoint, a.money, a.using, a.location)
     elif a.job == "plain_gold":
-        print(jobs.plain_gold(spark, a.table, a.gold))
+        print(jobs.plain_gold(spark, a.table, a.gold, a.store, a.location))
     else:
-        print(jobs.po_gold(spark, a.table, a.gold, a.level))
+        print(jobs.po_gold(spark, a.table, a.gold, a.level, a.store, a.location))
 
 
 if __name__ == "__main__":

@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 from strata.plans import plain as plain_plan
 from strata.plans import purchase_order as po_plan
 from strata.schemas import po_silver_columns
-from strata.sinks.keyed import upsert_current
-from strata.sinks.tables import append, create_database, create_table
+from strata.operators.keyed import latest_per_key, split_null_keys
+from strata.sinks.buckets import read_buckets, table_version, upsert_buckets
+from strata.sinks.keyed import PLAIN_GOLD_KEY, PO_GOLD_KEY
+from strata.sinks.store import REJECTS, put
+from strata.sinks.tables import append, create_database, create_table, register_table
+from strata.sources.batches import read_batches
 from strata.sources.topic import Topic
 from strata.streaming.bronze import plain_bronze_stream, po_bronze_stream
 from strata.streaming.silver import incremental_append
@@ -85,38 +89,70 @@ def po_silver(
     money: str = "double",
     using: str = "parquet",
     location: str | None = None,
+    overflow: str | None = None,
 ) -> None:
     """Create database and table, append exploded lines with
     ``weight_quantity > 5000``.  ``money="float"`` stores money as FLOAT,
-    as the original table does."""
+    as the original table does; lines with a number that the type cannot hold go to the
+    folder ``overflow`` if one is given (incremental mode)."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     create_database(spark, _database_of(table))
     create_table(spark, table, po_silver_columns(money), using, location)
     transform = lambda df: po_plan.silver(df, prefilter=True)
     if mode == "full":
-        append(transform(spark.read.parquet(bronze_path)), table, using)
+        append(transform(read_batches(spark, bronze_path, po_plan.bronze_schema())), table, using)
     else:
-        schema = spark.read.parquet(bronze_path).schema
-        incremental_append(spark, bronze_path, schema, transform, table, checkpoint, using)
+        schema = po_plan.bronze_schema()
+        incremental_append(spark, bronze_path, schema, transform, table, checkpoint, using, overflow)
 
 
 # --- gold (batch) -----------------------------------------------------------
-def plain_gold(spark: SparkSession, silver_table: str, gold_path: str) -> str:
-    """Latest row per ``id`` merged into the current table; returns the
-    written version folder."""
-    silver = spark.table(silver_table)
-    # upsert keeps the latest row per id over current ∪ silver in one aggregate
-    return upsert_current(spark, gold_path, silver, "id", "seq")
+def plain_gold(
+    spark: SparkSession, silver_table: str, gold_path: str, store_path: str | None = None, location: str | None = None
+) -> int:
+    """Latest row per ``id`` merged into the bucketed current table, and put
+    as items into the key-value store at ``store_path``; returns the version of the table.
 
-
-def po_gold(spark: SparkSession, silver_table: str, gold_path: str, level: str = "line") -> str:
+    ``location`` finds a silver table that another session wrote.
+    """
+    if location:
+        register_table(spark, silver_table, location)
+    # the upsert keeps the latest row per id over current and silver in one aggregate
+    good, bad = split_null_keys(spark.table(silver_table), PLAIN_GOLD_KEY)
+    version = upsert_buckets(spark, gold_path, good, PLAIN_GOLD_KEY, "seq")
+    latest_per_key(bad, PLAIN_GOLD_KEY, "seq", keep_seq=True).write.mode("overwrite").parquet(f"{gold_path}/{REJECTS}/version={version}")
+    if store_path:
+        put(plain_plan.gold_items(read_buckets(spark, gold_path, version)), f"{PLAIN_GOLD_KEY}.N", store_path)
+    return version
+
+
+def po_gold(
+    spark: SparkSession,
+    silver_table: str,
+    gold_path: str,
+    level: str = "line",
+    store_path: str | None = None,
+    location: str | None = None,
+) -> int:
     """Per-email totals of the whole silver table replace the previous
-    values per email (run time is the sequence)."""
+    values per email, in the bucketed current table and in the store.  The
+    sequence is the version of the table that the run writes; returns it."""
+    if location:
+        register_table(spark, silver_table, location)
     totals = po_plan.gold(spark.table(silver_table), level, keep_parts=True)
-    return upsert_current(
-        spark, gold_path, totals.withColumn("seq", F.unix_millis(F.current_timestamp())), "email", "seq"
-    )
+    version = table_version(spark, gold_path) + 1
+    good, bad = split_null_keys(totals.withColumn("seq", F.lit(version).cast("long")), PO_GOLD_KEY)
+    upsert_buckets(spark, gold_path, good, PO_GOLD_KEY, "seq")
+    bad.write.mode("overwrite").parquet(f"{gold_path}/{REJECTS}/version={version}")
+    if store_path:
+        put(po_plan.gold_items(read_buckets(spark, gold_path, version)), f"{PO_GOLD_KEY}.S", store_path)
+    return version
+
+
+def read_rejected_rows(spark: SparkSession, gold_path: str, version: int) -> DataFrame:
+    """Rows that a gold run left out of the current table because they have no key (Q9)."""
+    return spark.read.parquet(f"{gold_path}/{REJECTS}/version={version}")
 
 
 def read_gold_items(current: DataFrame, kind: str) -> DataFrame:

@@ -54,6 +54,12 @@ def committed_versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The current table at ``path``, bucketed (``sinks.buckets``) or in whole versions."""
+    from strata.sinks.buckets import read_buckets
+
+    bucketed = read_buckets(spark, path)
+    if bucketed is not None:
+        return bucketed
     versions = committed_versions(spark, path)
     if not versions:
         return None

@@ -31,6 +31,16 @@ def create_table(
     )
 
 
+def register_table(spark: SparkSession, name: str, location: str, using: str = "parquet") -> None:
+    """Bind a name to a table that another session wrote at ``location``.
+
+    The catalog of a session may be empty (no metastore is shared); the folder
+    is the table.  Columns come from its files.
+    """
+    create_database(spark, name.rsplit(".", 1)[0])
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {using} LOCATION '{location}'")
+
+
 def show_tables(spark: SparkSession, database: str) -> DataFrame:
     """Tables of a database."""
     return spark.sql(f"SHOW TABLES IN {database}")
