@@ -19,9 +19,14 @@ from pyspark.sql import functions as F
 from strata.plans import jobs
 from strata.plans import plain
 from strata.plans import purchase_order as po
+from strata.schemas import PLAIN, PURCHASE_ORDER
 from strata.session import work_dir
-from strata.sources.documents import items_amount, items_weight, rolled_up
+from strata.sinks.buckets import read_buckets
+from strata.sources.batches import COMMITS, read_batches
+from strata.sources.documents import items_amount, items_weight, line_digest, rolled_up
 from strata.sources.feeds import plain_topic, po_topic
+from strata.sources import generate
+from strata.sources.tables import read_source_table
 from strata.sources.topic import read_topic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,8 +71,7 @@ def _bronze_folder(spark: SparkSession, data_dir: str, kind: str) -> DataFrame:
     optimizer push the filter below the parse and evaluate ``from_json``
     again inside the filter.)
     """
-    df = spark.read.parquet(f"{_memo_bronze(spark, data_dir, kind)}/data")
-    return df.drop("batch_id") if "batch_id" in df.columns else df
+    return read_batches(spark, f"{_memo_bronze(spark, data_dir, kind)}/data")
 
 
 # --- plain ------------------------------------------------------------------
@@ -128,8 +132,25 @@ def plain_gold_upsert(spark: SparkSession, data_dir: str) -> DataFrame:
     table, w = _fresh_table(spark, "plain_silver")
     jobs.plain_silver(spark, bronze, table, "incremental", f"{w}/_checkpoint", location=f"{w}/silver")
     for _ in range(2):
-        latest = jobs.plain_gold(spark, table, f"{w}/gold")
-    return spark.read.parquet(latest)
+        jobs.plain_gold(spark, table, f"{w}/gold")
+    return read_buckets(spark, f"{w}/gold")
+
+
+def plain_gold_put(spark: SparkSession, data_dir: str) -> DataFrame:
+    """K5: the gold job run twice; items that executors put into the store, read back."""
+    bronze = f"{_memo_bronze(spark, data_dir, 'plain')}/data"
+    table, w = _fresh_table(spark, "plain_silver")
+    jobs.plain_silver(spark, bronze, table, "incremental", f"{w}/_checkpoint", location=f"{w}/silver")
+    for _ in range(2):
+        jobs.plain_gold(spark, table, f"{w}/gold", f"{w}/store")
+    return _items_back(spark, f"{w}/store", plain.GOLD_ITEM)
+
+
+def _items_back(spark: SparkSession, store: str, spec: dict[str, str]) -> DataFrame:
+    from strata.functions.encode import flatten_item
+    from strata.sinks.store import item_schema, read_items
+
+    return flatten_item(read_items(spark, store, item_schema(spec)).select("item.*"), spec)
 
 
 # --- purchase orders --------------------------------------------------------
@@ -180,7 +201,7 @@ def _documents_summary(docs: DataFrame) -> DataFrame:
         "taxes",
         "total",
         "payment_due_date",
-        F.arrays_zip("positions", F.col("items.sku").alias("sku")).alias("skus"),
+        line_digest(F.col("positions"), F.col("items")).alias("item_digest"),
     )
     totals = rolled_up(
         counted,
@@ -188,8 +209,7 @@ def _documents_summary(docs: DataFrame) -> DataFrame:
         F.sum("n_items").cast("int").alias("n_items"),
         F.sum("items_weight").alias("items_weight"),
         F.sum("items_amount").cast("double").alias("items_amount"),
-        # The SQL result is the order's whole list in line order, one value.
-        F.sort_array(F.flatten(F.collect_list("skus"))).alias("skus"),
+        F.sum("item_digest").alias("item_digest"),
     )
     return totals.select(
         "po_number",
@@ -203,7 +223,7 @@ def _documents_summary(docs: DataFrame) -> DataFrame:
         "taxes",
         "total",
         "payment_due_date",
-        F.array_join(F.col("skus.sku"), " ").alias("item_skus"),
+        F.col("item_digest").cast("string").alias("item_digest"),
     )
 
 
@@ -231,7 +251,7 @@ def po_silver_prefilter(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def po_bronze_stream(spark: SparkSession, data_dir: str) -> DataFrame:
     """Micro-batch callback writing batch folders."""
-    return _bronze_summary(spark.read.parquet(f"{_memo_bronze(spark, data_dir, 'po')}/data"))
+    return _bronze_summary(_bronze_folder(spark, data_dir, "po"))
 
 
 def po_silver_table(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -278,8 +298,68 @@ def po_gold_upsert(spark: SparkSession, data_dir: str) -> DataFrame:
     table, w = _fresh_table(spark, "po_silver")
     jobs.po_silver(spark, bronze, table, "incremental", f"{w}/_checkpoint", location=f"{w}/silver")
     for _ in range(2):
-        latest = jobs.po_gold(spark, table, f"{w}/gold")
-    return spark.read.parquet(latest).select("email", "total_purchase_amount", "average_purchase_amount")
+        jobs.po_gold(spark, table, f"{w}/gold")
+    return read_buckets(spark, f"{w}/gold").select("email", "total_purchase_amount", "average_purchase_amount")
+
+
+def po_gold_put(spark: SparkSession, data_dir: str) -> DataFrame:
+    """K6: the gold job run twice; items that executors put into the store, read back."""
+    bronze = f"{_memo_bronze(spark, data_dir, 'po')}/data"
+    table, w = _fresh_table(spark, "po_silver")
+    jobs.po_silver(spark, bronze, table, "incremental", f"{w}/_checkpoint", location=f"{w}/silver")
+    for _ in range(2):
+        jobs.po_gold(spark, table, f"{w}/gold", store_path=f"{w}/store")
+    return _items_back(spark, f"{w}/store", po.GOLD_ITEM)
+
+
+def gold_rejects(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Q9: rows of the mixed feeds that the gold jobs keep out of their tables, as they have no key."""
+    out = []
+    for kind in ("plain", "po"):
+        bronze = f"{_memo_bronze(spark, data_dir, f'{kind}-mixed')}/data"
+        table, w = _fresh_table(spark, f"{kind}_silver")
+        silver, gold = (jobs.plain_silver, jobs.plain_gold) if kind == "plain" else (jobs.po_silver, jobs.po_gold)
+        silver(spark, bronze, table, "incremental", f"{w}/_checkpoint", location=f"{w}/silver")
+        out.append(jobs.read_rejected_rows(spark, f"{w}/gold", gold(spark, table, f"{w}/gold")))
+    plain_rows, po_rows = out
+    return plain_rows.select(F.lit("plain").alias("job"), "name", "amount", F.lit(None).cast("double").alias("total_purchase_amount")).unionByName(
+        po_rows.select(F.lit("po").alias("job"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("int").alias("amount"), "total_purchase_amount")
+    )
+
+
+# --- replays ----------------------------------------------------------------
+def _replayed(spark: SparkSession, data_dir: str, w: str) -> None:
+    """Run the purchase-order bronze job as after a crash between its last write and the
+    stream's own commit: the last micro-batch is processed again."""
+    from strata.storage import CommitLog, remove
+
+    topic = po_topic(spark, data_dir)
+    args = (spark, topic, f"{w}/data", f"{w}/_checkpoint", "availableNow")
+    done = f"{w}/_checkpoint/commits"
+    if CommitLog(spark, f"{w}/data/{COMMITS}").numbers():
+        remove(spark, f"{done}/{CommitLog(spark, f'{w}/data/{COMMITS}').latest()}")
+    jobs.po_bronze(*args)
+
+
+def po_silver_replayed(spark: SparkSession, data_dir: str) -> DataFrame:
+    """K3, Q7: a bronze batch replayed between two silver runs adds nothing to silver."""
+    table, w = _fresh_table(spark, "po_silver")
+    for _ in range(2):
+        _replayed(spark, data_dir, w)
+        jobs.po_silver(spark, f"{w}/data", table, "incremental", f"{w}/_silver_checkpoint", location=f"{w}/silver")
+    return spark.table(table)
+
+
+def po_totals_stream_replayed(spark: SparkSession, data_dir: str) -> DataFrame:
+    """K3, Q7: a bronze batch replayed between two runs of streaming gold changes no total."""
+    from strata.sinks.keyed import read_merged
+    from strata.streaming.gold import stream_customer_totals
+
+    w = work_dir(spark, "gold-replayed")
+    for _ in range(2):
+        _replayed(spark, data_dir, w)
+        stream_customer_totals(spark, f"{w}/data", f"{w}/gold", f"{w}/_gold_checkpoint")
+    return read_merged(spark, f"{w}/gold", "email", "seq").select("email", "total_purchase_amount", "average_purchase_amount")
 
 
 def po_customer_totals_stream(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -317,6 +397,54 @@ def po_customer_totals_mixed(spark: SparkSession, data_dir: str) -> DataFrame:
     return po.gold_from_bronze(_bronze_folder(spark, data_dir, "po-mixed"))
 
 
+# --- quarantine, narrowing, generated feeds -----------------------------------
+def _quarantined(spark: SparkSession, data_dir: str, kind: str, schema, required: list[str] | None = None) -> DataFrame:
+    from strata.sources.batches import read_quarantine
+    from strata.streaming.bronze import checked_bronze_stream
+    from strata.streaming.sinks import run_to_end
+
+    w = work_dir(spark, f"quarantine-{kind}")
+    topic = (plain_topic if kind == "plain" else po_topic)(spark, data_dir, mixed=True)
+    run_to_end(checked_bronze_stream(spark, topic, schema, f"{w}/data", f"{w}/_checkpoint", "availableNow", required))
+    return read_quarantine(spark, f"{w}/data", "value string, fault string, offset long")
+
+
+def plain_quarantine(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Messages of the mixed feed that are not JSON or have a field of another type, as they were sent."""
+    return _quarantined(spark, data_dir, "plain", PLAIN).select(F.col("offset").alias("seq"), "value", "fault")
+
+
+def po_quarantine(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Documents of the mixed feed without a contact block."""
+    rows = _quarantined(spark, data_dir, "po", PURCHASE_ORDER, ["contact_info"])
+    return rows.select(F.get_json_object("value", "$.po_number").alias("po_number"), "fault")
+
+
+def po_silver_overflow(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Lines of orders whose total no FLOAT holds, kept out of the FLOAT silver table."""
+    from strata.streaming.sinks import batch_folder_writer
+
+    table, w = _fresh_table(spark, "po_silver")
+    huge = F.when(F.pmod(F.col("po_number").cast("long"), F.lit(50)) == 1, F.lit(1e300)).otherwise(F.col("total"))
+    batch_folder_writer(f"{w}/data")(_bronze_folder(spark, data_dir, "po").withColumn("total", huge), 0)
+    jobs.po_silver(spark, f"{w}/data", table, "incremental", f"{w}/_checkpoint", "float", location=f"{w}/silver", overflow=f"{w}/overflow")
+    kept = spark.table(table).select("po_number", "sku", F.col("total").cast("double").alias("total"))
+    beyond = spark.read.parquet(f"{w}/overflow").select("po_number", "sku", "total")
+    # no value became infinite on its way into the table
+    lost = kept.where(F.abs("total") == F.lit(float("inf")))
+    return beyond.unionByName(lost)
+
+
+def plain_generated(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Drawn events, one for every row of the events table."""
+    return generate.plain_events(read_source_table(spark, data_dir, "events"), "event_id")
+
+
+def po_generated(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Drawn items for every order."""
+    return generate.order_items(read_source_table(spark, data_dir, "orders"), "o_orderkey")
+
+
 def catalog_tables(spark: SparkSession, data_dir: str) -> DataFrame:
     """Both silver tables created in one database, listed
     with ``SHOW TABLES`` and counted by a scan of each table."""
@@ -382,6 +510,16 @@ QUERIES: dict[str, Query] = {
     "po_gold_items": po_gold_items,
     "po_gold_upsert": po_gold_upsert,
     "po_customer_totals_stream": po_customer_totals_stream,
+    "plain_gold_put": plain_gold_put,
+    "po_gold_put": po_gold_put,
+    "gold_rejects": gold_rejects,
+    "po_silver_replayed": po_silver_replayed,
+    "po_totals_stream_replayed": po_totals_stream_replayed,
+    "plain_quarantine": plain_quarantine,
+    "po_quarantine": po_quarantine,
+    "po_silver_overflow": po_silver_overflow,
+    "plain_generated": plain_generated,
+    "po_generated": po_generated,
     "po_customer_totals_nonfinite": po_customer_totals_nonfinite,
     "catalog_tables": catalog_tables,
     "audit_counts": audit_counts,
@@ -411,13 +549,13 @@ po_stats AS (
          CAST(count(*) AS INTEGER) AS n_items,
          CAST(sum(weight_quantity) AS BIGINT) AS items_weight,
          sum(CAST(weight_quantity AS DECIMAL(12,0)) * CAST(price AS DECIMAL(12,2))) AS amount_d,
-         string_agg(sku, ' ' ORDER BY l_linenumber, l_partkey, l_suppkey, weight_quantity) AS item_skus
+         CAST(sum(CAST('0x' || substr(md5(l_linenumber || ':' || sku), 1, 13) AS BIGINT)) AS VARCHAR) AS item_digest
   FROM po_line_base GROUP BY order_key),
 po_docs AS (
   SELECT o.o_orderkey AS order_key, c.c_name AS name,
          lower(regexp_replace(c.c_name, '[ #]', '.', 'g')) || '@example.com' AS email,
          '123-456-7890' AS phone, CAST(o.o_orderkey AS VARCHAR) AS po_number,
-         s.n_items, s.items_weight, s.item_skus, s.amount_d,
+         s.n_items, s.items_weight, s.item_digest, s.amount_d,
          round(s.amount_d, 2) AS subtotal_d,
          round(round(s.amount_d, 2) * CAST(0.10 AS DECIMAL(3,2)), 2) AS taxes_d,
          CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 30 + 1 AS INTEGER) AS payment_due_date
@@ -425,7 +563,7 @@ po_docs AS (
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN po_stats s ON s.order_key = o.o_orderkey),
 po_bronze AS (
-  SELECT order_key, name, email, phone, po_number, n_items, items_weight, item_skus,
+  SELECT order_key, name, email, phone, po_number, n_items, items_weight, item_digest,
          CAST(amount_d AS DOUBLE) AS items_amount,
          CAST(subtotal_d AS DOUBLE) AS subtotal, CAST(taxes_d AS DOUBLE) AS taxes,
          CAST(round(subtotal_d + taxes_d, 2) AS DOUBLE) AS total, payment_due_date
@@ -483,6 +621,7 @@ _SILVER_COLS = (
     "name, email, phone, po_number, sku, description, weight_quantity, price, subtotal, taxes, total, "
     "payment_due_date"
 )
+_SILVER_COLS_STORED = _SILVER_COLS.replace("payment_due_date", "CAST(payment_due_date AS VARCHAR) AS payment_due_date")
 _SILVER_FLOAT = (
     "name, email, phone, po_number, sku, description, weight_quantity, CAST(price AS FLOAT) AS price, "
     "CAST(subtotal AS FLOAT) AS subtotal, CAST(taxes AS FLOAT) AS taxes, CAST(total AS FLOAT) AS total, "
@@ -527,7 +666,7 @@ ORACLE: dict[str, str] = {
     " FROM plain_clean GROUP BY id",
     "po_documents": _with(_PO)
     + " SELECT po_number, name, email, phone, n_items, items_weight, items_amount, subtotal, taxes, total,"
-    " payment_due_date, item_skus FROM po_bronze",
+    " payment_due_date, item_digest FROM po_bronze",
     "po_bronze": _with(_PO) + f" SELECT {_BRONZE_COLS} FROM po_bronze",
     "po_lines": _with(_PO) + f" SELECT {_SILVER_COLS} FROM po_lines",
     "po_silver": _with(_PO) + f" SELECT {_SILVER_COLS} FROM po_silver",
@@ -574,4 +713,53 @@ sums AS (
     " FROM plain_mixed WHERE amount < 100 GROUP BY id",
     "po_bronze_mixed": _with(_PO, _PO_MIXED) + f" SELECT {_BRONZE_COLS} FROM po_bronze_mixed",
     "po_customer_totals_mixed": _with(_PO, _PO_MIXED) + " " + _totals_sql("po_silver_mixed"),
+    "gold_rejects": _with(_PLAIN_MIXED, _PO, _PO_MIXED)
+    + " SELECT 'plain' AS job, arg_max_null(name, seq) AS name, arg_max_null(amount, seq) AS amount,"
+    " CAST(NULL AS DOUBLE) AS total_purchase_amount FROM plain_mixed WHERE amount < 100 AND id IS NULL HAVING count(*) > 0"
+    f" UNION ALL SELECT 'po', NULL, NULL, CAST(sum({_EXACT_TOTAL}) AS DOUBLE) FROM po_silver_mixed WHERE email IS NULL HAVING count(*) > 0",
+    "po_silver_replayed": _with(_PO) + f" SELECT {_SILVER_COLS_STORED} FROM po_silver",
+    "po_totals_stream_replayed": _with(_PO) + " " + _totals_sql("po_silver"),
 }
+
+
+def _drawn(field: str, *row: str) -> str:
+    return f"CAST('0x' || substr(md5('{generate.SEED}:' || {" || ':' || ".join(row)} || ':{field}'), 1, 8) AS BIGINT)"
+
+
+def _between(field: str, bounds: tuple[int, int], *row: str) -> str:
+    return f"CAST({bounds[0]} + {_drawn(field, *row)} % {bounds[1] - bounds[0] + 1} AS INTEGER)"
+
+
+def _word(field: str, words: tuple[str, ...], *row: str) -> str:
+    listed = ", ".join(f"'{w}'" for w in words)
+    return f"([{listed}])[{_between(field, (1, len(words)), *row)}]"
+
+
+_ITEM = ("order_key", "line")
+ORACLE["plain_quarantine"] = """
+SELECT event_id AS seq,
+       CASE WHEN event_type = 'error' THEN 'error ' || user_id
+            ELSE '{"id":"' || user_id || '","name":"signup","amount":' || CAST(trunc(value) AS INTEGER) || '}' END AS value,
+       CASE WHEN event_type = 'error' THEN 'not JSON' ELSE 'bad field' END AS fault
+FROM events WHERE event_type IN ('signup', 'error')"""
+ORACLE["po_quarantine"] = (
+    _with(_PO)
+    + " SELECT b.po_number, 'no contact_info' AS fault FROM po_bronze b JOIN orders o ON o.o_orderkey = b.order_key"
+    " WHERE o.o_orderstatus = 'P'"
+)
+ORACLE["po_silver_overflow"] = (
+    _with(_PO) + " SELECT po_number, sku, CAST(1e300 AS DOUBLE) AS total FROM po_silver WHERE CAST(po_number AS BIGINT) % 50 = 1"
+)
+ORACLE["plain_generated"] = (
+    f"SELECT {_between('id', generate.IDS, 'event_id')} AS id, {_word('name', generate.NAMES, 'event_id')} AS name,"
+    f" {_between('amount', generate.AMOUNTS, 'event_id')} AS amount, event_id AS seq FROM events"
+)
+ORACLE["po_generated"] = (
+    f"WITH lines AS (SELECT o_orderkey AS order_key, CAST(unnest(range(1, 1 + {_between('items', generate.ITEMS, 'o_orderkey')})) AS INTEGER) AS line"
+    f" FROM orders) SELECT order_key, line, 'SKU' || {_between('sku', generate.SKUS, *_ITEM)} AS sku,"
+    f" {_word('meat', generate.MEATS, *_ITEM)} || ' ' || {_word('grade', generate.GRADES, *_ITEM)} || ' ' || {_between('lot', generate.LOTS, *_ITEM)} AS description,"
+    f" {_between('weight', generate.WEIGHTS, *_ITEM)} AS weight_quantity,"
+    f" CAST({_between('price', generate.PRICE_CENTS, *_ITEM)} / CAST(100 AS DECIMAL(3,0)) AS DECIMAL(12,2)) AS price FROM lines"
+)
+ORACLE["plain_gold_put"] = ORACLE["plain_gold_items"]
+ORACLE["po_gold_put"] = ORACLE["po_gold_items"]

@@ -15,13 +15,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.encode import encode_item, flatten_item
 from strata.functions.money import mean_text, sum_text
 from strata.functions.parse import parse_json, value_as_string
 from strata.operators.aggregates import customer_totals, customer_totals_from_documents
 from strata.operators.transform import flatten_po, silver_lines, silver_lines_prefiltered
-from strata.schemas import PURCHASE_ORDER
+from strata.schemas import CONTACT_INFO, PO_BRONZE_COLUMNS, PURCHASE_ORDER
 from strata.sources.documents import purchase_order_documents
 from strata.sources.tables import read_source_table
 from strata.sources.topic import message_frame
@@ -66,6 +67,12 @@ def bronze(topic_frame: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return flatten_po(parsed, keep)
 
 
+def bronze_schema() -> T.StructType:
+    """The nine bronze columns with the types of the wire."""
+    wire = {f.name: f for f in [*CONTACT_INFO.fields, *PURCHASE_ORDER.fields]}
+    return T.StructType([wire[c] for c in PO_BRONZE_COLUMNS])
+
+
 def silver(bronze_df: DataFrame, prefilter: bool = False) -> DataFrame:
     """Order lines with ``weight_quantity > 5000``."""
     return silver_lines_prefiltered(bronze_df) if prefilter else silver_lines(bronze_df)
