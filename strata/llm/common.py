@@ -44,6 +44,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """Column names like ``names`` that are not among ``columns``."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def whole_row(columns: list[str]) -> Column:
+    """All columns as one struct, whatever characters their names hold."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in columns))
+
+
+def small(df: DataFrame, rows: int = 1 << 20) -> DataFrame:
+    """A written table with a broadcast hint if it has at most ``rows`` rows; beyond that the planner joins it by shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, all other characters as they are."""
     return F.translate(text, UPPER, LOWER)
