@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACES, shuffle_parts, table, written
+from strata.llm.common import SPACES, fresh, shuffle_parts, small, table, whole_row, written
 
 # Entries in one packed block of a run.
 BLOCK = 4096
@@ -229,26 +229,35 @@ def dedup_decisions(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were.
 
-    A row is named by (id, code points, digest).  Names without a kept row go;
-    rows that share a name are repeated rows, of which one stays.
+    A row is named by (id, code points, digest).  Rows of a name that is not kept
+    go; of several rows of a kept name the one whose columns have the smallest
+    hash stays.
     """
-    name = ("doc_id", "points", "text_sha256")
-    gone = (
+    n1, n2, stays = fresh(docs.columns, "__n1", "__n2", "__stays")
+    marked = written(
         dedup_decisions(docs)
         .where("group_size > 1")
-        .groupBy(_name(*name).alias("__name"))
-        .agg(F.max("kept").alias("__kept"))
-        .where("not __kept")
+        .groupBy(*_name(F.col("doc_id"), F.col("points"), F.col("text_sha256"), n1, n2))
+        .agg(F.max("kept").alias(stays), F.count(F.lit(1)).alias("n"))
+        .where(f"not `{stays}` or n > 1")
+        .drop("n"),
+        "dedup-marked",
     )
-    named = docs.withColumn(
-        "__name",
-        _name("doc_id", F.char_length(F.coalesce("text", F.lit(""))), F.sha2(normalised(F.col("text")), 256)),
+    text = F.coalesce(docs["text"], F.lit(""))
+    named = docs.select("*", *_name(docs["doc_id"].cast("long"), F.char_length(text).cast("long"), F.sha2(normalised(docs["text"]), 256), n1, n2))
+    row = whole_row(docs.columns)
+    picked = (
+        named.join(small(marked.where(stays)), [n1, n2])
+        .groupBy(n1, n2)
+        .agg(F.min_by(row, F.xxhash64(row)).alias("row"))
+        .select("row.*")
     )
-    return named.join(gone, "__name", "left_anti").dropDuplicates(["__name"]).select(*docs.columns)
+    return named.join(small(marked), [n1, n2], "left_anti").drop(n1, n2).unionByName(picked)
 
 
-def _name(doc_id, points, sha) -> Column:
-    return F.concat_ws(" ", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), points, sha)
+def _name(doc_id: Column, points: Column, sha: Column, *names: str) -> list[Column]:
+    """Two 64-bit hashes that name a row."""
+    return [F.xxhash64(F.lit(k), F.coalesce(doc_id.cast("string"), F.lit("null")), points, sha).alias(n) for k, n in enumerate(names)]
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
