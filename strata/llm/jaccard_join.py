@@ -38,17 +38,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import distinct_pairs, mix64, shingle_rows, shuffle_parts, steps, table, text_buffers, words_of, written
+from strata.llm.common import distinct_pairs, fresh, mix64, shingle_rows, shuffle_parts, small, steps, table, text_buffers, whole_row, words_of, written
 from strata.llm.components import components
 
 SHINGLE = 5
 # A link: 100 * intersection >= 80 * union, so difference <= (a + b) / 9, larger <= 1.25 * smaller.
 PER_CENT = 80
 BAND_RATIO = 1.4
-# Cells of the sketch in one block.
-CELLS = 4096
+# Cells of the sketch in one block; with few of them, blocks of one or two shingles agree by chance.
+CELLS = 1 << 30
 # Bytes of a shingle's hash that verification compares, and partners of a set in one part.
-BYTES = 5
+BYTES = 8
 PART = 256
 # Numbers (64 cells each) of the short sketch that rows of the second round carry.
 FOLD = 8
@@ -219,7 +219,7 @@ def near_enough(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def _packed(h: np.ndarray) -> bytes:
-    """The lowest five bytes of each hash."""
+    """The lowest ``BYTES`` bytes of each hash."""
     return h.view(np.uint8).reshape(-1, 8)[:, :BYTES].tobytes()
 
 
@@ -366,20 +366,21 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     )
     least = labelled.groupBy("component").agg(F.min("row").alias("first"), F.sum("copies").alias("n")).where("n > 1")
     # Rows to drop; of a row that stays and is there several times, one is picked.
+    of_id, of_text, stays = fresh(docs.columns, "__id", "__key", "__stays")
     marked = labelled.join(least, "component").where((F.col("row") != F.col("first")) | (F.col("copies") > 1)).select(
-        F.col("row.doc_id").alias("__id"), F.col("row.text_key").alias("__key"), (F.col("row") == F.col("first")).alias("__stays")
+        F.col("row.doc_id").alias(of_id), F.col("row.text_key").alias(of_text), (F.col("row") == F.col("first")).alias(stays)
     )
     marked = written(marked, "marked")
     text_key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (text_key == F.col("__key"))
-    columns = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(of_id)) & (text_key == F.col(of_text))
+    columns = whole_row(docs.columns)
     picked = (
-        docs.join(marked.where("__stays"), same)
-        .groupBy("__id", "__key")
-        .agg(F.min_by(columns, F.xxhash64(columns)).alias("__row"))
-        .select("__row.*")
+        docs.join(small(marked.where(stays)), same)
+        .groupBy(of_id, of_text)
+        .agg(F.min_by(columns, F.xxhash64(columns)).alias("row"))
+        .select("row.*")
     )
-    return docs.join(marked.drop("__stays"), same, "left_anti").unionByName(picked)
+    return docs.join(small(marked.drop(stays)), same, "left_anti").unionByName(picked)
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
