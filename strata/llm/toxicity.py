@@ -8,43 +8,52 @@ at no charge, and runs of single characters (``i d i o t``) are one word.  A
 word starts with a mark, so prefixes count.  Kernel values are divided
 by a length norm.
 
-The machine is trained on the words of labelled documents; no sentence is
-formed, and a document scores as its best word.  An insult split into pieces of
-several characters (``stu pid``) or made of words that clean documents use too
-is not found.  A clean document's words are all clean; of a toxic document only
-some are toxic, so training alternates (as in multiple-instance learning): the
-best words of toxic documents under the current machine are the positive
-examples, the highest-scoring words of clean documents the negative ones.  Positive
-examples are also shown with characters inserted.  Words are mapped to their
-kernel values with ``LANDMARKS`` landmark words and whitened by the landmarks'
+The machine is trained on labelled texts through their words, as in
+multiple-instance learning: a clean text's words are all clean, of a toxic text
+only some are toxic.  Words and stems (first four to nine letters) that lean to
+toxic texts by their odds give the first positive examples; a stem counts once
+for every different word of a text that has it, so an insult that is inflected or
+glued to other syllables shows in few texts already.  Training then alternates:
+the best words of toxic texts that score above what clean texts reach are added as
+positive examples, the highest-scoring words of clean texts as negative ones.
+Positive examples are also shown with characters inserted.  Words are mapped to
+their kernel values with ``LANDMARKS`` landmark words and whitened by the landmarks'
 own kernel matrix (Nyström); the machine is linear there, with squared hinge
-loss.  A logistic curve fitted to the documents' margins gives the score.
+loss.  A text is judged by its ``TOP`` best words together, since a clean text may
+hold one word that resembles an insult by chance: a logistic curve over their
+margins, fitted to the labelled texts, gives the score.  An insult split into
+pieces of several characters (``stu pid``) or made of words that clean texts use
+too is not found.
 
 As the machine is linear in the kernel values with the landmarks, and each of
 these is linear in a word's subsequences, the whole machine folds into one
 weight per subsequence.  Scoring is a map over the rows with table look-ups in
 numpy: no shuffle, and whole texts.
 
-Bounds of the fit (parameters): ``SAMPLE`` labelled documents by class,
-those of smallest hash, with at most ``SAMPLE_CHARS`` characters; their texts
-are the only rows that reach the driver.
+Bounds of the fit (parameters): ``SAMPLE`` labelled documents by class, those
+of smallest hash, with at most ``SAMPLE_CHARS`` characters each and ``SAMPLE_TOTAL`` by
+class together.  The fit is one task over this sample; the driver gets the
+folded weights alone.
 
-Edge cases: null and blank texts have no words and get the score of a word
+Edge cases: null and blank texts have no words and get the score of words
 without any known subsequence; without labels of both classes every score is
-0; contradictory labels of a document count as toxic, null labels are left out;
+exactly 0; contradictory labels of a document count as toxic, null labels are left out;
 a null ``doc_id`` counts as held out; repeated rows get equal scores.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import table
@@ -56,7 +65,13 @@ NORM_CHARS = 8  # the length norm stops growing here
 LANDMARKS = 256
 SAMPLE = {1: 2000, 0: 5000}
 SAMPLE_CHARS = 20_000
+SAMPLE_TOTAL = {1: 8_000_000, 0: 20_000_000}
 ROUNDS = 4
+# Best words of a text that its score weighs.
+TOP = 3
+# Letters of a stem, and the words of one text that a stem may count.
+STEM = range(4, 10)
+STEM_WORDS = 4
 # A word is a positive example from this odds ratio, and from this log odds times root of its count.
 CLEAR = 10.0
 COST = 8.0
@@ -187,8 +202,9 @@ class Model:
     codes: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.float32))
     bias: float = 0.0
-    slope: float = 0.0
-    shift: float = -1e9  # no labels: every score is 0
+    slope: float = 0.0  # 0: no labels of both classes, every score is 0
+    shift: float = 0.0
+    share: tuple[float, ...] = (1.0, 0.0, 0.0)  # weight of the best word, the second best, ..
     _dense: np.ndarray | None = None
 
     def __getstate__(self):
@@ -222,14 +238,31 @@ class Model:
                 out[lo + owners] = np.maximum.reduceat(self.word_margins(u), at)
         return out
 
+    def tops(self, texts: list[str]) -> np.ndarray:
+        """The margins of the ``TOP`` best words of each text; missing words have the bias alone."""
+        out = np.full((len(texts), TOP), self.bias)
+        for lo, hi in _runs(texts):
+            u = units_of(texts[lo:hi])
+            if len(u.first):
+                margins = self.word_margins(u)
+                order = np.lexsort((-margins, u.text))
+                owner = u.text[order]
+                first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+                place = np.arange(len(owner)) - np.repeat(first, np.diff([*first, len(owner)]))
+                best = place < TOP
+                out[lo + owner[best], place[best]] = margins[order][best]
+        return out
+
     def scores(self, texts: list[str]) -> np.ndarray:
-        margins = np.empty(len(texts))
+        if self.slope == 0:
+            return np.zeros(len(texts))
+        tops = np.empty((len(texts), TOP))
         short = [i for i, t in enumerate(texts) if len(t) <= CHUNK_CHARS]
-        margins[short] = self.margins([texts[i] for i in short])
+        tops[short] = self.tops([texts[i] for i in short])
         for i, t in enumerate(texts):
             if len(t) > CHUNK_CHARS:
-                margins[i] = self.margins(pieces_of(t)).max()
-        return 1.0 / (1.0 + np.exp(-np.clip(self.slope * margins + self.shift, -700, 700)))
+                tops[i] = -np.sort(-np.concatenate([self.tops([piece])[0] for piece in pieces_of(t)]))[:TOP]
+        return 1.0 / (1.0 + np.exp(-np.clip(self.slope * (tops @ np.array(self.share)) + self.shift, -700, 700)))
 
 
 _CUT = re.compile(r"\S\S\s")
@@ -264,7 +297,18 @@ def _runs(texts: list[str]) -> Iterator[tuple[int, int]]:
 
 def _unit_words(text: str) -> list[str]:
     """The words of one text as strings, split as ``units_of`` splits them."""
-    return re.sub(r"(?:(?<=\s)|^)(\S)\s(?=\S(?:\s|$))", "\\1\x1f", text).split()
+    joined = re.sub(r"(?:(?<=\s)|^)(\S)\s(?=\S(?:\s|$))", "\\1\x1f", text.replace("\x1f", " "))
+    return re.findall(r"[\S\x1f]+", joined)
+
+
+def _stems(words: list[str]) -> Counter:
+    """How many of the words have each stem; a word is its own stem."""
+    out = Counter()
+    for word in words:
+        plain = word.strip(".,;:!?|()[]\"'")
+        if len(plain) >= STEM[0]:
+            out.update({plain, *(plain[:k] for k in STEM if k < len(plain))})
+    return out
 
 
 def inserted(word: str) -> list[str]:
@@ -276,24 +320,34 @@ def inserted(word: str) -> list[str]:
 
 
 def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Squared hinge, primal Newton; the last column of ``z`` is the bias."""
+    """Squared hinge, primal Newton; the last column of ``z`` is the bias.
+
+    ``z`` is in single precision; sums over it are taken in double precision, a stretch of rows at a time.
+    """
     d = z.shape[1]
     w = np.zeros(d)
     ridge = np.ones(d)
     ridge[-1] = 1e-3
+    stretches = [slice(lo, lo + 2048) for lo in range(0, len(z), 2048)]
+
+    def slack_of(v: np.ndarray) -> np.ndarray:
+        return 1 - y * np.concatenate([z[at].astype(float) @ v for at in stretches])
 
-    def loss(v: np.ndarray) -> float:
-        return 0.5 * float(ridge @ (v * v)) + COST * float(weight @ np.maximum(0, 1 - y * (z @ v)) ** 2)
+    def loss(v: np.ndarray, slack: np.ndarray) -> float:
+        return 0.5 * float(ridge @ (v * v)) + COST * float(weight @ np.maximum(0, slack) ** 2)
 
-    now = loss(w)
+    slack = slack_of(w)
+    now = loss(w, slack)
     for _ in range(40):
-        slack = 1 - y * (z @ w)
-        on = slack > 0
-        za, ca = z[on], weight[on]
-        grad = ridge * w - 2 * COST * za.T @ (ca * y[on] * slack[on])
-        step = np.linalg.solve(np.diag(ridge) + 2 * COST * (za * ca[:, None]).T @ za, grad)
+        grad, hess = ridge * w, np.diag(ridge)
+        for at in stretches:
+            on = slack[at] > 0
+            za, ca = z[at][on].astype(float), weight[at][on]
+            grad -= 2 * COST * za.T @ (ca * y[at][on] * slack[at][on])
+            hess += 2 * COST * (za * ca[:, None]).T @ za
+        step = np.linalg.solve(hess, grad)
         size = 1.0
-        while (after := loss(w - size * step)) > now and size > 1e-4:
+        while (after := loss(w - size * step, slack := slack_of(w - size * step))) > now and size > 1e-4:
             size /= 2
         if now - after < 1e-7 * now:
             break
@@ -316,7 +370,7 @@ class Landmarks:
 
     def kernel(self, words: list[str]) -> np.ndarray:
         """Kernel values (words x landmarks)."""
-        out = np.zeros((len(words), self.matrix.shape[1]))
+        out = np.zeros((len(words), self.matrix.shape[1]), dtype=np.float32)
         for lo in range(0, len(words), 512):
             owner, codes, weights = occurrences(words[lo : lo + 512])
             at = np.searchsorted(self.codes, codes)
@@ -329,70 +383,100 @@ class Landmarks:
         return out
 
     def map(self, words: list[str]) -> np.ndarray:
-        z = self.kernel(words) @ self.whiten
-        return np.concatenate([z, np.ones((len(z), 1))], axis=1)
+        out = np.ones((len(words), self.whiten.shape[1] + 1), dtype=np.float32)
+        for lo in range(0, len(words), 2048):
+            out[lo : lo + 2048, :-1] = self.kernel(words[lo : lo + 2048]) @ self.whiten
+        return out
 
     def folded(self, w: np.ndarray) -> Model:
         return Model(self.codes.astype(np.int32), (self.matrix @ (self.whiten @ w[:-1])).astype(np.float32), float(w[-1]))
 
 
+def _words_of(texts: list[str]) -> list[list[str]]:
+    """The different words of each text; equal words are one object."""
+    return [[sys.intern(w) for w in sorted(set(_unit_words(t.lower())))] for t in texts]
+
+
+def _leaning(toxic_words: list[list[str]], clean_words: list[list[str]]) -> tuple[dict[str, float], set[str], list[str]]:
+    """(strength, clear ones, best ones) of words and stems by their odds between the classes."""
+    counts = []
+    for group in (toxic_words, clean_words):
+        total = Counter()
+        for words in group:
+            total.update({stem: min(n, STEM_WORDS) for stem, n in _stems(words).items()})
+        counts.append(total)
+        if len(counts) == 1:
+            wanted = {stem for stem, n in total.items() if n > 1}
+    toxic, clean = counts
+    lean = {
+        x: np.log((toxic[x] + 0.2) / (len(toxic_words) + 1)) - np.log((clean[x] + 0.2) / (len(clean_words) + 1)) for x in wanted
+    }
+    strength = {x: v * np.sqrt(toxic[x]) for x, v in lean.items()}
+    clear = {x for x, v in strength.items() if v > CLEAR and lean[x] > np.log(CLEAR)}
+    # Of a word and its stems that are equally strong, the longest.
+    best, covered = [], set()
+    for x in sorted(strength, key=lambda x: (-round(strength[x], 6), -len(x), x)):
+        if x not in covered:
+            best.append(x)
+            covered.update(x[:k] for k in STEM)
+        if len(best) >= LANDMARKS:
+            break
+    return strength, clear, best
+
+
 def train(toxic: list[str], clean: list[str], rounds: int = ROUNDS) -> Model:
     """Fit the machine to whole texts of toxic and of clean documents."""
     if not toxic or not clean:
         return Model()
-    toxic_words = [sorted(set(_unit_words(t.lower()))) for t in toxic]
-    clean_words = [sorted(set(_unit_words(t.lower()))) for t in clean]
-    in_toxic = Counter(w for ws in toxic_words for w in ws)
+    toxic_words, clean_words = _words_of(toxic), _words_of(clean)
+    strength, clear, best = _leaning(toxic_words, clean_words)
     in_clean = Counter(w for ws in clean_words for w in ws)
-
-    def lean(w: str) -> float:
-        return np.log((in_toxic[w] + 0.2) / (len(toxic) + 1)) - np.log((in_clean[w] + 0.2) / (len(clean) + 1))
-
-    strength = {w: lean(w) * np.sqrt(in_toxic[w]) for w in in_toxic}
-    usable = [w for w in in_toxic if len(w) + 1 >= P]
-    by_lean = sorted(usable, key=lambda w: (-strength[w], w))
+    del clean_words
+    has_clear = {w: any(x in clear for x in _stems([w])) for ws in toxic_words for w in ws}
     frequent = [w for w, _ in sorted(in_clean.items(), key=lambda x: (-x[1], x[0])) if len(w) + 1 >= P]
-    words = list(dict.fromkeys([*by_lean[: LANDMARKS * 3 // 4], *frequent[: LANDMARKS // 4]]))
+    words = list(dict.fromkeys([*best[: LANDMARKS * 3 // 4], *frequent[: LANDMARKS // 4]]))
     if not words:
         return Model()
     marks = Landmarks(words)
 
-    # First round: the words that clearly lean to toxic documents (the best one where
+    # First round: the words that clearly lean to toxic texts (the strongest one where
     # none does); frequent clean words against them.
-    clear = {w for w in usable if strength[w] > CLEAR and lean(w) > np.log(CLEAR)}
     positive = Counter()
     for ws in toxic_words:
-        positive.update([w for w in ws if w in clear] or ([max(ws, key=lambda w: (strength[w], w))] if ws else []))
-    negative = dict.fromkeys([*frequent[:4000], *sorted(in_clean)[:: max(1, len(in_clean) // 4000)]])
-    vocabulary = sorted(in_clean)
+        strongest = [max(ws, key=lambda w: (strength.get(w, 0.0), w))] if ws else []
+        positive.update([w for w in ws if has_clear[w]] or strongest)
+    # A clean text may hold a clear word by chance; how many it holds tells.
+    vocabulary = [w for w in sorted(in_clean) if not any(x in clear for x in _stems([w]))]
+    negative = dict.fromkeys([*(w for w in frequent[:4000] if not has_clear.get(w)), *vocabulary[:: max(1, len(vocabulary) // 4000)]])
     model = Model()
     for turn in range(rounds):
         pos = list(positive)
         shown = [v for w in pos for v in inserted(w)]
         neg = [w for w in negative if w not in positive]
-        z = marks.map([*pos, *shown, *neg])
         y = np.concatenate([np.ones(len(pos) + len(shown)), -np.ones(len(neg))])
         # An example weighs as many documents as it explains, its variants a share of that.
         count = np.array([positive[w] for w in pos], dtype=float) / 10
         weight = np.concatenate([count, np.repeat(count, len(shown) // max(1, len(pos))) * 0.2, np.full(len(neg), 1.0)])
-        model = marks.folded(_svm(z, y, weight))
+        model = marks.folded(_svm(marks.map([*pos, *shown, *neg]), y, weight))
         if turn == rounds - 1:
             break
-        # Highest-scoring words of the clean sentences become negative examples.
+        # Highest-scoring words of the clean texts become negative examples.
         margins = _word_margins(model, vocabulary)
         for i in np.argsort(-margins, kind="stable")[:2000]:
             negative[vocabulary[i]] = None
-        # The best words of each toxic document (of its best sentences) become positive ones.
-        bound = np.quantile(margins, 0.9999) if len(margins) else 0.0
+        # The best words of each toxic text become positive ones if no clean word reaches them.
+        bound = max(0.0, np.quantile(margins, 0.9999)) if len(margins) else 0.0
         positive = Counter()
         for ws in toxic_words:
-            positive.update(w for w in ws if w in clear)
+            positive.update(w for w in ws if has_clear[w])
             if ws:
                 m = _word_margins(model, ws)
-                for k, i in enumerate(np.argsort(-m, kind="stable")[:4]):
-                    if ws[i] not in clear and (m[i] > max(0.0, bound) or k == 0 and not clear.intersection(ws)):
+                for i in np.argsort(-m, kind="stable")[:4]:
+                    if not has_clear[ws[i]] and m[i] > bound:
                         positive[ws[i]] += 1
-    model.slope, model.shift = _logistic(model.margins(toxic), model.margins(clean))
+        if not positive:
+            break
+    model.slope, model.shift, model.share = _logistic(model.tops(toxic), model.tops(clean))
     return model
 
 
@@ -401,22 +485,33 @@ def _word_margins(model: Model, words: list[str]) -> np.ndarray:
     return model.margins([w.replace("\x1f", " ") for w in words])
 
 
-def _logistic(pos: np.ndarray, neg: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the score curve (Platt's smoothed targets, Newton steps)."""
-    x = np.concatenate([pos, neg])
+def _logistic(pos: np.ndarray, neg: np.ndarray) -> tuple[float, float, tuple[float, ...]]:
+    """Slope, shift and shares of the score curve (Platt's smoothed targets, Newton steps).
+
+    A better word never lowers a score: a share below 0 is left out and the rest fitted again.
+    """
     t = np.concatenate([np.full(len(pos), (len(pos) + 1) / (len(pos) + 2)), np.full(len(neg), 1 / (len(neg) + 2))])
-    weight = np.concatenate([np.full(len(pos), 0.5 / len(pos)), np.full(len(neg), 0.5 / len(neg))]) * len(x)
-    design = np.stack([x, np.ones(len(x))], axis=1)
-    w = np.array([1.0, 0.0])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        grad = design.T @ (weight * (p - t)) + np.array([1e-3 * w[0], 0.0])
-        hess = (design * (weight * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        w -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+    weight = np.concatenate([np.full(len(pos), 0.5 / len(pos)), np.full(len(neg), 0.5 / len(neg))]) * len(t)
+    used = list(range(pos.shape[1]))
+    while True:
+        design = np.concatenate([np.concatenate([pos, neg])[:, used], np.ones((len(t), 1))], axis=1)
+        ridge = np.array([*[0.1] * len(used), 1e-3])
+        w = np.array([*[1.0 / len(used)] * len(used), 0.0])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+            grad = design.T @ (weight * (p - t)) + ridge * w
+            hess = (design * (weight * p * (1 - p))[:, None]).T @ design + np.diag(ridge)
+            step = np.linalg.solve(hess, grad)
+            w -= np.clip(step, -5, 5)
+            if np.abs(step).max() < 1e-8:
+                break
+        if w[:-1].min() >= 0 or len(used) == 1:
             break
-    return float(max(w[0], 1e-6)), float(w[1])
+        used.pop(int(np.argmin(w[:-1])))
+    slope = float(max(w[:-1].sum(), 1e-6))
+    share = np.zeros(pos.shape[1])
+    share[used] = np.maximum(w[:-1], 0) / slope
+    return slope, float(w[-1]), tuple(share.tolist())
 
 
 # ---------------------------------------------------------------------------
@@ -427,8 +522,8 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -> tuple[list[str], list[str]]:
-    """Whole texts of at most ``sample`` training documents of each class.
+def sample_rows(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -> DataFrame:
+    """(doc_id, toxic, text): whole texts of at most ``sample`` training documents of each class.
 
     The ids are drawn from the labels alone, by hash; only their documents are
     fetched, by a broadcast of these bounded ids.
@@ -449,10 +544,31 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: dict[int, int] =
         .join(F.broadcast(ids), "doc_id")
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"), F.max("text").alias("text"))
-        .orderBy("doc_id")
-        .collect()
     )
-    return [r.text for r in texts if r.toxic == 1], [r.text for r in texts if r.toxic == 0]
+    so_far = Window.partitionBy("toxic").orderBy(draw, "doc_id")
+    total = F.when(F.col("toxic") == 1, SAMPLE_TOTAL[1]).otherwise(SAMPLE_TOTAL[0])
+    return texts.withColumn("chars", F.sum(F.length("text")).over(so_far)).where(F.col("chars") <= total).drop("chars")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -> tuple[list[str], list[str]]:
+    """The texts of ``sample_rows``: toxic ones, clean ones."""
+    rows = sample_rows(docs, labels, sample).orderBy("doc_id").collect()
+    return [r.text for r in rows if r.toxic == 1], [r.text for r in rows if r.toxic == 0]
+
+
+def fitted(docs: DataFrame, labels: DataFrame) -> Model:
+    """The machine trained by one task over the bounded sample."""
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: dict[int, list[str]] = {0: [], 1: []}
+        for batch in batches:
+            for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                texts[toxic].append(text)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(texts[1], texts[0]))], pa.binary())], names=["model"])
+
+    rows = sample_rows(docs, labels).repartition(1).sortWithinPartitions("doc_id")
+    got = rows.mapInArrow(fit, "model binary").collect()
+    return pickle.loads(got[0].model) if got else Model()
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> Column:
@@ -468,7 +584,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> Column:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    model = train(*labelled_sample(docs, table(spark, sf_dir, "labels")))
+    model = fitted(docs, table(spark, sf_dir, "labels"))
     return (
         docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), scored(docs, model).alias("score"))
         .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
@@ -477,5 +593,5 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def not_toxic(docs: DataFrame, labels: DataFrame, documents: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` scored below one half, all columns as they were."""
-    model = train(*labelled_sample(docs if documents is None else documents, labels))
-    return docs.withColumn("__score", scored(docs, model)).where("__score < 0.5").select(*docs.columns)
+    model = fitted(docs if documents is None else documents, labels)
+    return docs.where(scored(docs, model) < 0.5)
