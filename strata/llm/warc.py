@@ -10,7 +10,8 @@ back, rewrites every record as a gzip member of its own into
 ``offset length type id`` per record.  ``read_records`` reads the normalised
 archives by their sidecars: each member is fetched and inflated on its own.
 
-A file has at most ``FILE_RECORDS`` records.  The monolithic archives are
+A file has at most ``FILE_RECORDS`` records; of any number of bytes, as it is read as a
+stream and its records one by one.  The monolithic archives are
 written and read by Spark.  The normalised ones go through ``pyarrow.fs`` to
 the same shared folder, under a name of the task attempt first and then moved,
 so a repeated task replaces its own file.
@@ -141,19 +142,22 @@ def _headers(block: bytes) -> dict[str, str]:
     return {k.lower(): v for k, _, v in (line.partition(": ") for line in lines[1:])}
 
 
-def inflated(raw: memoryview) -> Iterator[bytes]:
-    """The bytes of a gzip file, in pieces; further members are read on."""
-    at, n = 0, len(raw)
-    while at < n:
+def inflated(source) -> Iterator[bytes]:
+    """The bytes of an open gzip file, in pieces, read front to back; further members are read on."""
+    raw = source.read(PIECE)
+    while raw:
         stream = zlib.decompressobj(wbits=31)
-        while not stream.eof and at < n:
-            piece = stream.decompress(raw[at : at + PIECE])
-            at += min(PIECE, n - at)
+        while not stream.eof:
+            # At most a piece at a time comes out; what is left of the input waits.
+            piece = stream.decompress(raw, PIECE)
+            raw = stream.unconsumed_tail
             if piece:
                 yield piece
-        if not stream.eof:
-            raise EOFError("gzip stream ends early")
-        at -= len(stream.unused_data)
+            elif not raw and not stream.eof:
+                raw = source.read(PIECE)
+                if not raw:
+                    raise EOFError("gzip stream ends early")
+        raw = stream.unused_data or source.read(PIECE)
 
 
 def records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -212,12 +216,13 @@ def normalise(spark: SparkSession, folder: str, target: str) -> DataFrame:
         store.create_dir(base, recursive=True)
         for batch in batches:
             done = []
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            for path in batch.column("path").to_pylist():
                 stem = path.rsplit("/", 1)[-1].removesuffix(".gz").removesuffix(".txt")
                 draft = f"{base}/.{stem}.{attempt}"
                 offset, index = 0, []
-                with store.open_output_stream(draft) as out:
-                    for headers, record in records(inflated(memoryview(content.as_buffer()))):
+                archives, place = _opened(path)
+                with archives.open_input_stream(place, compression=None) as source, store.open_output_stream(draft) as out:
+                    for headers, record in records(inflated(source)):
                         packed = member(record)
                         out.write(packed)
                         index.append(f"{offset} {len(packed)} {headers['warc-type']} {headers['warc-record-id']}\n")
@@ -233,7 +238,8 @@ def normalise(spark: SparkSession, folder: str, target: str) -> DataFrame:
                 names=["file", "records", "bytes"],
             )
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("path", "content")
+    # Only the names: the archives are streamed from the store, so a task holds a piece and a record of one at a time.
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("path")
     files.mapInArrow(rewrite, "file string, records long, bytes long").write.parquet(f"{target}/_files")
     return spark.read.schema("file string, records long, bytes long").parquet(f"{target}/_files")
 
