@@ -12,8 +12,10 @@ many tasks.
 Edge cases: a null URL or one without ``://`` has an empty host and path and
 fits no rule; of rules of equal length the one with the longer host wins,
 of rules with the same host and path ``block``; repeated URLs are judged one by one; an empty
-table gives an empty result.  The rule list is a parameter, not data: it may
-have at most ``MAX_RULES`` entries and is shipped with the task.
+table gives an empty result.  The sweep ships its rules with the task, so they
+may have at most ``MAX_RULES`` entries; a longer list is a table, for which
+``judge_urls_by_table`` joins the same intervals as keys: a host lies in the interval of
+each of its own suffixes.
 """
 
 from __future__ import annotations
@@ -133,6 +135,27 @@ def judge_urls(
     )
 
 
+def judge_urls_by_table(urls: DataFrame, id_col: str, url_col: str, rules: DataFrame, default: str = "allow") -> DataFrame:
+    """The same rows as ``judge_urls``, for any number of rules: a table (action, host, path).
+
+    Every host meets the rules of its suffixes (as many as it has labels), and the best rule is
+    kept by a partial aggregate, so a hot host is combined before it is shuffled again.
+    """
+    host = host_of(F.col(url_col))
+    row = urls.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("row_id"), host.alias("host"), path_of(F.col(url_col)).alias("path"))
+    labels = F.split("host", r"\.", -1)
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    of_host = rules.select(F.col("host").alias("suffix"), F.col("path").alias("rule_path"), "action")
+    size = F.length("suffix") + F.length("rule_path")
+    rule = F.struct(size.alias("size"), F.length("suffix").alias("host_size"), F.col("action"), F.concat("suffix", "rule_path").alias("rule"))
+    fits = F.col("suffix").isNotNull() & F.startswith(F.col("path"), F.col("rule_path"))
+    met = row.select("*", F.explode(suffixes).alias("suffix")).join(of_host, "suffix", "left")
+    best = met.groupBy("row", "row_id", "host", "path").agg(F.max(F.when(fits & F.col("action").isNotNull(), rule)).alias("best"))
+    return best.select(
+        F.col("row_id").alias(id_col), "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict")
+    )
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every URL of ``pages`` against the four rules, default allow."""
     return judge_urls(table(spark, sf_dir, "pages"), "page_id", "url", RULES)

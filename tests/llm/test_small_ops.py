@@ -135,3 +135,15 @@ def test_token_memory_is_bounded(spark, monkeypatch):
     words = [f" w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
     n = [c.tokens_of_text(w) for w in words + words]
     assert n[:200] == n[200:] and len(c.seen) <= 4
+
+
+def test_rules_as_a_table_judge_alike(spark):
+    rng = random.Random(4)
+    labels = ["net", "com", "org", "example", "a", "b", ""]
+    rules = [(rng.choice(["allow", "block"]), ".".join(rng.choices(labels[:-1], k=rng.randrange(1, 4))), "/" + "x/" * rng.randrange(3)) for _ in range(40)]
+    urls = [(i, "http://" + ".".join(rng.choices(labels, k=rng.randrange(1, 5))) + "/" + "x/" * rng.randrange(4) + rng.choice(["", "?q", "#f"])) for i in range(400)]
+    urls += [(None, None), (1, "no scheme"), (1, "no scheme"), (2, "http://" + "a." * 500 + "net/" + "x/" * 500)]
+    df = spark.createDataFrame(urls, "page_id long, url string")
+    swept = url_rules.judge_urls(df, "page_id", "url", rules)
+    joined = url_rules.judge_urls_by_table(df, "page_id", "url", spark.createDataFrame(rules, "action string, host string, path string"))
+    assert sorted(map(repr, swept.collect())) == sorted(map(repr, joined.collect()))
