@@ -18,6 +18,8 @@ TAX_RATE = "0.10"
 EXACT = "decimal(24,9)"
 SUM = "decimal(38,9)"
 PLACES = 9
+# Prices at their full scale: only a line's sum is rounded to cents.
+PRICE = "decimal(18,6)"
 
 
 def sum_parts(amount: Column, times: Column | None = None) -> list[Column]:
@@ -45,8 +47,8 @@ def round2(x: Column) -> Column:
 
 
 def line_amount(weight_quantity: Column, price: Column) -> Column:
-    """Exact ``weight * price`` as DECIMAL (X6); price has two decimals."""
-    return weight_quantity.cast("decimal(12,0)") * price.cast("decimal(12,2)")
+    """Exact ``weight * price`` as DECIMAL (X6), the price at ``PRICE``'s six decimals."""
+    return weight_quantity.cast("decimal(12,0)") * price.cast(PRICE)
 
 
 def taxes_of(subtotal: Column) -> Column:

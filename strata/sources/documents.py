@@ -197,11 +197,11 @@ def rolled_up(parts: DataFrame, header: list[str], *sums: Column) -> DataFrame:
 
 def items_amount(items: Column) -> Column:
     """Σ weight × price over a document's items, exact (A6 array fold)."""
-    zero = F.lit(0).cast("decimal(38,2)")
+    zero = F.lit(0).cast("decimal(38,6)")
     return F.aggregate(
         items,
         zero,
-        lambda acc, x: (acc + line_amount(x["weight_quantity"], x["price"])).cast("decimal(38,2)"),
+        lambda acc, x: (acc + line_amount(x["weight_quantity"], x["price"])).cast("decimal(38,6)"),
     )
 
 
