@@ -476,6 +476,23 @@ def audit_counts(spark: SparkSession, data_dir: str) -> DataFrame:
     return _audit_summary(spark.read.parquet(f"{_memo_bronze(spark, data_dir, 'po')}/audit"))
 
 
+def audit_steps(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Step records of all six jobs, one per job and batch, with the rows it wrote."""
+    from strata.sinks.audit import STEP_SCHEMA
+
+    w = work_dir(spark, "steps")
+    steps = f"{w}/steps"
+    for kind in ("plain", "po"):
+        table, t = _fresh_table(spark, f"{kind}_silver")
+        bronze, silver, gold = (getattr(jobs, f"{kind}_{layer}") for layer in ("bronze", "silver", "gold"))
+        topic = (plain_topic if kind == "plain" else po_topic)(spark, data_dir)
+        bronze(spark, topic, f"{t}/bronze", f"{t}/_bronze", "availableNow", steps=steps)
+        silver(spark, f"{t}/bronze", table, "incremental", f"{t}/_silver", location=f"{t}/silver", steps=steps)
+        gold(spark, table, f"{t}/gold", steps=steps)
+    records = spark.read.schema(STEP_SCHEMA).json(steps)
+    return records.groupBy("stream").agg(F.count(F.lit(1)).alias("records"), F.sum("rows").alias("rows"))
+
+
 def _audit_summary(audit: DataFrame) -> DataFrame:
     # Copies of a message (a batch audited twice) are records of their own.
     copies = (
@@ -515,6 +532,7 @@ QUERIES: dict[str, Query] = {
     "gold_rejects": gold_rejects,
     "po_silver_replayed": po_silver_replayed,
     "po_totals_stream_replayed": po_totals_stream_replayed,
+    "audit_steps": audit_steps,
     "plain_quarantine": plain_quarantine,
     "po_quarantine": po_quarantine,
     "po_silver_overflow": po_silver_overflow,
@@ -742,6 +760,19 @@ SELECT event_id AS seq,
             ELSE '{"id":"' || user_id || '","name":"signup","amount":' || CAST(trunc(value) AS INTEGER) || '}' END AS value,
        CASE WHEN event_type = 'error' THEN 'not JSON' ELSE 'bad field' END AS fault
 FROM events WHERE event_type IN ('signup', 'error')"""
+ORACLE["audit_steps"] = _with(_PLAIN, _PO) + "".join(
+    f"{' UNION ALL' if i else ''} SELECT '{stream}' AS stream, 1 AS records, {count} AS rows"
+    for i, (stream, count) in enumerate(
+        [
+            ("bronze-job-stream", "(SELECT count(*) FROM plain_events)"),
+            ("silver-job-stream", "(SELECT count(*) FROM plain_clean)"),
+            ("gold-job-stream", "(SELECT count(DISTINCT id) FROM plain_clean)"),
+            ("bronze-job-po-stream", "(SELECT count(*) FROM po_bronze)"),
+            ("silver-job-po-stream", "(SELECT count(*) FROM po_silver)"),
+            ("gold-job-po-stream", "(SELECT count(DISTINCT email) FROM po_silver)"),
+        ]
+    )
+)
 ORACLE["po_quarantine"] = (
     _with(_PO)
     + " SELECT b.po_number, 'no contact_info' AS fault FROM po_bronze b JOIN orders o ON o.o_orderkey = b.order_key"

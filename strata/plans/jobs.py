@@ -14,15 +14,16 @@ from strata.plans import plain as plain_plan
 from strata.plans import purchase_order as po_plan
 from strata.schemas import po_silver_columns
 from strata.operators.keyed import latest_per_key, split_null_keys
-from strata.sinks.buckets import read_buckets, table_version, upsert_buckets
+from strata.sinks.audit import STREAMS, record_step, run_audited
+from strata.sinks.buckets import read_buckets, rows_written, table_version, upsert_buckets
 from strata.sinks.keyed import PLAIN_GOLD_KEY, PO_GOLD_KEY
 from strata.sinks.store import REJECTS, put
 from strata.sinks.tables import append, create_database, create_table, register_table
 from strata.sources.batches import read_batches
 from strata.sources.topic import Topic
-from strata.streaming.bronze import plain_bronze_stream, po_bronze_stream
+from strata.streaming.bronze import plain_rows, po_bronze_stream
 from strata.streaming.silver import incremental_append
-from strata.streaming.sinks import run_to_end
+from strata.streaming.sinks import file_sink, run_to_end
 
 MODES = ("full", "incremental")
 
@@ -33,11 +34,13 @@ def _database_of(table: str) -> str:
 
 # --- bronze (streams) -------------------------------------------------------
 def plain_bronze(
-    spark: SparkSession, topic: Topic, bronze_path: str, checkpoint: str, trigger: str | None = None
+    spark: SparkSession, topic: Topic, bronze_path: str, checkpoint: str, trigger: str | None = None, steps: str | None = None
 ) -> None:
     """Topic -> parse -> parquet file sink.  Blocks until the stream ends
-    (``availableNow``) or fails."""
-    run_to_end(plain_bronze_stream(spark, topic, bronze_path, checkpoint, trigger))
+    (``availableNow``) or fails.  ``steps``, here and in all jobs: a folder to which one
+    record per batch is appended (K8)."""
+    start = lambda df: file_sink(df, bronze_path, checkpoint, trigger)
+    run_audited(spark, plain_rows(spark, topic), start, steps, STREAMS["plain"][0])
 
 
 def po_bronze(
@@ -47,9 +50,10 @@ def po_bronze(
     checkpoint: str,
     trigger: str | None = None,
     audit_path: str | None = None,
+    steps: str | None = None,
 ) -> None:
     """C4: topic -> parse -> flatten -> batch folders (+ audit records)."""
-    run_to_end(po_bronze_stream(spark, topic, bronze_path, checkpoint, trigger, audit_path))
+    run_to_end(po_bronze_stream(spark, topic, bronze_path, checkpoint, trigger, audit_path, steps))
 
 
 # --- silver (batch, full or incremental) ------------------------------------
@@ -61,6 +65,7 @@ def plain_silver(
     checkpoint: str | None = None,
     using: str = "parquet",
     location: str | None = None,
+    steps: str | None = None,
 ) -> None:
     """Create database and table, append ``amount < 100`` rows.
 
@@ -76,7 +81,8 @@ def plain_silver(
         append(plain_plan.silver(bronze), table, using)
     else:
         incremental_append(
-            spark, bronze_path, plain_plan.bronze_schema(), plain_plan.silver, table, checkpoint, using
+            spark, bronze_path, plain_plan.bronze_schema(), plain_plan.silver, table, checkpoint, using,
+            steps=steps and (steps, STREAMS["plain"][1]),
         )
 
 
@@ -90,6 +96,7 @@ def po_silver(
     using: str = "parquet",
     location: str | None = None,
     overflow: str | None = None,
+    steps: str | None = None,
 ) -> None:
     """Create database and table, append exploded lines with
     ``weight_quantity > 5000``.  ``money="float"`` stores money as FLOAT,
@@ -104,12 +111,17 @@ def po_silver(
         append(transform(read_batches(spark, bronze_path, po_plan.bronze_schema())), table, using)
     else:
         schema = po_plan.bronze_schema()
-        incremental_append(spark, bronze_path, schema, transform, table, checkpoint, using, overflow)
+        incremental_append(spark, bronze_path, schema, transform, table, checkpoint, using, overflow, steps and (steps, STREAMS["purchase_order"][1]))
 
 
 # --- gold (batch) -----------------------------------------------------------
 def plain_gold(
-    spark: SparkSession, silver_table: str, gold_path: str, store_path: str | None = None, location: str | None = None
+    spark: SparkSession,
+    silver_table: str,
+    gold_path: str,
+    store_path: str | None = None,
+    location: str | None = None,
+    steps: str | None = None,
 ) -> int:
     """Latest row per ``id`` merged into the bucketed current table, and put
     as items into the key-value store at ``store_path``; returns the version of the table.
@@ -124,6 +136,8 @@ def plain_gold(
     latest_per_key(bad, PLAIN_GOLD_KEY, "seq", keep_seq=True).write.mode("overwrite").parquet(f"{gold_path}/{REJECTS}/version={version}")
     if store_path:
         put(plain_plan.gold_items(read_buckets(spark, gold_path, version)), f"{PLAIN_GOLD_KEY}.N", store_path)
+    if steps:
+        record_step(spark, steps, STREAMS["plain"][2], "upsert", version, rows_written(spark, gold_path, version))
     return version
 
 
@@ -134,6 +148,7 @@ def po_gold(
     level: str = "line",
     store_path: str | None = None,
     location: str | None = None,
+    steps: str | None = None,
 ) -> int:
     """Per-email totals of the whole silver table replace the previous
     values per email, in the bucketed current table and in the store.  The
@@ -147,6 +162,8 @@ def po_gold(
     bad.write.mode("overwrite").parquet(f"{gold_path}/{REJECTS}/version={version}")
     if store_path:
         put(po_plan.gold_items(read_buckets(spark, gold_path, version)), f"{PO_GOLD_KEY}.S", store_path)
+    if steps:
+        record_step(spark, steps, STREAMS["purchase_order"][2], "upsert", version, rows_written(spark, gold_path, version))
     return version
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.keyed import latest_per_key
@@ -35,6 +35,11 @@ def table_version(spark: SparkSession, path: str) -> int:
     return CommitLog(spark, f"{path}/{COMMITS}").latest()
 
 
+def rows_written(spark: SparkSession, path: str, version: int) -> int:
+    """Rows that the upsert of this version wrote (all rows of the buckets it touched)."""
+    return CommitLog(spark, f"{path}/{COMMITS}").read(version)["rows"]
+
+
 def upsert_buckets(
     spark: SparkSession,
     path: str,
@@ -64,12 +69,13 @@ def upsert_buckets(
     result = latest_per_key(merged, [*keys, "_bucket"], seq, keep_seq=True).select(*updates.columns, "_bucket")
     folder = f"data/{uuid.uuid4().hex}"
     # Rebalanced by bucket: few files for a small bucket, several tasks for a large one.
-    result.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(f"{path}/{folder}")
+    written = Observation(f"upsert_{uuid.uuid4().hex[:8]}")
+    result.observe(written, F.count(F.lit(1)).alias("rows")).hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(f"{path}/{folder}")
     files = dict(current["files"])
     for b in touched:
         part = f"{folder}/_bucket={b}"
         files[str(b)] = [f"{part}/{f['name']}" for f in data_files(spark, f"{path}/{part}")]
-    log.write(version + 1, {"buckets": buckets, "schema": updates.schema.json(), "files": files, "written": [folder]})
+    log.write(version + 1, {"buckets": buckets, "schema": updates.schema.json(), "files": files, "rows": written.get["rows"]})
     _expire(spark, path, log, version + 1, retained)
     return version + 1
 

@@ -5,7 +5,7 @@ Both are stateless projections of the stream (T7): no shuffle, no state.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,9 +36,12 @@ def plain_bronze_stream(
     The original job declares both a batch callback and the file sink; the
     file sink is the one that takes effect, so this is the file sink.
     """
-    stream = read_topic_stream(spark, topic)
-    parsed = plain_plan.bronze(stream, keep_offset=keep_offset)
-    return file_sink(parsed, bronze_path, checkpoint, trigger, query_name=None)
+    return file_sink(plain_rows(spark, topic, keep_offset), bronze_path, checkpoint, trigger, query_name=None)
+
+
+def plain_rows(spark: SparkSession, topic: Topic, keep_offset: bool = True) -> DataFrame:
+    """The parsed stream of plain events."""
+    return plain_plan.bronze(read_topic_stream(spark, topic), keep_offset=keep_offset)
 
 
 def po_bronze_stream(
@@ -48,11 +51,11 @@ def po_bronze_stream(
     checkpoint: str,
     trigger: str | None = DEFAULT_INTERVAL,
     audit_path: str | None = None,
+    steps: str | None = None,
 ) -> StreamingQuery:
     """Purchase orders through the micro-batch callback (C4, K1, K3, K8)."""
-    stream = read_topic_stream(spark, topic)
-    parsed = po_plan.bronze(stream)
-    handler = batch_folder_writer(bronze_path, audit_path, STREAMS["purchase_order"][0])
+    parsed = po_plan.bronze(read_topic_stream(spark, topic))
+    handler = batch_folder_writer(bronze_path, audit_path, STREAMS["purchase_order"][0], steps)
     return foreach_batch_sink(parsed, handler, checkpoint, trigger)
 
 

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from strata.functions.parse import narrowed
 from strata.sources.batches import read_batches_stream
+from strata.sinks.audit import run_audited
 from strata.sinks.tables import table_location, written_by_stream
 from strata.streaming.sinks import file_sink, run_to_end
 
@@ -49,9 +50,11 @@ def incremental_append(
     checkpoint: str,
     using: str = "parquet",
     overflow: str | None = None,
+    steps: tuple[str, str] | None = None,
 ) -> None:
     """New bronze rows into the table.  With ``overflow``, rows with a value that the table's
-    type cannot hold go to that folder instead, by a stream of its own over the same bronze."""
+    type cannot hold go to that folder instead, by a stream of its own over the same bronze.
+    ``steps`` (folder, audit stream) appends one step record per micro-batch."""
     stream = transform(read_batches_stream(spark, bronze_path, bronze_schema))
     if using == "iceberg":
         # Iceberg commits each micro-batch atomically with the batch id.
@@ -70,6 +73,7 @@ def incremental_append(
     else:
         out, fits = narrowed(stream, target.schema)
         run_to_end(file_sink(stream.where(~fits), overflow, f"{checkpoint}-overflow", trigger="availableNow"))
-    run_to_end(file_sink(out, table_location(spark, table), checkpoint, trigger="availableNow"))
+    path, name = steps or (None, "")
+    run_audited(spark, out, lambda df: file_sink(df, table_location(spark, table), checkpoint, trigger="availableNow"), path, name)
     # the session caches the table's file listing; new files need a refresh
     spark.catalog.refreshTable(table)

@@ -72,13 +72,15 @@ def batch_folder_writer(
     base: str,
     audit_base: str | None = None,
     audit_stream: str | None = None,
+    steps: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Handler writing each non-empty batch to ``<base>/batch_id=N`` (K3, F3),
     committed by the list of its files once all of it is written.
 
     With ``audit_base`` each written row also gets an audit record (K8),
     built from the folder just written (no second parse of the source) and
-    stored in ``<audit_base>/batch_id=N``, idempotent the same way.
+    stored in ``<audit_base>/batch_id=N``, idempotent the same way.  ``steps``
+    is a folder to which one record per committed batch is appended.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -109,6 +111,10 @@ def batch_folder_writer(
                 f"{audit_base}/_steps/batch_id={batch_id}"
             )
         log.write(batch_id, {"batch": batch_id, "rows": obs.get["rows"], "folder": folder, "files": data_files(spark, target)})
+        if steps is not None:
+            from strata.sinks.audit import record_step
+
+            record_step(spark, steps, audit_stream or "audit", "batch", batch_id, obs.get["rows"])
 
     return handle
 
