@@ -51,8 +51,3 @@ def flatten_item(df: DataFrame, spec: dict[str, str]) -> DataFrame:
         tag = "S" if kind == "S" else "N"
         out.append(F.col(f"{name}.{tag}").alias(f"{name}_{tag}"))
     return df.select(*out)
-
-
-def item_json(df: DataFrame) -> DataFrame:
-    """The whole item as JSON text (NULL attributes dropped by ``to_json``)."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("item"))

@@ -30,11 +30,6 @@ def sku(code: Column) -> Column:
     return F.concat(F.lit("SKU"), code.cast("string"))
 
 
-def iso_date(d: Column) -> Column:
-    """Date as ``yyyy-MM-dd`` text."""
-    return F.date_format(d, "yyyy-MM-dd")
-
-
 def due_date(order_date: Column, days: Column) -> Column:
     """Order date plus ``days`` (X8); the date part only."""
     return F.date_add(F.to_date(order_date), days.cast("int"))

@@ -58,8 +58,3 @@ def silver_lines_prefiltered(bronze: DataFrame, min_weight: int = PO_MIN_WEIGHT)
     """
     kept = F.filter("items", lambda x: x["weight_quantity"] > F.lit(min_weight))
     return explode_lines(bronze.withColumn("items", kept)).select(*PO_SILVER_COLUMNS)
-
-
-def non_empty(df: DataFrame) -> bool:
-    """Empty micro-batch guard (F3): one ``LIMIT 1`` job, not a full count."""
-    return not df.isEmpty()

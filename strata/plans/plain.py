@@ -100,7 +100,3 @@ def bronze_schema(with_seq: bool = True):
     if with_seq:
         fields.append(T.StructField("seq", T.LongType(), True))
     return T.StructType(fields)
-
-
-def amount_ok(col: str = "amount"):
-    return F.col(col) < 100

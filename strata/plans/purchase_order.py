@@ -109,12 +109,3 @@ def gold_items(totals: DataFrame) -> DataFrame:
 
 def gold_items_flat(totals: DataFrame) -> DataFrame:
     return flatten_item(gold_items(totals), GOLD_ITEM)
-
-
-def bronze_from_tables(spark: SparkSession, data_dir: str) -> DataFrame:
-    return bronze(messages(documents(spark, data_dir)))
-
-
-def customer_totals_from_tables(spark: SparkSession, data_dir: str, level: str = "line") -> DataFrame:
-    """The whole chain from the input tables to gold, as one plan."""
-    return gold_from_bronze(bronze_from_tables(spark, data_dir), level)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The fields of the wire, bronze and silver shapes below.
 # --- plain events -----------------------------------------------------------
 # Wire and bronze shape: {"id": int, "name": str, "amount": int}
 PLAIN = T.StructType(
@@ -18,8 +19,6 @@ PLAIN = T.StructType(
     ]
 )
 
-PLAIN_SILVER_COLUMNS = [("id", "INT"), ("name", "STRING"), ("amount", "INT")]
-
 # --- purchase orders --------------------------------------------------------
 CONTACT_INFO = T.StructType(
     [

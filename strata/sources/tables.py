@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet directory scan.  Filters and projections applied later reach
-    the scan (``PushedFilters`` / ``ReadSchema``)."""
-    return spark.read.parquet(path)
-
-
 def read_source_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """One of the given input tables, ``<data_dir>/<name>.parquet``."""
     return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
