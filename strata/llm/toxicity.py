@@ -75,7 +75,7 @@ STEM_WORDS = 4
 # A word is a positive example from this odds ratio, and from this log odds times root of its count.
 CLEAR = 10.0
 COST = 8.0
-CHUNK_CHARS = 1 << 19
+CHUNK_CHARS = 1 << 17
 
 # Character classes: 0 white space, 1-26 letters, 27 digits, 28 separators
 # (other ASCII, blanks between single characters), 29-38 other characters by code point, 39 start of a word.
@@ -556,6 +556,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: dict[int, int] =
     return [r.text for r in rows if r.toxic == 1], [r.text for r in rows if r.toxic == 0]
 
 
+def _give_back() -> None:
+    """Return the memory of the fit to the system: Spark keeps the worker for later tasks."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
 def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     """The machine trained by one task over the bounded sample."""
 
@@ -564,7 +575,9 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
         for batch in batches:
             for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 texts[toxic].append(text)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(texts[1], texts[0]))], pa.binary())], names=["model"])
+        model = pickle.dumps(train(texts.pop(1), texts.pop(0)))
+        _give_back()
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
     rows = sample_rows(docs, labels).repartition(1).sortWithinPartitions("doc_id")
     got = rows.mapInArrow(fit, "model binary").collect()
