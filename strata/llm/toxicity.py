@@ -43,8 +43,10 @@ a null ``doc_id`` counts as held out; repeated rows get equal scores.
 
 from __future__ import annotations
 
+import os
 import pickle
 import re
+import subprocess
 import sys
 from collections import Counter
 from collections.abc import Iterator
@@ -65,7 +67,7 @@ NORM_CHARS = 8  # the length norm stops growing here
 LANDMARKS = 256
 SAMPLE = {1: 2000, 0: 5000}
 SAMPLE_CHARS = 20_000
-SAMPLE_TOTAL = {1: 8_000_000, 0: 20_000_000}
+SAMPLE_TOTAL = {1: 4_000_000, 0: 8_000_000}
 ROUNDS = 4
 # Best words of a text that its score weighs.
 TOP = 3
@@ -556,15 +558,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: dict[int, int] =
     return [r.text for r in rows if r.toxic == 1], [r.text for r in rows if r.toxic == 0]
 
 
-def _give_back() -> None:
-    """Return the memory of the fit to the system: Spark keeps the worker for later tasks."""
-    import ctypes
-    import gc
+_FIT = "import pickle, sys; from strata.llm.toxicity import train; sys.stdout.buffer.write(pickle.dumps(train(*pickle.load(sys.stdin.buffer))))"
 
-    gc.collect()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
-    if trim:
-        trim(0)
+
+def _apart(toxic: list[str], clean: list[str]) -> bytes:
+    """The pickled machine, fitted in a process of its own: Spark keeps a worker for later
+    tasks, and with it whatever memory the fit took."""
+    env = os.environ | {"PYTHONPATH": os.pathsep.join(p for p in sys.path if p)}
+    done = subprocess.run([sys.executable, "-c", _FIT], input=pickle.dumps((toxic, clean)), stdout=subprocess.PIPE, env=env, check=True)
+    return done.stdout
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Model:
@@ -575,8 +577,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
         for batch in batches:
             for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 texts[toxic].append(text)
-        model = pickle.dumps(train(texts.pop(1), texts.pop(0)))
-        _give_back()
+        model = _apart(texts[1], texts[0])
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
     rows = sample_rows(docs, labels).repartition(1).sortWithinPartitions("doc_id")
