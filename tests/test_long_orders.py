@@ -56,3 +56,16 @@ def test_parts_are_bounded_also_for_equal_lines(spark, long_orders):
 def test_result_does_not_depend_on_part_size(spark):
     whole, parts = (catalogue._documents_summary(po.documents(spark, SMALL, max_items=n)) for n in (None, 2))
     assert sorted(whole.collect()) == sorted(parts.collect())
+
+
+def test_every_sku_is_listed_in_line_order(spark, long_orders):
+    path, con = long_orders
+    got = {r.po_number: r.item_skus for r in entry.queries()["po_documents"](spark, path).collect()}
+    skus = con.execute(
+        "SELECT l_orderkey::VARCHAR, 'SKU' || l_partkey FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity"
+    ).fetchall()
+    want = {}
+    for key, sku in skus:
+        want.setdefault(key, []).append(sku)
+    assert got == {key: " ".join(want[key]) for key in got} and len(got) == len(want)
+    assert max(len(x.split(" ")) for x in got.values()) > 3000
