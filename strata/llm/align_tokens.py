@@ -46,14 +46,14 @@ from strata.llm.bpe_count import PATTERN, _byte_symbols
 from strata.llm.common import shuffle_parts, steps, table, text_buffers, written
 
 # Distinct pairs of its texts, summed, that close a block, and texts that do.
-BLOCK_PAIRS = 1 << 19
+BLOCK_PAIRS = 1 << 18
 BLOCK_TEXTS = 4096
 # Words that a worker remembers, their longest, and words encoded together.
-MEMORY_WORDS = 1 << 17
+MEMORY_WORDS = 1 << 16
 MEMORY_CHARS = 48
 TOGETHER = 512
 # Bytes of texts whose words are looked up together.
-STRETCH_BYTES = 1 << 23
+STRETCH_BYTES = 1 << 21
 # A pair of ids as one number.
 SHIFT = 32
 

@@ -108,3 +108,10 @@ def test_words_apart_are_the_whole_text(al, monkeypatch):
                 digest = hashlib.sha256(";".join(v[2]).encode()).hexdigest()
                 assert got[:5] == (v[0], v[1], len(v[2]), len(v[3]), digest), repr(text)
                 assert dict(zip(got[5].tolist(), got[6].tolist(), strict=True)) == links, repr(text)
+
+
+def test_words_of_a_few_megabytes_are_held_at_once():
+    batch = pa.RecordBatch.from_pydict({"text": ["ab " * 20_000] * 100})  # 6 MB in one Arrow batch
+    parts = list(at._stretches(batch))
+    assert sum(p.num_rows for p in parts) == 100
+    assert max(p.num_rows for p in parts) * 60_000 <= 1 << 21
