@@ -23,6 +23,12 @@ round only keys whose sets are still in different components bring the pairs
 across them.  Links inside a component change nothing, so components are exact
 without all pairs of a group of near copies.  Equal sets are one set throughout.
 
+Blocks of a passage that many texts share would bring all pairs of those texts.
+Sets that link differ in at most d blocks, so of the blocks of each, put in one order
+for all sets, the first d + 1 hold a common one.  That order ends with the most
+frequent mixed keys: in the second round a set leaves as many of its popular keys
+out as it has blocks beyond d + 1, and keeps those that it cannot spare.
+
 Edge cases: null and blank texts are empty sets, linked with nothing, their own
 component; a null ``doc_id`` takes part, and a component of such rows alone has
 a null id; rows that repeat a ``doc_id`` are one node, reachable from each
@@ -50,9 +56,14 @@ CELLS = 1 << 30
 # Bytes of a shingle's hash that verification compares, and partners of a set in one part.
 BYTES = 8
 PART = 256
-# Numbers (64 cells each) of the short sketch that rows of the second round carry.
+# Numbers (64 cells each) of the short sketch that rows of the second round carry, for large sets beside a wide one.
 FOLD = 8
 SHORT = [f"f{k}" for k in range(FOLD)]
+# Of a set's bands of even and odd number: keys that it can spare, and its sketch where 64 * FOLD cells are too few.
+SPARE = ["spare_0", "spare_1"]
+WIDE = ["wide_0", "wide_1"]
+# Sets of a mixed key beyond which the second round leaves the key out where a set can spare it.
+POPULAR = 16
 # Nodes of rows without an id lie above all ids.
 NO_ID = 1 << 62
 
@@ -78,33 +89,59 @@ def blocks_of(band: np.ndarray) -> np.ndarray:
     return need + need // 12 + 2
 
 
+def _blocks(hashes: np.ndarray, owner: np.ndarray, sizes: np.ndarray, up: int) -> tuple[np.ndarray, ...]:
+    """The sketch blocks of all sets in their own band, or with ``up`` in the next: (band, first block, content).
+
+    Rows are (hash, owner), distinct; a set that sends nothing to the band has no blocks.
+    """
+    band = np.searchsorted(BANDS, sizes, side="right") - 1 + up
+    sends = (sizes > 0) & (sizes * 5 // 4 >= BANDS[band]) if up else sizes > 0
+    count = np.where(sends, blocks_of(band), 0)
+    first = np.concatenate([[0], np.cumsum(count)])
+    rows = sends[owner]
+    of = owner[rows]
+    # The block by the upper 32 bits, the cell by the lowest bits.
+    block = ((hashes[rows] >> np.uint64(32)) * count[of].astype(np.uint64)) >> np.uint64(32)
+    cell = mix64((hashes[rows] & np.uint64(CELLS - 1)) + np.uint64(1))
+    sketch = np.zeros(first[-1], dtype=np.uint64)
+    np.bitwise_xor.at(sketch, first[of] + block.astype(np.int64), cell)
+    return band, first, sketch
+
+
+def _full(band: np.ndarray, first: np.ndarray, sketch: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Blocks with a bit, of each set, beyond the largest difference from a linked set; at most 0: too few."""
+    whose = np.repeat(np.arange(len(sizes)), np.diff(first))
+    return np.bincount(whose, weights=sketch != 0, minlength=len(sizes)).astype(np.int64) - largest_difference(sizes, BANDS[band + 1] - 1)
+
+
 def block_keys(hashes: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, owner) of all sketch blocks that the sets send; rows are (hash, owner), distinct."""
+    """(key, owner) of all sketch blocks that the sets send; rows are (hash, owner), distinct.
+
+    The lowest bit of a key is that of its band's number, which tells a set's two bands apart.
+    """
     keys, owners = [], []
-    home = np.searchsorted(BANDS, sizes, side="right") - 1
-    cell = mix64((hashes & np.uint64(CELLS - 1)) + np.uint64(1))
     for up in (0, 1):
-        band = home + up
-        sends = (sizes > 0) & (sizes * 5 // 4 >= BANDS[band]) if up else sizes > 0
-        count = np.where(sends, blocks_of(band), 0)
-        first = np.concatenate([[0], np.cumsum(count)])
-        rows = sends[owner]
-        of = owner[rows]
-        # The block by the upper 32 bits, the cell by the lowest bits.
-        block = ((hashes[rows] >> np.uint64(32)) * count[of].astype(np.uint64)) >> np.uint64(32)
-        sketch = np.zeros(first[-1], dtype=np.uint64)
-        np.bitwise_xor.at(sketch, first[of] + block.astype(np.int64), cell[rows])
-        whose = np.repeat(np.arange(len(sizes)), count)
+        band, first, sketch = _blocks(hashes, owner, sizes, up)
+        whose = np.repeat(np.arange(len(sizes)), np.diff(first))
         number = np.arange(first[-1]) - first[whose]
-        full = sketch != 0
-        enough = np.bincount(whose, weights=full, minlength=len(sizes)) > largest_difference(sizes, BANDS[band + 1] - 1)
-        sent = full | ~enough[whose]
+        enough = _full(band, first, sketch, sizes) > 0
+        sent = (sketch != 0) | ~enough[whose]
         place = mix64((band[whose].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64) + np.uint64(1))
-        keys.append(mix64(sketch ^ place)[sent])
+        key = mix64(sketch ^ place) & ~np.uint64(1) | (band[whose] & 1).astype(np.uint64)
+        keys.append(key[sent])
         owners.append(whose[sent])
     return np.concatenate(keys), np.concatenate(owners)
 
 
+def spare_keys(hashes: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """(2, sets): keys that a set can leave out in its band of even and of odd number, and still meet all its links."""
+    out = np.zeros((2, len(sizes)), dtype=np.int32)
+    for up in (0, 1):
+        band, first, sketch = _blocks(hashes, owner, sizes, up)
+        out[band & 1, np.arange(len(sizes))] = np.maximum(_full(band, first, sketch, sizes) - 1, 0)
+    return out
+
+
 def _sets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(from, to, hashes, owner, sizes, sid, check) of the texts' sets, a step at a time."""
     data, offsets = text_buffers(texts)
@@ -147,6 +184,24 @@ def folded(sketches: pa.Array) -> np.ndarray:
     return out
 
 
+def wide_sketches(sketches: pa.Array, sizes: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """The sketches for a set's band of even and of odd number, folded to as many cells as all sets have that send to the band.
+
+    They are twice the smallest such set's shingles or more; null where that is no more than the short sketch.
+    """
+    home = np.searchsorted(BANDS, sizes, side="right") - 1
+    out: tuple[list, list] = ([], [])
+    for raw, size, band in zip(sketches, sizes.tolist(), home.tolist(), strict=True):
+        x = np.frombuffer(raw.as_buffer(), dtype=np.int64)
+        for b in (band, band + 1):
+            width = 1 << int(2 * BANDS[max(b - 1, 0)] - 1).bit_length()
+            y = x if size and width > 64 * FOLD else None
+            while y is not None and 64 * len(y) > width:
+                y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+            out[b & 1].append(y)
+    return tuple(pa.array(column, pa.list_(pa.int64())) for column in out)
+
+
 def may_link(a: bytes, a_size: int, b: bytes, b_size: int) -> bool:
     """Whether two sets can link, by their sizes and the Hamming distance of their sketches."""
     if 4 * max(a_size, b_size) > 5 * min(a_size, b_size):
@@ -158,7 +213,7 @@ def may_link(a: bytes, a_size: int, b: bytes, b_size: int) -> bool:
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, n_shingles, sid, check, sketch, short sketch) of every row; (sid, check) names the set."""
+    """(doc_id, text_key, n_shingles, sid, check, spare keys, wide sketches, sketch, short sketch) of every row; (sid, check) names the set."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,14 +227,16 @@ def profiles(docs: DataFrame) -> DataFrame:
                         sizes,
                         sid.view(np.int64),
                         check.view(np.int64),
+                        *spare_keys(h, o, sizes),
+                        *wide_sketches(sketches, sizes),
                         sketches,
                         *(np.ascontiguousarray(short[:, k]) for k in range(FOLD)),
                     ],
-                    ["doc_id", "text_key", "n_shingles", "sid", "check", "sketch", *SHORT],
+                    ["doc_id", "text_key", "n_shingles", "sid", "check", *SPARE, *WIDE, "sketch", *SHORT],
                 )
 
     keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
-    return keyed.mapInArrow(rows, "doc_id long, text_key long, n_shingles long, sid long, check long, sketch binary, " + ", ".join(f"{c} long" for c in SHORT))
+    return keyed.mapInArrow(rows, "doc_id long, text_key long, n_shingles long, sid long, check long, spare_0 int, spare_1 int, wide_0 array<long>, wide_1 array<long>, sketch binary, " + ", ".join(f"{c} long" for c in SHORT))
 
 
 def sketch_keys(docs: DataFrame) -> DataFrame:
@@ -286,9 +343,30 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
     return dealt_out.mapInArrow(compared, "a long, b long").distinct()
 
 
+def without_spared(mixed: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(key, sid, label) of ``mixed`` (with n, the sets of the key), without the popular keys that a set can spare.
+
+    A set leaves its most frequent keys out first, equal ones by their number, so all sets use one order.
+    """
+    band = F.col("key").bitwiseAND(F.lit(1))
+    last = Window.partitionBy("sid", band).orderBy(F.col("n").desc(), "key")
+    popular = mixed.where(F.col("n") > POPULAR).withColumn("place", F.row_number().over(last))
+    kept = popular.join(sketches.select("sid", *SPARE), "sid").where(F.col("place") > F.when(band == 0, F.col(SPARE[0])).otherwise(F.col(SPARE[1])))
+    columns = ["key", "sid", "label"]
+    return mixed.where(F.col("n") <= POPULAR).select(columns).unionByName(kept.select(columns))
+
+
+def mixed_keys(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, sid, label, n) of the keys whose sets, n of them, lie in different components; written."""
+    whole = Window.partitionBy("key")
+    labelled = rows.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", F.coalesce("root", "sid").alias("label"))
+    spans = labelled.withColumn("lo", F.min("label").over(whole)).withColumn("hi", F.max("label").over(whole))
+    return written(spans.withColumn("n", F.count(F.lit(1)).over(whole)).where("lo != hi").select("key", "sid", "label", "n"), "mixed")
+
+
 def similar_sets(docs: DataFrame, known: DataFrame) -> DataFrame:
     """(a, b) over set numbers: verified links that join every component, not all of its pairs."""
-    sketches = known.where("n_shingles > 0").select("sid", "check", F.col("n_shingles").alias("size"), "sketch", *SHORT)
+    sketches = known.where("n_shingles > 0").select("sid", "check", F.col("n_shingles").alias("size"), *SPARE, *WIDE, "sketch", *SHORT)
     sketches = sketches.dropDuplicates(["sid", "check"])
     # Rows of a key in order: the running minimum is the hub, nothing is held in memory.
     ordered = Window.partitionBy("key").orderBy("sid")
@@ -299,29 +377,31 @@ def similar_sets(docs: DataFrame, known: DataFrame) -> DataFrame:
     labels = components(links)
 
     # Keys whose sets (hub included) still lie in different components bring the pairs across them.
-    label = F.coalesce("root", "sid")
-    whole = Window.partitionBy("key")
     everyone = members.select("key", "sid").unionByName(members.select("key", F.col("hub").alias("sid"))).distinct()
-    mixed = written(
-        everyone.join(labels.withColumnRenamed("node", "sid"), "sid", "left")
-        .select("key", "sid", label.alias("label"))
-        .withColumn("lo", F.min("label").over(whole))
-        .withColumn("hi", F.max("label").over(whole))
-        .where("lo != hi")
-        .select("key", "sid", "label"),
-        "mixed",
-    )
-    # The short sketches travel with the rows, so most pairs end inside the join.
-    rows = written(mixed.join(sketches.select("sid", "size", *SHORT), "sid"), "mixed-sketches")
-    left, right = (
-        rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("sid", "label", "size", *SHORT))) for side in ("a", "b")
+    mixed = mixed_keys(everyone, components(links))
+    # A hub by chance in each popular one joins what the smallest hubs left apart, again a linear number of pairs.
+    by_chance = F.struct(F.xxhash64("key", "sid").alias("at"), F.col("sid").alias("a"), F.col("label").alias("a_label"))
+    again = mixed.where(F.col("n") > POPULAR).withColumn("hub", F.min(by_chance).over(Window.partitionBy("key"))).where("hub.a_label != label")
+    again = again.select(F.least("hub.a", "sid").alias("a"), F.greatest("hub.a", "sid").alias("b")).distinct()
+    links = written(links.unionByName(verified(near_enough(again, sketches), docs, known)), "links")
+    mixed = mixed_keys(mixed.select("key", "sid"), components(links))
+    # Sketches of the band's width travel with the rows, so most pairs end inside the join.
+    wide = F.when(F.col("key").bitwiseAND(F.lit(1)) == 0, F.col(WIDE[0])).otherwise(F.col(WIDE[1])).alias("wide")
+    columns = ("sid", "label", "size", "wide", *SHORT)
+    rows = written(
+        without_spared(mixed, sketches).join(sketches.select("sid", "size", *WIDE, *SHORT), "sid").select("key", "sid", "label", "size", wide, *SHORT),
+        "mixed-sketches",
     )
-    distance = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SHORT), F.lit(0))
+    left, right = (rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in columns)) for side in ("a", "b"))
+    differ = lambda x, y: F.bit_count(x.bitwiseXOR(y))
+    distance = sum((differ(F.col(f"a_{c}"), F.col(f"b_{c}")) for c in SHORT), F.lit(0))
+    wide_distance = F.aggregate(F.zip_with("a_wide", "b_wide", differ), F.lit(0), lambda n, x: n + x)
     passes = (
         (F.col("a_sid") < F.col("b_sid"))
         & (F.col("a_label") != F.col("b_label"))
         & (F.greatest("a_size", "b_size") * 4 <= F.least("a_size", "b_size") * 5)
         & (distance * 9 <= F.col("a_size") + F.col("b_size"))
+        & (F.coalesce(wide_distance, F.lit(0)) * 9 <= F.col("a_size") + F.col("b_size"))
     )
     rest = left.join(right, "key").where(passes).select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b")).distinct()
     return links.unionByName(verified(near_enough(rest, sketches), docs, known))

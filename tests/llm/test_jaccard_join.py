@@ -91,3 +91,56 @@ def test_linked_sets_share_a_sketch_block():
             assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
             x, y = (s.as_buffer() for s in jj.whole_sketches(h, o, sizes))
             assert jj.may_link(x, len(a), y, len(b))
+
+
+def _spread_copies():
+    """A large group of copies of one text, from a few to a third of the words changed."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(5000)}" for _ in range(600)]
+    texts = []
+    for i in range(240):
+        text = list(base)
+        for _ in range(rng.choice([2, 6, 12, 18, 22, 26, 40, 60, 80])):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(10**6)}"
+        texts.append((i, " ".join(text), "x", None, "k"))
+    return texts
+
+
+def test_a_group_of_spread_copies_brings_no_square_of_pairs(spark, monkeypatch):
+    rows, counts, plain = _spread_copies(), [], jj.near_enough
+
+    def counted(pairs, sketches):
+        counts.append(pairs.count())
+        return plain(pairs, sketches)
+
+    monkeypatch.setattr(jj, "near_enough", counted)
+    got = jj.linked(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    assert sorted(map(tuple, got.collect())) == _brute(rows)
+    assert counts[-1] <= 2 * len(rows)  # pairs of the last round, all pairs across components
+
+
+def test_linked_sets_share_a_key_that_neither_leaves_out():
+    rng = np.random.default_rng(4)
+    for size in [5, 12, 40, 100, 300, 900]:
+        for _ in range(30):
+            a = rng.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+            gone = int(rng.integers(0, size // 9 + 1))
+            b = np.concatenate([a[gone:], rng.integers(0, 2**63, size // 9 - gone, dtype=np.uint64)])
+            if 100 * (size - gone) < 80 * (size + size // 9 - gone):
+                continue
+            h, o = np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)])
+            sizes = np.array([len(a), len(b)])
+            keys, owner = jj.block_keys(h, o, sizes)
+            spare = jj.spare_keys(h, o, sizes)
+            order = {k: rng.random() for k in sorted(set(keys.tolist()))}
+            kept = []
+            for i in (0, 1):
+                mine = [sorted((k for k in keys[owner == i].tolist() if k & 1 == band), key=order.get) for band in (0, 1)]
+                kept.append({k for band, ks in enumerate(mine) for k in ks[: len(ks) - int(spare[band][i])]})
+            assert kept[0] & kept[1]
+            wide = jj.wide_sketches(jj.whole_sketches(h, o, sizes), sizes)
+            for band in (0, 1):
+                x, y = wide[band].to_pylist()
+                if x and y and len(x) == len(y):
+                    apart = sum((p ^ q if p ^ q >= 0 else (p ^ q) + 2**64).bit_count() for p, q in zip(x, y, strict=True))
+                    assert apart <= (len(a) + len(b)) // 9
