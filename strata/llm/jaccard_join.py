@@ -26,8 +26,9 @@ without all pairs of a group of near copies.  Equal sets are one set throughout.
 Blocks of a passage that many texts share would bring all pairs of those texts.
 Sets that link differ in at most d blocks, so of the blocks of each, put in one order
 for all sets, the first d + 1 hold a common one.  That order ends with the most
-frequent mixed keys: in the second round a set leaves as many of its popular keys
-out as it has blocks beyond d + 1, and keeps those that it cannot spare.
+frequent mixed keys: in the last round a set leaves as many of its mixed keys out
+as it has blocks beyond d + 1, the most frequent first, and keeps those that it
+cannot spare.  Before, each popular mixed key has a second hub, picked by chance.
 
 Edge cases: null and blank texts are empty sets, linked with nothing, their own
 component; a null ``doc_id`` takes part, and a component of such rows alone has
@@ -62,7 +63,7 @@ SHORT = [f"f{k}" for k in range(FOLD)]
 # Of a set's bands of even and odd number: keys that it can spare, and its sketch where 64 * FOLD cells are too few.
 SPARE = ["spare_0", "spare_1"]
 WIDE = ["wide_0", "wide_1"]
-# Sets of a mixed key beyond which the second round leaves the key out where a set can spare it.
+# Sets of a mixed key beyond which it gets a second hub.
 POPULAR = 16
 # Nodes of rows without an id lie above all ids.
 NO_ID = 1 << 62
@@ -344,16 +345,14 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def without_spared(mixed: DataFrame, sketches: DataFrame) -> DataFrame:
-    """(key, sid, label) of ``mixed`` (with n, the sets of the key), without the popular keys that a set can spare.
+    """(key, sid, label) of ``mixed`` (with n, the sets of the key), without the keys that a set can spare.
 
     A set leaves its most frequent keys out first, equal ones by their number, so all sets use one order.
     """
     band = F.col("key").bitwiseAND(F.lit(1))
     last = Window.partitionBy("sid", band).orderBy(F.col("n").desc(), "key")
-    popular = mixed.where(F.col("n") > POPULAR).withColumn("place", F.row_number().over(last))
-    kept = popular.join(sketches.select("sid", *SPARE), "sid").where(F.col("place") > F.when(band == 0, F.col(SPARE[0])).otherwise(F.col(SPARE[1])))
-    columns = ["key", "sid", "label"]
-    return mixed.where(F.col("n") <= POPULAR).select(columns).unionByName(kept.select(columns))
+    placed = mixed.withColumn("place", F.row_number().over(last)).join(sketches.select("sid", *SPARE), "sid")
+    return placed.where(F.col("place") > F.when(band == 0, F.col(SPARE[0])).otherwise(F.col(SPARE[1]))).select("key", "sid", "label")
 
 
 def mixed_keys(rows: DataFrame, labels: DataFrame) -> DataFrame:
