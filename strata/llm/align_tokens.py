@@ -167,7 +167,7 @@ class Aligner:
         self.b_sizes = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
         ranks = {self.a_bytes[i]: i for i in self.a.get_vocab(with_added_tokens=False).values()}
         self.a_words = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.single: dict[int, str] = {}
+        self.names = list(map(str, range(max(len(self.a_sizes), len(self.b_sizes)))))
         self.seen = Memory()
 
     def whole(self, spaced: str) -> Aligned | None:
@@ -182,35 +182,31 @@ class Aligner:
     def _learn(self, words: list[str]) -> dict[str, Aligned | None]:
         """Alignments of words that begin with a blank: encoded together, and cut apart where both tokenizers cut."""
         out: dict[str, Aligned | None] = {}
-        if len(self.single) > MEMORY_WORDS:
-            self.single = {}
-        single = self.single
         for lo in range(0, len(words), TOGETHER):
             some = words[lo : lo + TOGETHER]
             joined = "".join(some)
             ends = np.cumsum([len(w.encode("utf-8")) for w in some])
             a_ids, b_ids = self.a_words.encode_ordinary(joined), self.b.encode(joined[1:])
-            a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
+            a_codes, b_codes = np.array(a_ids, dtype=np.int64), np.array(b_ids, dtype=np.int64)
+            a_ends, b_ends = np.cumsum(self.a_sizes[a_codes]), np.cumsum(self.b_sizes[b_codes])
             both = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
             twice = both[1:] == both[:-1]
             cuts, common = both[np.append(~twice, True)], both[1:][twice]
             raw = joined.encode("utf-8")
-            if not np.isin(ends, common).all() or a_ends[-1] != ends[-1] or b_ends[-1] != ends[-1] or b"".join([self.b_bytes[i] for i in b_ids]) != raw:
+            if not np.isin(ends, common).all() or a_ends[-1] != ends[-1] or b_ends[-1] != ends[-1] or b"".join(map(self.b_bytes.__getitem__, b_ids)) != raw:
                 out.update((w, self.whole(w)) for w in some)
                 continue
             # Between two neighbouring ends, of A or B, lies the overlap of one linked pair.
             c_at = np.searchsorted(cuts, common) + 1
-            pairs = (np.array(a_ids)[np.searchsorted(a_ends, cuts)] << SHIFT | np.array(b_ids)[np.searchsorted(b_ends, cuts)]).tolist()
+            pairs = (a_codes[np.searchsorted(a_ends, cuts)] << SHIFT | b_codes[np.searchsorted(b_ends, cuts)]).tolist()
+            a_names, b_names = list(map(self.names.__getitem__, a_ids)), list(map(self.names.__getitem__, b_ids))
             a_at, b_at = np.searchsorted(a_ends, common) + 1, np.searchsorted(b_ends, common) + 1
             groups, x, y, c = [], 0, 0, 0
             for i, j, k in zip(a_at.tolist(), b_at.tolist(), c_at.tolist(), strict=True):
                 if k - c == 1:
-                    name = single.get(pairs[c])
-                    if name is None:
-                        name = single[pairs[c]] = f"{a_ids[x]}|{b_ids[y]}"
-                    groups.append(name)
+                    groups.append(f"{a_names[x]}|{b_names[y]}")
                 else:
-                    groups.append(",".join(map(str, a_ids[x:i])) + "|" + ",".join(map(str, b_ids[y:j])))
+                    groups.append(f"{','.join(a_names[x:i])}|{','.join(b_names[y:j])}")
                 x, y, c = i, j, k
             last = [(np.searchsorted(at, ends) + 1).tolist() for at in (a_ends, b_ends, cuts, common)]
             x, y, c, g = 0, 0, 0, 0
@@ -237,8 +233,8 @@ class Aligner:
         found = [_NOTHING if x is None else x for x in found]
         codes = coded.indices.to_numpy(zero_copy_only=False)
         places, per_word = spread([len(x.pairs) for x in found], codes)
-        links = np.array(list(chain.from_iterable(x.pairs for x in found)), dtype=np.int64)[places]
-        figures = np.array([(x.n_a, x.n_b, x.n_groups) for x in found], dtype=np.int64)[codes]
+        links = np.fromiter(chain.from_iterable(x.pairs for x in found), dtype=np.int64)[places]
+        figures = np.array([[x.n_a for x in found], [x.n_b for x in found], [x.n_groups for x in found]], dtype=np.int64).T[codes]
         groups, at, link = [x.groups for x in found], 0, 0
         for words in cut:
             mine = codes[at : at + len(words)]
