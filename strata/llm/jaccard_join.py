@@ -28,7 +28,9 @@ Sets that link differ in at most d blocks, so of the blocks of each, put in one
 for all sets, the first d + 1 hold a common one.  That order ends with the most
 frequent mixed keys: in the last round a set leaves as many of its mixed keys out
 as it has blocks beyond d + 1, the most frequent first, and keeps those that it
-cannot spare.  Before, each popular mixed key has a second hub, picked by chance.
+cannot spare.  Before, each popular mixed key has a second hub, the set that meets
+most others.  In both rounds with hubs a set meets ``TRIES`` of them at most, those of
+most of its keys; what that leaves apart is in mixed keys, so the last round has it.
 
 Edge cases: null and blank texts are empty sets, linked with nothing, their own
 component; a null ``doc_id`` takes part, and a component of such rows alone has
@@ -65,6 +67,8 @@ SPARE = ["spare_0", "spare_1"]
 WIDE = ["wide_0", "wide_1"]
 # Sets of a mixed key beyond which it gets a second hub.
 POPULAR = 16
+# Hubs that a set meets in a round before the last: those of most of its keys.
+TRIES = 3
 # Nodes of rows without an id lie above all ids.
 NO_ID = 1 << 62
 
@@ -299,6 +303,7 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
     to each of its parts ahead of the partners' sets, and a part is read as a
     stream.  Sets are made from the one text that stands for them.
     """
+    pairs = written(pairs, "pairs")  # read twice here, and costly to make
     parts = F.ceil(F.col("n") / PART).cast("long")
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     dealt = written(pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), parts).alias("part")), "dealt")
@@ -311,7 +316,7 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
         rep.select("sid", F.col("one.doc_id").alias("of_id"), F.col("one.text_key").alias("of_text")).join(asks, "sid"), "wanted"
     )
     texts = docs.join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("of_text"))
+        small(wanted), F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("of_text"))
     ).select("text", "sid", "a", "part", "role")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,6 +349,16 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
     return dealt_out.mapInArrow(compared, "a long, b long").distinct()
 
 
+def met_most(pairs: DataFrame) -> DataFrame:
+    """(a, b) of ``TRIES`` hubs a of each set b at most: those that share most keys with it.
+
+    ``pairs`` has a row per key.  What is left out here lies in mixed keys, so the last round has it.
+    """
+    best = Window.partitionBy("b").orderBy(F.col("keys").desc(), "a")
+    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("keys"))
+    return counted.withColumn("place", F.row_number().over(best)).where(F.col("place") <= TRIES).select("a", "b")
+
+
 def without_spared(mixed: DataFrame, sketches: DataFrame) -> DataFrame:
     """(key, sid, label) of ``mixed`` (with n, the sets of the key), without the keys that a set can spare.
 
@@ -366,11 +381,11 @@ def mixed_keys(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def similar_sets(docs: DataFrame, known: DataFrame) -> DataFrame:
     """(a, b) over set numbers: verified links that join every component, not all of its pairs."""
     sketches = known.where("n_shingles > 0").select("sid", "check", F.col("n_shingles").alias("size"), *SPARE, *WIDE, "sketch", *SHORT)
-    sketches = sketches.dropDuplicates(["sid", "check"])
+    sketches = written(sketches.dropDuplicates(["sid", "check"]), "sketches")
     # Rows of a key in order: the running minimum is the hub, nothing is held in memory.
     ordered = Window.partitionBy("key").orderBy("sid")
     members = written(sketch_keys(docs).withColumn("hub", F.min("sid").over(ordered)).where("sid != hub"), "members")
-    stars = near_enough(members.select(F.col("hub").alias("a"), F.col("sid").alias("b")).distinct(), sketches)
+    stars = near_enough(met_most(members.select(F.col("hub").alias("a"), F.col("sid").alias("b"))), sketches)
     first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = written(verified(first, docs, known), "links")
     labels = components(links)
@@ -378,10 +393,14 @@ def similar_sets(docs: DataFrame, known: DataFrame) -> DataFrame:
     # Keys whose sets (hub included) still lie in different components bring the pairs across them.
     everyone = members.select("key", "sid").unionByName(members.select("key", F.col("hub").alias("sid"))).distinct()
     mixed = mixed_keys(everyone, components(links))
-    # A hub by chance in each popular one joins what the smallest hubs left apart, again a linear number of pairs.
-    by_chance = F.struct(F.xxhash64("key", "sid").alias("at"), F.col("sid").alias("a"), F.col("label").alias("a_label"))
-    again = mixed.where(F.col("n") > POPULAR).withColumn("hub", F.min(by_chance).over(Window.partitionBy("key"))).where("hub.a_label != label")
-    again = again.select(F.least("hub.a", "sid").alias("a"), F.greatest("hub.a", "sid").alias("b")).distinct()
+    # A second hub in each popular one joins what the smallest hubs left apart, again a linear number of pairs: the
+    # set that meets most others over all its mixed keys, as the middle of a group of copies does.
+    meets = mixed.groupBy("sid").agg(F.sum("n").alias("meets"))
+    middle = F.struct((-F.col("meets")).alias("at"), F.col("sid").alias("a"), F.col("label").alias("a_label"))
+    popular = mixed.where(F.col("n") > POPULAR).join(meets, "sid")
+    again = popular.withColumn("hub", F.min(middle).over(Window.partitionBy("key"))).where("hub.a_label != label")
+    again = met_most(again.select(F.col("hub.a").alias("a"), F.col("sid").alias("b")))
+    again = again.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = written(links.unionByName(verified(near_enough(again, sketches), docs, known)), "links")
     mixed = mixed_keys(mixed.select("key", "sid"), components(links))
     # Sketches of the band's width travel with the rows, so most pairs end inside the join.

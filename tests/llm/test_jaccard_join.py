@@ -119,6 +119,34 @@ def test_a_group_of_spread_copies_brings_no_square_of_pairs(spark, monkeypatch):
     assert counts[-1] <= 2 * len(rows)  # pairs of the last round, all pairs across components
 
 
+def test_rounds_with_hubs_bring_a_few_pairs_a_set_and_make_them_once(spark, monkeypatch):
+    rows, counts, asked, plain, compare = _spread_copies(), [], [], jj.near_enough, jj.verified
+
+    def counted(pairs, sketches):
+        counts.append(pairs.count())
+        return plain(pairs, sketches)
+
+    def compared(pairs, docs, known):
+        runs = spark.sparkContext.accumulator(0)
+
+        def seen(batches):
+            for batch in batches:
+                runs.add(batch.num_rows)
+                yield batch
+
+        out = compare(pairs.mapInArrow(seen, "a long, b long"), docs, known)
+        out.count()
+        asked.append((runs.value, pairs.count()))
+        return out
+
+    monkeypatch.setattr(jj, "near_enough", counted)
+    monkeypatch.setattr(jj, "verified", compared)
+    got = jj.linked(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    assert sorted(map(tuple, got.collect())) == _brute(rows)
+    assert len(counts) == 3 and max(counts[:2]) <= jj.TRIES * len(rows)
+    assert asked[0][1] and all(made == pairs for made, pairs in asked)
+
+
 def test_linked_sets_share_a_key_that_neither_leaves_out():
     rng = np.random.default_rng(4)
     for size in [5, 12, 40, 100, 300, 900]:
