@@ -78,6 +78,8 @@ STEM_WORDS = 4
 CLEAR = 10.0
 COST = 8.0
 CHUNK_CHARS = 1 << 17
+# Words whose kernel values are worked out at a time, a row of landmarks for each of their subsequences.
+STRETCH = 64
 
 # Character classes: 0 white space, 1-26 letters, 27 digits, 28 separators
 # (other ASCII, blanks between single characters), 29-38 other characters by code point, 39 start of a word.
@@ -373,8 +375,8 @@ class Landmarks:
     def kernel(self, words: list[str]) -> np.ndarray:
         """Kernel values (words x landmarks)."""
         out = np.zeros((len(words), self.matrix.shape[1]), dtype=np.float32)
-        for lo in range(0, len(words), 512):
-            owner, codes, weights = occurrences(words[lo : lo + 512])
+        for lo in range(0, len(words), STRETCH):
+            owner, codes, weights = occurrences(words[lo : lo + STRETCH])
             at = np.searchsorted(self.codes, codes)
             at[at == len(self.codes)] = 0
             known = self.codes[at] == codes
@@ -401,13 +403,13 @@ def _words_of(texts: list[str]) -> list[list[str]]:
 
 def _leaning(toxic_words: list[list[str]], clean_words: list[list[str]]) -> tuple[dict[str, float], set[str], list[str]]:
     """(strength, clear ones, best ones) of words and stems by their odds between the classes."""
-    counts = []
+    counts, wanted = [], None
     for group in (toxic_words, clean_words):
         total = Counter()
         for words in group:
-            total.update({stem: min(n, STEM_WORDS) for stem, n in _stems(words).items()})
+            total.update({stem: min(n, STEM_WORDS) for stem, n in _stems(words).items() if wanted is None or stem in wanted})
         counts.append(total)
-        if len(counts) == 1:
+        if wanted is None:
             wanted = {stem for stem, n in total.items() if n > 1}
     toxic, clean = counts
     lean = {
@@ -577,6 +579,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
         for batch in batches:
             for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 texts[toxic].append(text)
+        pa.default_memory_pool().release_unused()
         model = _apart(texts[1], texts[0])
         yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 

@@ -1,6 +1,7 @@
 """Toxicity: the folded machine against a naive kernel, held-out accuracy, hostile rows."""
 
 import random
+import tracemalloc
 from itertools import accumulate, product
 
 import numpy as np
@@ -118,3 +119,14 @@ def test_training_never_sees_held_out_rows_and_is_bounded(spark):
     toxic, clean = tx.labelled_sample(docs, labels)
     assert clean and not ((held - free) & set(toxic + clean))
     assert all(len(x) <= 3 for x in tx.labelled_sample(docs, labels, {1: 3, 0: 3}))
+
+
+def test_kernel_values_take_little_memory():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=12)) for _ in range(2000)]
+    marks = tx.Landmarks(words[: tx.LANDMARKS])
+    tracemalloc.start()
+    marks.kernel(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
