@@ -9,6 +9,7 @@ from strata.plans import catalogue, jobs
 from strata.plans import purchase_order as po
 from strata.session import SPLIT_KEY, fine_splits
 from strata.sources.batches import committed_files
+from strata.sources import feeds
 from strata.sources.topic import Topic, produce
 from strata.storage import data_files
 
@@ -37,6 +38,15 @@ def test_bronze_job_cuts_its_scan_by_split_bytes(spark, tmp_dir, one_task_scans,
     assert SPLIT_KEY not in spark.conf.getAll
 
 
+def test_topics_are_produced_with_fine_scans(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(feeds, "_TOPICS", {})
+    monkeypatch.setattr(feeds, "produce", lambda messages, topic: seen.append(spark.conf.get(SPLIT_KEY)))
+    feeds.po_topic(spark, SMALL)
+    feeds.plain_topic(spark, SMALL)
+    assert seen == [str(session.SPLIT_BYTES)] * 2
+
+
 def test_split_size_is_taken_back_by_the_last_one_out(spark):
     with fine_splits(spark):
         with fine_splits(spark):
